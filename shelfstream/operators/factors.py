@@ -8,6 +8,7 @@ Python, in Arrow batches."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,25 +21,44 @@ FACTOR_SCHEMA = "id int, features array<float>"
 
 
 def starting_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
-    """Unit vectors drawn from a hash of (seed, id, position)."""
-    raw = [
-        F.pmod(F.xxhash64(F.lit(seed), "id", F.lit(i)), F.lit(2_000_001)) / 1e6 - 1.0
+    """Vectors of about unit length, drawn from a hash of (seed, id, position)."""
+    scale = 1e6 * math.sqrt(rank / 3.0)
+    values = [
+        (F.pmod(F.xxhash64(F.lit(seed), "id", F.lit(i)), F.lit(2_000_001)) - 1_000_000) / scale
         for i in range(rank)
     ]
-    norm = F.sqrt(sum((c * c for c in raw), F.lit(1e-12)))
-    return ids.select("id", F.array(*[(c / norm).cast("float") for c in raw]).alias("features"))
+    return ids.select("id", F.array(*[v.cast("float") for v in values]).alias("features"))
 
 
 def _pairs(rank: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(rank) for j in range(i, rank)]
 
 
-def _sums(values: list[Column], weight: Column, target: Column, rank: int) -> list[Column]:
-    gram = [F.sum(weight * values[i] * values[j]) for i, j in _pairs(rank)]
+def _spread_out(factors: DataFrame, rank: int) -> DataFrame:
+    """One double column per position, so that sums over products read plain columns."""
+    return factors.select("id", *[
+        F.get("features", F.lit(i)).cast("double").alias(f"_v{i}") for i in range(rank)
+    ])
+
+
+def _sums(values: list[Column], weight: Column, target: Column) -> list[Column]:
+    gram = [F.sum(weight * values[i] * values[j]) for i, j in _pairs(len(values))]
     right = [F.sum(target * v) for v in values]
     return [c.alias(f"_s{k}") for k, c in enumerate(gram + right)]
 
 
+def _whole_gram(factors: DataFrame, rank: int) -> np.ndarray:
+    """Sum of all outer products: one row of rank * (rank + 1) / 2 numbers."""
+    values = [F.col(f"_v{i}") for i in range(rank)]
+    row = _spread_out(factors, rank).agg(
+        *[F.sum(values[i] * values[j]) for i, j in _pairs(rank)]
+    ).first()
+    gram = np.zeros((rank, rank))
+    for total, (i, j) in zip(row, _pairs(rank)):
+        gram[i, j] = gram[j, i] = total
+    return gram
+
+
 def _solver(rank: int, reg: float, shared: np.ndarray | None):
     upper = tuple(zip(*_pairs(rank)))
     n_gram = len(upper[0])
@@ -66,24 +86,19 @@ def half_step(
     implicit: bool = False, alpha: float = 1.0,
 ) -> DataFrame:
     """Factors of every ``solve_for`` id, given the factors of the ``given`` ids."""
-    values = [F.get("features", F.lit(i)).cast("double") for i in range(rank)]
-    rating = F.col("rating").cast("double")
-    shared = None
+    values = [F.col(f"_v{i}") for i in range(rank)]
+    rating, shared = F.col("rating"), None
     if implicit:
-        confidence = F.lit(alpha) * F.abs(rating)
-        weight = confidence
-        target = F.when(rating > 0, 1.0 + confidence).otherwise(0.0)
-        counted = F.sum(F.when(rating > 0, 1.0).otherwise(0.0))
-        whole = fixed.agg(*_sums(values, F.lit(1.0), F.lit(0.0), rank)).first()
-        shared = np.zeros((rank, rank))
-        for k, (i, j) in enumerate(_pairs(rank)):
-            shared[i, j] = shared[j, i] = whole[k]
+        weight = F.lit(alpha) * F.abs(rating)
+        target = F.when(rating > 0, 1.0 + weight).otherwise(0.0)
+        counted = F.count_if(rating > 0)
+        shared = _whole_gram(fixed, rank)
     else:
-        weight, target, counted = F.lit(1.0), rating, F.count(F.lit(1)).cast("double")
-    joined = ratings.join(fixed.withColumnRenamed("id", given), given)
-    sums = joined.groupBy(F.col(solve_for).alias("id")).agg(
-        *_sums(values, weight, target, rank), counted.alias("_n")
+        weight, target, counted = F.lit(1.0), rating, F.count(F.lit(1))
+    joined = ratings.join(_spread_out(fixed, rank).withColumnRenamed("id", given), given).select(
+        F.col(solve_for).alias("id"), rating.cast("double").alias("rating"), *values
     )
+    sums = joined.groupBy("id").agg(*_sums(values, weight, target), counted.alias("_n"))
     return sums.mapInPandas(_solver(rank, reg, shared), FACTOR_SCHEMA)
 
 

@@ -18,16 +18,24 @@ def unique_ids(df: DataFrame, name: str = "id") -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(name), "*")
 
 
-def dense_ids(df: DataFrame, order: list[Column] | None = None, name: str = "id") -> DataFrame:
-    """Prepend ids 0..n-1 in the total order ``order`` (in the order rows lie if not given).
-
-    The rows' arrival number ends the sort key, so equal keys never have to share a
-    partition, however many there are. The partition sizes (one row per partition) are all
-    that is summed in one place and broadcast."""
+def dense_ids(
+    df: DataFrame, order: list[Column] | None = None, name: str = "id", ties: bool = False
+) -> DataFrame:
+    """Prepend ids 0..n-1 in the order ``order``, or in the order rows lie if not given.
+
+    ``order`` must tell all rows apart. With ``ties`` it need not: rows are first written
+    down with a running number that ends the sort key, so equal rows never have to share a
+    partition, however many there are, and a task that runs again finds the same numbers.
+    The partition sizes (one row per partition) are all that is summed in one place and
+    broadcast."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
     if order:
-        arrival = df.withColumn("_arrival", F.monotonically_increasing_id())
-        keys = [*order, F.col("_arrival")]
-        df = arrival.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_arrival")
+        if ties:
+            df = materialise(
+                df.withColumn("_arrival", F.monotonically_increasing_id()), "arrivals"
+            )
+            order = [*order, F.col("_arrival")]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
     staged = materialise(df.withColumn("_slot", F.monotonically_increasing_id()), "dense-ids")
     part = F.shiftright("_slot", _SLOT_BITS)
     sizes = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
@@ -36,7 +44,6 @@ def dense_ids(df: DataFrame, order: list[Column] | None = None, name: str = "id"
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base")
     )
     within = F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
-    columns = [F.col(f"`{c}`") for c in df.columns]
     return (
         staged.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")

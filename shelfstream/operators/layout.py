@@ -1,0 +1,15 @@
+"""Where rows lie before heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan out to all cores.
+
+    A file of one row group is read by one task, and what is done to its rows would be done
+    there too. Scans with a partition for every core, as all large ones have, are returned
+    untouched, so there is no shuffle at scale."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

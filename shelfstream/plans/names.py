@@ -19,7 +19,7 @@ _CHUNK = 1 << 16
 
 def numbered(names: DataFrame, group: str, column: str) -> DataFrame:
     """(group, column, pos): position 0.. inside each group, in the order of the names."""
-    ids = dense_ids(names.select(group, column), [F.asc(group), F.asc(column)], "_id")
+    ids = dense_ids(names.select(group, column), [F.asc(group), F.asc(column)], "_id", ties=True)
     ids = materialise(ids, "name-ids")
     first = ids.groupBy(group).agg(F.min("_id").alias("_first"))
     return ids.join(first, group).select(group, column, (F.col("_id") - F.col("_first")).alias("pos"))

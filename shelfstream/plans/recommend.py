@@ -21,6 +21,7 @@ RANK, ITERATIONS, REG = 10, 5, 0.01
 TRIPLET_RANK, TRIPLET_ITERATIONS = 20, 10
 # ratings of one user or item that a single solver task may gather
 MAX_GATHERED = 20_000_000
+RATINGS_PER_BLOCK = 5_000_000
 # users (or items) whose recommendations are made in one pass over the other side
 MAX_ASKED = 1_000
 
@@ -72,23 +73,27 @@ class Factors:
     model: ALSModel | None = None
 
 
-def largest_group(train: DataFrame) -> int:
-    """Most ratings any user or item has."""
+def group_sizes(train: DataFrame) -> tuple[int, int]:
+    """(rows, most ratings any user or item has), from counts combined before the shuffle."""
     sizes = [
-        train.groupBy(c).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+        train.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
         for c in (USER, ITEM)
     ]
-    return sizes[0].union(sizes[1]).agg(F.max("n")).first()[0] or 0
+    rows, most = sizes[0].union(sizes[1]).agg(F.max("rows"), F.max("most")).first()
+    return rows or 0, most or 0
 
 
 def fit(
     train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REG,
-    seed: int = 0, implicit: bool = False, alpha: float = 1.0, blocks: int | None = None,
+    seed: int = 0, implicit: bool = False, alpha: float = 1.0,
     max_gathered: int = MAX_GATHERED,
 ) -> Factors:
     """Train on (user_num, item_num, rating). Spark ML fits the factors unless a user or item
-    is too hot for one of its tasks; then the half steps are split aggregations."""
-    if largest_group(train) > max_gathered:
+    is too hot for one of its tasks; then the half steps are split aggregations. The number
+    of its blocks follows the number of ratings."""
+    rows, most = group_sizes(train)
+    if most > max_gathered:
         users, items = alternate(
             train, USER, ITEM, rank, iterations, reg, seed, implicit, alpha
         )
@@ -97,9 +102,8 @@ def fit(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, implicitPrefs=implicit,
         alpha=alpha, userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
     )
-    if blocks:
-        als = als.setNumBlocks(blocks)
-    model = als.fit(train)
+    blocks = max(als.getNumUserBlocks(), -(-rows // RATINGS_PER_BLOCK))
+    model = als.setNumBlocks(blocks).fit(train)
     return Factors(model.userFactors, model.itemFactors, model)
 
 

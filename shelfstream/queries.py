@@ -10,8 +10,10 @@ from shelfstream import schemas
 from shelfstream.functions.nested import bad_object_id, object_id, typed_json
 from shelfstream.functions.text import location_parts, to_int
 from shelfstream.operators import aggregates, contracts, filters, joins, keys, ranking, sampling
+from shelfstream.operators.layout import spread
 from shelfstream.plans import books as book_plans
 from shelfstream.plans import names as name_plans
+from shelfstream.plans import ratings as rating_plans
 from shelfstream.plans import readers as reader_plans
 from shelfstream.plans import recommend
 from shelfstream.plans import tables as t
@@ -230,7 +232,7 @@ def reject_rows(spark, sf_dir):
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
   [event_type, CAST(user_id AS VARCHAR)] AS series, event_type AS shelf FROM events""")
 def parse_nested(spark, sf_dir):
-    events = t.table(spark, sf_dir, "events")
+    events = spread(t.table(spark, sf_dir, "events"))
     as_text = events.select(
         "event_id", "props",
         F.to_json(F.array("event_type", F.col("user_id").cast("string"))).alias("series"),
@@ -378,7 +380,7 @@ SELECT word, COUNT(*) AS n FROM w GROUP BY 1"""
 
 @query(_WORDS_SQL)
 def word_count(spark, sf_dir):
-    texts = t.table(spark, sf_dir, "documents").select("text")
+    texts = spread(t.table(spark, sf_dir, "documents").select("text"))
     return aggregates.word_counts(aggregates.lines_of(texts))
 
 
@@ -529,6 +531,96 @@ def stream_load_users(spark, sf_dir):
     return store.read().drop("_id")
 
 
+@query("""SELECT lpad(lower(to_hex(c_custkey)), 24, '0') AS user_id, c_name AS firstname, c_mktsegment AS lastname,
+  CAST(l_partkey AS VARCHAR) AS isbn, CAST(l_quantity AS INT) % 11 AS rating,
+  lpad(lower(to_hex(c_custkey)), 24, '0') AS oid
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+WHERE CAST(l_quantity AS INT) % 11 <> 10""")
+def stream_load_ratings(spark, sf_dir):
+    """Stored readers joined to rating rows, published, and loaded with their object id. A
+    rating of ten is written as a word and so rejected."""
+    people = Collection(spark, fresh_path(spark, "readers"))
+    people.overwrite(t.reader_names(spark, sf_dir).select(
+        object_id(F.lpad(F.lower(F.hex("id")), 24, "0")).alias("_id"),
+        F.col("id").alias("usernum"), "firstname", "lastname",
+    ))
+    rated = t.ratings(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("usernum"),
+        F.col("isbn").cast("string").alias("ISBN"),
+        F.when(F.col("rating") == 10, "ten").otherwise(F.col("rating").cast("string"))
+        .alias("rating"),
+    )
+    location = fresh_path(spark, "topic")
+    rating_plans.publish_ratings(people.read(), rated, "ratings", location=location)
+    store = Collection(spark, fresh_path(spark, "ratings"))
+    load.run_load(
+        topics.stream_topic(spark, location), rating_plans.rating_documents(), store,
+        fresh_path(spark, "checkpoint"),
+    )
+    return store.read().select(
+        F.col("userId").alias("user_id"), "firstname", "lastname", F.col("ISBN").alias("isbn"),
+        "rating", F.col("uid.oid").alias("oid"),
+    )
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS isbn, p_name AS title, p_brand AS publisher FROM part""")
+def stream_load_books(spark, sf_dir):
+    """Books published as they are and loaded under the declared schema; the pictures of the
+    catalogue are dropped."""
+    part = t.books(spark, sf_dir)
+    books = part.select(
+        F.col("isbn").cast("string").alias("ISBN"), F.col("title").alias("Title"),
+        F.lit("").alias("Author"), F.lit("").alias("YearOfPublication"),
+        F.col("publisher").alias("Publisher"),
+        *[F.lit("").alias(c) for c in ("ImageUrlS", "ImageUrlM", "ImageUrlL")],
+    )
+    location = fresh_path(spark, "topic")
+    book_plans.publish_books(books, "books", location=location)
+    store = Collection(spark, fresh_path(spark, "books"))
+    load.run_load(
+        topics.stream_topic(spark, location), book_plans.book_documents(), store,
+        fresh_path(spark, "checkpoint"),
+    )
+    return book_plans.catalogue(store.read()).select(
+        F.col("ISBN").alias("isbn"), F.col("Title").alias("title"),
+        F.col("Publisher").alias("publisher"),
+    )
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS isbn, 2 AS n_series, p_type AS second_series, 0 AS n_similar,
+  p_brand AS author, CAST(p_size AS VARCHAR) AS shelf_count FROM part WHERE p_partkey % 8 <> 0""")
+def stream_load_rich_books(spark, sf_dir):
+    """Rich books from JSON lines, nested values carried as text and typed when loaded. Every
+    eighth has shelves that are no JSON and is rejected."""
+    parts = t.table(spark, sf_dir, "part")
+    plain = {f.name: F.lit("") for f in schemas.RICH_BOOK.fields}
+    shelves = F.to_json(F.array(F.struct(
+        F.col("p_size").cast("string").alias("count"), F.col("p_name").alias("name")
+    )))
+    values = plain | {
+        "isbn": F.col("p_partkey").cast("string"),
+        "series": F.to_json(F.array("p_brand", "p_type")),
+        "similar_books": F.lit("[]"),
+        "authors": F.to_json(F.array(F.struct(F.col("p_brand").alias("author_id"), F.lit("").alias("role")))),
+        "popular_shelves": F.when(F.col("p_partkey") % 8 == 0, F.concat(F.lit("x"), shelves)).otherwise(shelves),
+    }
+    inbox, location = fresh_path(spark, "json"), fresh_path(spark, "topic")
+    parts.select(*[column.alias(name) for name, column in values.items()]).write.json(inbox)
+    book_plans.publish_rich_books(files.read_json_text(spark, inbox), "rich", location=location)
+    store = Collection(spark, fresh_path(spark, "rich"))
+    load.run_load(
+        topics.stream_topic(spark, location), book_plans.rich_book_documents(), store,
+        fresh_path(spark, "checkpoint"),
+    )
+    return store.read().select(
+        "isbn", F.size("series").alias("n_series"),
+        F.get("series", F.lit(1)).alias("second_series"),
+        F.size("similar_books").alias("n_similar"),
+        F.get("authors", F.lit(0))["author_id"].alias("author"),
+        F.get("popular_shelves", F.lit(0))["count"].alias("shelf_count"),
+    )
+
+
 @query("""SELECT CAST(COUNT(*) AS BIGINT) AS messages,
   CAST(COUNT(*) FILTER (o_orderkey % 17 = 0) AS BIGINT) AS rejected FROM orders""")
 def batch_metrics(spark, sf_dir):
@@ -549,7 +641,7 @@ def batch_metrics(spark, sf_dir):
         topics.stream_topic(spark, location, maxFilesPerTrigger="2"), load.declared(schema), store,
         fresh_path(spark, "checkpoint"), metrics=metrics,
     )
-    return spark.read.parquet(metrics).agg(
+    return load.read_metrics(spark, metrics).agg(
         F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected")
     )
 
@@ -604,18 +696,20 @@ def _fitted(spark, sf_dir, **settings):
     return encoded, recommend.fit(train, seed=7, **settings), test
 
 
-@query("""SELECT COUNT(*) AS kept FROM lineitem t JOIN orders o ON o.o_orderkey = t.l_orderkey
-WHERE t.l_orderkey % 5 = 0 AND t.l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_orderkey % 5 <> 0)
-AND o.o_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 5 <> 0)""")
+_HELD_OUT_SQL = "((row_key % 2147483648 * 2654435761) % 4294967296) >> 16 >= 52428"
+
+
+@query(f"""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, l_orderkey * 8 + l_linenumber AS row_key
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+s AS (SELECT u, i, {_HELD_OUT_SQL} AS held_out FROM r)
+SELECT COUNT(*) AS kept FROM s WHERE held_out AND u IN (SELECT u FROM s WHERE NOT held_out)
+  AND i IN (SELECT i FROM s WHERE NOT held_out)""")
 def coldstart_rows(spark, sf_dir):
     rated = t.ratings(spark, sf_dir).select(
-        F.col("user_id").alias(recommend.USER), F.col("isbn").alias(recommend.ITEM),
-        (F.floor(F.col("row_key") / 8) % 5 == 0).alias("held_out"),
-    )
-    kept = recommend.known_rows(
-        rated.filter(F.col("held_out")), rated.filter(~F.col("held_out"))
+        F.col("user_id").alias(recommend.USER), F.col("isbn").alias(recommend.ITEM), "row_key"
     )
-    return kept.agg(F.count(F.lit(1)).alias("kept"))
+    train, test = sampling.hash_split(rated, F.col("row_key"), 0.8)
+    return recommend.known_rows(test, train).agg(F.count(F.lit(1)).alias("kept"))
 
 
 @query()

@@ -135,14 +135,15 @@ def merge_documents(
     """Full outer join on ``key``; a field that is NULL or absent in the update keeps its
     stored value.
 
-    Several updates of one document are first folded into one, before the shuffle, by the
-    last non-null value in ``sequence``. Without ``sequence`` the key must be unique."""
+    Several updates of one document are folded into one: per field the last non-null value
+    in ``sequence``, or any one of them without it. The fold leaves the updates partitioned
+    by the key, as the join needs them."""
     fields = [c for c in updates.columns if c not in (key, sequence)]
     if sequence:
-        updates = updates.groupBy(key).agg(*[
-            F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(sequence))).alias(c)
-            for c in fields
-        ])
+        fold = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(sequence))) for c in fields]
+    else:
+        fold = [F.any_value(F.col(c), True) for c in fields]
+    updates = updates.groupBy(key).agg(*[f.alias(c) for f, c in zip(fold, fields)])
     news = updates.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in fields])
     merged = stored.join(news, [key], "full_outer")
     columns = [F.col(key)]

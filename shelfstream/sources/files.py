@@ -18,11 +18,15 @@ def read_delimited(
 
 
 def read_inferred(
-    spark: SparkSession, path: str, sep: str = ",", text_columns: tuple[str, ...] = ()
+    spark: SparkSession, path: str, sep: str = ",", text_columns: tuple[str, ...] = (),
+    sampling: float = 1.0,
 ) -> DataFrame:
     """A file with a header line and inferred types. Keys named in ``text_columns`` stay
-    text: inference would turn a column of digits into numbers and lose leading zeros."""
-    inferred = spark.read.csv(path, sep=sep, header=True, inferSchema=True)
+    text: inference would turn a column of digits into numbers and lose leading zeros.
+    Inference reads the ``sampling`` share of the rows once more; the rows read are all."""
+    inferred = spark.read.csv(
+        path, sep=sep, header=True, inferSchema=True, samplingRatio=sampling
+    )
     if not text_columns:
         return inferred
     fields = [

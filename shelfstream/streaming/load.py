@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.functions.nested import (
@@ -23,6 +23,16 @@ LIVE_TRIGGER = {"processingTime": "1 second"}
 DRAIN_TRIGGER = {"availableNow": True}
 
 
+METRICS = T.StructType([
+    T.StructField("messages", T.LongType()), T.StructField("rejected", T.LongType())
+])
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(messages, rejected, batch_id), one row per batch."""
+    return spark.read.schema(METRICS).json(path)
+
+
 def typed_documents(
     messages: DataFrame,
     schema: T.StructType,
@@ -128,11 +138,8 @@ def run_load(
         rows, seen = observed_counts(prepare(batch, batch_id))
         collection.append(rows, batch_id)
         if metrics:
-            counts = seen.get
-            line = batch.sparkSession.createDataFrame(
-                [(counts["messages"], counts["rejected"])], "messages long, rejected long"
-            )
-            line.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/{BATCH}={batch_id}")
+            path = f"{metrics}/{BATCH}={batch_id}/counts.json"
+            paths.put_text(batch.sparkSession, path, json.dumps(seen.get))
 
     query = (
         messages.writeStream.foreachBatch(load_batch)
