@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +24,7 @@ TRIPLET_RANK, TRIPLET_ITERATIONS = 20, 10
 # ratings of one user or item that a single solver task may gather
 MAX_GATHERED = 20_000_000
 RATINGS_PER_BLOCK = 5_000_000
+MAX_BLOCKS = 1_000
 # users (or items) whose recommendations are made in one pass over the other side
 MAX_ASKED = 1_000
 
@@ -51,13 +54,14 @@ class Encoded:
 def encode(ratings: DataFrame, user: str, item: str) -> Encoded:
     """Number users and items, the most frequent first. The mappings are tables that can be
     stored; rows without a user or item are dropped."""
-    users = materialise(frequency_ids(ratings, user, USER), "user-ids")
-    items = materialise(frequency_ids(ratings, item, ITEM), "item-ids")
-    numbered = (
-        ratings.join(users.drop("n"), user)
-        .join(items.drop("n"), item)
-        .withColumns({USER: F.col(USER).cast("int"), ITEM: F.col(ITEM).cast("int")})
+    users, items = (
+        materialise(
+            frequency_ids(ratings, key, number).withColumn(number, F.col(number).cast("int")),
+            number,
+        )
+        for key, number in ((user, USER), (item, ITEM))
     )
+    numbered = ratings.join(users.drop("n"), user).join(items.drop("n"), item)
     return Encoded(materialise(numbered, "encoded"), users, items)
 
 
@@ -66,10 +70,12 @@ def encode(ratings: DataFrame, user: str, item: str) -> Encoded:
 
 @dataclass(frozen=True)
 class Factors:
-    """Fitted factors, (id, features) for each side; ``model`` when Spark ML fitted them."""
+    """Fitted factors, (id, features) for each side, as tables of their own; ``model`` when
+    Spark ML fitted them."""
 
     users: DataFrame
     items: DataFrame
+    rank: int
     model: ALSModel | None = None
 
 
@@ -89,22 +95,24 @@ def fit(
     seed: int = 0, implicit: bool = False, alpha: float = 1.0,
     max_gathered: int = MAX_GATHERED,
 ) -> Factors:
-    """Train on (user_num, item_num, rating). Spark ML fits the factors unless a user or item
-    is too hot for one of its tasks; then the half steps are split aggregations. The number
-    of its blocks follows the number of ratings."""
+    """Train on (user_num, item_num, rating). Spark ML fits the factors, in as many blocks as
+    the ratings need. It keeps all ratings of a user or item in one task and lists all pairs of
+    blocks, so where either would be too much the half steps are split aggregations."""
     rows, most = group_sizes(train)
-    if most > max_gathered:
+    blocks = -(-rows // RATINGS_PER_BLOCK)
+    if most > max_gathered or blocks > MAX_BLOCKS:
         users, items = alternate(
             train, USER, ITEM, rank, iterations, reg, seed, implicit, alpha
         )
-        return Factors(users, items)
+        return Factors(users, items, rank)
     als = ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, implicitPrefs=implicit,
         alpha=alpha, userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
     )
-    blocks = max(als.getNumUserBlocks(), -(-rows // RATINGS_PER_BLOCK))
-    model = als.setNumBlocks(blocks).fit(train)
-    return Factors(model.userFactors, model.itemFactors, model)
+    model = als.setNumBlocks(max(als.getNumUserBlocks(), blocks)).fit(train)
+    users = materialise(model.userFactors, "user-factors")
+    items = materialise(model.itemFactors, "item-factors")
+    return Factors(users, items, rank, model)
 
 
 def fit_triplets(triplets: DataFrame, seed: int = 0) -> Factors:
@@ -118,9 +126,12 @@ def fit_triplets(triplets: DataFrame, seed: int = 0) -> Factors:
 # -- scoring ------------------------------------------------------------------------------
 
 
-def _dot(left: str, right: str):
-    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p).cast("float")
+def _dot(left: str, right: str, rank: int):
+    products = [
+        F.get(left, F.lit(i)).cast("double") * F.get(right, F.lit(i)).cast("double")
+        for i in range(rank)
+    ]
+    return reduce(add, products).cast("float")
 
 
 def score(factors: Factors, rows: DataFrame) -> DataFrame:
@@ -129,7 +140,7 @@ def score(factors: Factors, rows: DataFrame) -> DataFrame:
     items = factors.items.select(F.col("id").alias(ITEM), F.col("features").alias("_i"))
     return (
         rows.join(users, USER).join(items, ITEM)
-        .withColumn("prediction", _dot("_u", "_i"))
+        .withColumn("prediction", _dot("_u", "_i", factors.rank))
         .select(*rows.columns, "prediction")
     )
 
@@ -165,7 +176,7 @@ def recommend(factors: Factors, asked: DataFrame, n: int = 3, by: str = USER) ->
     scored = other.select(
         F.col("id").alias(of), "features", F.explode(vectors).alias("_a")
     ).select(
-        F.col("_a.id").alias(by), of, _dot("features", "_a.features").alias("rating")
+        F.col("_a.id").alias(by), of, _dot("features", "_a.features", factors.rank).alias("rating")
     )
     return top_n_per_group(scored, by, "rating", of, n)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfstream.operators.layout import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,13 +18,13 @@ def score_of_line():
 
 def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(isbn, rating), straight from the lines."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     return lines.select(F.col("l_partkey").alias("isbn"), F.col("l_quantity").alias("rating"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, isbn, rating, row_key): who ordered which part and how much of it."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", F.col("l_partkey").alias("isbn"), score_of_line(),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_key"),
     )

@@ -17,7 +17,7 @@ from shelfstream.plans import ratings as rating_plans
 from shelfstream.plans import readers as reader_plans
 from shelfstream.plans import recommend
 from shelfstream.plans import tables as t
-from shelfstream.session import fresh_path
+from shelfstream.session import fresh_path, materialise
 from shelfstream.sources import files, topics
 from shelfstream.sources.collections import Collection
 from shelfstream.sources.json_text import read_json_column
@@ -626,19 +626,19 @@ def stream_load_rich_books(spark, sf_dir):
 def batch_metrics(spark, sf_dir):
     """Sizes of the batches of a load, summed: every 17th message is cut off."""
     location = fresh_path(spark, "topic")
-    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders = spread(t.table(spark, sf_dir, "orders")).select("o_orderkey", "o_orderpriority")
     messages = topics.to_messages(orders, "o_orderkey").withColumn(
         "value",
         F.when(F.col("key").cast("bigint") % 17 == 0, F.substring("value", 1, 9))
         .otherwise(F.col("value")),
     )
-    topics.publish(messages.repartition(4), "orders", location=location)
+    topics.publish(messages, "orders", location=location)
     store, metrics = Collection(spark, fresh_path(spark, "orders")), fresh_path(spark, "metrics")
     schema = T.StructType([
         T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderpriority", T.StringType())
     ])
     load.run_load(
-        topics.stream_topic(spark, location, maxFilesPerTrigger="2"), load.declared(schema), store,
+        topics.stream_topic(spark, location, maxFilesPerTrigger="4"), load.declared(schema), store,
         fresh_path(spark, "checkpoint"), metrics=metrics,
     )
     return load.read_metrics(spark, metrics).agg(
@@ -708,6 +708,7 @@ def coldstart_rows(spark, sf_dir):
     rated = t.ratings(spark, sf_dir).select(
         F.col("user_id").alias(recommend.USER), F.col("isbn").alias(recommend.ITEM), "row_key"
     )
+    rated = materialise(rated, "rated")  # read three times; joined once
     train, test = sampling.hash_split(rated, F.col("row_key"), 0.8)
     return recommend.known_rows(test, train).agg(F.count(F.lit(1)).alias("kept"))
 

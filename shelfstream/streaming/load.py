@@ -82,7 +82,7 @@ def drifting(collection: Collection) -> Prepare:
     """Schema inferred batch by batch. A field keeps the type it was first seen with; a later
     value that does not fit is a reason to reject, a new field is added.
 
-    The schema after each batch is a small control file of the collection. A replayed batch
+    The schema after a batch that changed it is a small control file of the collection. A replayed batch
     starts from the schema before it, so it gives the same documents again."""
     spark = collection.spark
     folder = f"{collection.path}/schema"
@@ -99,7 +99,8 @@ def drifting(collection: Collection) -> Prepare:
         names = set(known.names)
         found = infer_fields(messages)
         schema = T.StructType(known.fields + [f for f in found.fields if f.name not in names])
-        paths.put_text(spark, f"{folder}/{batch_id:09d}", schema.json())
+        if schema != known:
+            paths.put_text(spark, f"{folder}/{batch_id:09d}", schema.json())
         present = {
             f.name: F.expr(
                 f"try_variant_get(try_parse_json(_raw), '$[\"{f.name}\"]', 'string')"

@@ -11,14 +11,13 @@ from shelfstream.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests", "local[4]",
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
