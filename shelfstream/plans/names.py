@@ -45,11 +45,13 @@ def name_pairs(first: DataFrame, last: DataFrame, group: str, keep=None) -> Data
         lasts.groupBy(group).agg(F.count(F.lit(1)).alias("_l")), group
     )
     pairs = F.col("_f") * F.col("_l")
+    # a set number of tasks: AQE would merge partitions by the few bytes a chunk has now
+    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = sizes.select(
         group, "_l", pairs.alias("_pairs"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), pairs - 1, F.lit(_CHUNK).cast("bigint")))
         .alias("_start"),
-    ).repartition(F.col(group), F.col("_start"))
+    ).repartition(tasks, F.col(group), F.col("_start"))
     end = F.least(F.col("_start") + _CHUNK, F.col("_pairs")) - 1
     numbers = chunks.select(group, "_l", F.explode(F.sequence("_start", end)).alias("_k"))
     if keep is not None:

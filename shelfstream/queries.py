@@ -687,7 +687,8 @@ def tumbling_count(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir) -> recommend.Encoded:
-    return recommend.encode(t.ratings(spark, sf_dir), "user_id", "isbn")
+    rated = materialise(t.ratings(spark, sf_dir), "rated")  # read three times; joined once
+    return recommend.encode(rated, "user_id", "isbn")
 
 
 def _fitted(spark, sf_dir, **settings):

@@ -64,8 +64,10 @@ class Collection:
     def batch_path(self, batch_id: int) -> str:
         return f"{self._version_path(self.version())}/{BATCH}={batch_id}"
 
-    def is_empty(self) -> bool:
-        return not paths.children(self.spark, self._version_path(self.version()))
+    def has_batches(self) -> bool:
+        """Whether a stream has written to the present version."""
+        names = paths.children(self.spark, self._version_path(self.version()))
+        return any(n.startswith(f"{BATCH}=") and n != f"{BATCH}={WHOLE}" for n in names)
 
     # -- reading --------------------------------------------------------------------
 

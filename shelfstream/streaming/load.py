@@ -171,7 +171,7 @@ def claim(collection: Collection, checkpoint: str) -> None:
     spark = collection.spark
     owner = paths.get_text(spark, f"{collection.path}/owner")
     token = paths.get_text(spark, f"{checkpoint}/owner")
-    if owner is None and collection.is_empty():
+    if owner is None and not collection.has_batches():
         token = token or uuid.uuid4().hex
         paths.put_text(spark, f"{checkpoint}/owner", token)
         paths.put_text(spark, f"{collection.path}/owner", token)
