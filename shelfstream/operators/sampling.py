@@ -23,18 +23,23 @@ def random_split(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Dat
     return first, second
 
 
-def hash_bucket(key: Column) -> Column:
+def hash_bucket(key: Column, seed: int = 0) -> Column:
     """0..65535 from a whole-number key: the upper half of a multiplicative hash. The key is
     cut to 31 bits first, so the product fits a bigint at any table size."""
-    low = F.pmod(key.cast("bigint"), F.lit(1 << 31))
+    bits = F.lit(1 << 31)
+    low = F.pmod(key.cast("bigint"), bits)
+    if seed:
+        low = F.pmod(low + F.lit(seed % (1 << 31)), bits)
     return F.shiftright(F.pmod(low * F.lit(_MULTIPLIER), F.lit(1 << 32)), 16)
 
 
-def in_share(key: Column, share: float) -> Column:
+def in_share(key: Column, share: float, seed: int = 0) -> Column:
     """True for about ``share`` of the keys; a row's side never changes between runs."""
-    return hash_bucket(key) < F.lit(int(share * _BUCKETS))
+    return hash_bucket(key, seed) < F.lit(int(share * _BUCKETS))
 
 
-def hash_split(df: DataFrame, key: Column, share: float) -> tuple[DataFrame, DataFrame]:
-    inside = in_share(key, share)
+def hash_split(
+    df: DataFrame, key: Column, share: float, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    inside = in_share(key, share, seed)
     return df.filter(inside), df.filter(~inside)

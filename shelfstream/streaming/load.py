@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfstream.functions.nested import (
     CORRUPT, lost_json, message_object_id, object_id, typed_json, typed_message,
 )
-from shelfstream.operators.contracts import REASON, observed_counts, with_reason
+from shelfstream.operators.contracts import REASON, STATUS, observed_counts, with_reason
 from shelfstream.sources import paths
 from shelfstream.sources.collections import BATCH, RAW, Collection
 from shelfstream.sources.json_text import infer_fields
@@ -33,6 +33,10 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS).json(path)
 
 
+# names a document's fields cannot have, because collections use them
+RESERVED = {CORRUPT, "_raw", REASON, RAW, STATUS, BATCH}
+
+
 def typed_documents(
     messages: DataFrame,
     schema: T.StructType,
@@ -44,6 +48,9 @@ def typed_documents(
     """Messages as documents with ``_id`` and ``reject_reason``; a rejected one keeps its
     text in ``raw_message``. ``nested`` columns arrive as JSON text and are typed; text that is lost by that is
     a reason to reject. ``derived`` columns are made from the fields."""
+    taken = RESERVED & {name.lower() for name in schema.names}
+    if taken:
+        raise ValueError(f"fields of these names are used by collections: {sorted(taken)}")
     nested = nested or {}
     own_id = "_id" in schema.names
     message_id = object_id(message_object_id(F.col("partition"), F.col("offset")))
@@ -78,9 +85,18 @@ def declared(schema: T.StructType, **rules) -> Prepare:
     return lambda messages, _batch_id: typed_documents(messages, schema, **rules)
 
 
+def _has_field(name: str) -> Column:
+    path = F.lit(f"$[\"{name}\"]")
+    value = F.call_function(
+        "try_variant_get", F.try_parse_json("_raw"), path, F.lit("string")
+    )
+    return value.isNotNull()
+
+
 def drifting(collection: Collection) -> Prepare:
     """Schema inferred batch by batch. A field keeps the type it was first seen with; a later
-    value that does not fit is a reason to reject, a new field is added.
+    value that does not fit is a reason to reject, a new field is added. So is a field whose
+    name differs from a known one in case only, or is one the collection uses itself.
 
     The schema after a batch that changed it is a small control file of the collection. A replayed batch
     starts from the schema before it, so it gives the same documents again."""
@@ -96,21 +112,21 @@ def drifting(collection: Collection) -> Prepare:
 
     def prepare(messages: DataFrame, batch_id: int) -> DataFrame:
         known = known_before(batch_id)
-        names = set(known.names)
         found = infer_fields(messages)
-        schema = T.StructType(known.fields + [f for f in found.fields if f.name not in names])
+        by_name = {f.name.lower(): f for f in known.fields}
+        doubtful, clashing = [], []
+        for field in found.fields:
+            first = by_name.setdefault(field.name.lower(), field)
+            if first.name != field.name or field.name.lower() in RESERVED:
+                clashing.append(field.name)
+            elif first.dataType != field.dataType:
+                doubtful.append(field.name)
+        schema = T.StructType([f for name, f in by_name.items() if name not in RESERVED])
         if schema != known:
             paths.put_text(spark, f"{folder}/{batch_id:09d}", schema.json())
-        present = {
-            f.name: F.expr(
-                f"try_variant_get(try_parse_json(_raw), '$[\"{f.name}\"]', 'string')"
-            ).isNotNull()
-            for f in known.fields if f.name in found.names
-            and f.dataType != found[f.name].dataType
-        }
-        checks = [
-            (f"type:{name}", there & F.col(f"`{name}`").isNull())
-            for name, there in present.items()
+        checks = [(f"name:{name}", _has_field(name)) for name in clashing]
+        checks += [
+            (f"type:{name}", _has_field(name) & F.col(f"`{name}`").isNull()) for name in doubtful
         ]
         return typed_documents(messages, schema, checks=checks)
 

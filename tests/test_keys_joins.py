@@ -129,3 +129,30 @@ def test_aggregates(spark, rows):
     scored = df.fillna(0.0).selectExpr("v rating", "1.0 prediction")
     assert abs(aggregates.rmse(scored).first().rmse - ((0 + 1 + 16 + 25) / 4) ** 0.5) < 1e-12
     assert rows(aggregates.union_all([df, df.selectExpr("k z", "v y")])).count(("b", 5.0)) == 2
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    """The many side of a join is read by several tasks at its hot key."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        many = spark.range(300_000, numPartitions=12).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+            F.col("id").alias("v"),
+        )
+        few = spark.range(300_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = joins.join_using(many, few, "k")
+        tasks = joined.groupBy("k", F.spark_partition_id().alias("task")).count()
+        assert tasks.filter("k = 0").count() > 1
+        assert tasks.agg(F.sum("count")).first()[0] == 300_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -120,6 +120,22 @@ def test_drifting_fields(job, rows):
     assert reasons == ["type:a", "type:a"]
 
 
+def test_drifting_names_that_clash(job, rows):
+    prepare = load.drifting(job.store)
+    job.send({"a": 1, "value": "x"}, {"a": 3, "batch_id": 7}, {"it's": 1, "a": 4})
+    job.load(prepare)
+    job.send({"a": 5, "VALUE": "y"}, {"a": 6, "value": "z"}, {"A": 2})
+    job.load(prepare)
+    assert rows(job.store.read(), "a", "value") == [(1, "x"), (4, None), (6, "z")]
+    reasons = sorted(r[REASON] for r in job.store.rejects().collect())
+    assert reasons == ["name:A", "name:VALUE", "name:batch_id"]
+    with pytest.raises(ValueError, match="batch_id"):
+        load.typed_documents(
+            topics.read_topic(job.spark, job.location),
+            T.StructType([T.StructField("batch_id", T.LongType())]),
+        )
+
+
 def test_live_load_stops_after_a_while(job, rows):
     job.send({"a": 1})
     stream = topics.stream_topic(job.spark, job.location)
