@@ -6,6 +6,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -141,15 +142,28 @@ def run_load(
     metrics: str | None = None,
     trigger: dict | None = None,
     wait: bool = True,
+    keep: bool = False,
 ) -> StreamingQuery:
     """Load an unbounded table of messages into ``collection``.
 
     Each batch is one narrow pass: parse, judge, write to the folder of its batch number.
     Counts are observed during the write and kept under ``metrics``. The default trigger
-    drains what is there and stops; ``LIVE_TRIGGER`` keeps going."""
+    drains what is there and stops; ``LIVE_TRIGGER`` keeps going. With ``keep`` a batch is
+    held while it is worked on, for a ``prepare`` that reads it more than once from a source
+    where that is dear."""
     claim(collection, checkpoint)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        if not keep:
+            write_batch(batch, batch_id)
+            return
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(held, batch_id)
+        finally:
+            held.unpersist()
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         rows, seen = observed_counts(prepare(batch, batch_id))
@@ -170,11 +184,12 @@ def run_load(
 
 
 def run_for(query: StreamingQuery, seconds: float) -> None:
-    """Let a live load run for a while, finish what has arrived, and stop it."""
+    """Let a live load run for a while and stop it between two batches. What has arrived
+    since waits for the next run on the same checkpoint."""
     query.awaitTermination(seconds)
-    if query.isActive:
-        query.processAllAvailable()
-        query.stop()
+    while query.isActive and query.status["isTriggerActive"]:
+        query.awaitTermination(0.2)
+    query.stop()
 
 
 def claim(collection: Collection, checkpoint: str) -> None:

@@ -30,7 +30,7 @@ class Setup:
         stream = topics.stream_topic(self.spark, self.location, **options)
         return load.run_load(
             stream, prepare or load.declared(DOC), self.store, self.checkpoint,
-            metrics=self.metrics,
+            metrics=self.metrics, keep=prepare is not None,
         )
 
 
@@ -143,7 +143,8 @@ def test_live_load_stops_after_a_while(job, rows):
         stream, load.declared(DOC), job.store, job.checkpoint,
         trigger=load.LIVE_TRIGGER, wait=False,
     )
-    load.run_for(query, 1)
+    query.processAllAvailable()
+    load.run_for(query, 0.5)
     assert not query.isActive
     assert rows(job.store.read(), "a") == [(1,)]
 
