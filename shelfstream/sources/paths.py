@@ -35,6 +35,17 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
 
 def get_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small control file, None when there is none."""
-    if not exists(spark, path):
+    location, files = _open(spark, path)
+    if not files.exists(location):
         return None
-    return "\n".join(row.value for row in spark.read.text(path).collect())
+    stream = files.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one file."""
+    location, files = _open(spark, path)
+    files.delete(location, False)

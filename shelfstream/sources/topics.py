@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from shelfstream import schemas
 from shelfstream.functions.nested import row_json
@@ -15,6 +15,8 @@ from shelfstream.sources import paths
 from shelfstream.sources.records import from_pairs
 
 FILES = "parquet"
+# control files of the log; Spark's readers pass over names with an underscore
+_NEXT, _WRITING = "_next_offset", "_writing"
 
 
 def to_messages(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
@@ -53,10 +55,8 @@ def publish(
         messages.select(*columns).write.format(fmt).options(topic=topic, **options).save()
         return
     spark = messages.sparkSession
-    start = 0
-    if paths.children(spark, location):
-        last = read_topic(spark, location).agg(F.max("offset")).first()[0]
-        start = 0 if last is None else last + 1
+    start = _next_offset(spark, location)
+    sent = Observation()
     rows = messages.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
@@ -64,8 +64,25 @@ def publish(
         _partition_of(messages, partitions).alias("partition"),
         (F.lit(start).cast("bigint") + F.monotonically_increasing_id()).alias("offset"),
         F.current_timestamp().alias("timestamp"),
-    )
+    ).observe(sent, F.max("offset").alias("last"))
+    paths.put_text(spark, f"{location}/{_WRITING}", "")
     rows.write.mode("append").parquet(location)
+    last = sent.get["last"]
+    paths.put_text(spark, f"{location}/{_NEXT}", str(start if last is None else last + 1))
+    paths.remove(spark, f"{location}/{_WRITING}")
+
+
+def _next_offset(spark: SparkSession, location: str) -> int:
+    """Where the next publish starts, from the note the last one left. Only after one that did
+    not end is the log itself searched."""
+    noted = paths.get_text(spark, f"{location}/{_NEXT}")
+    broken = paths.exists(spark, f"{location}/{_WRITING}")
+    if noted is not None and not broken:
+        return int(noted)
+    if not broken and not paths.children(spark, location):
+        return 0
+    last = read_topic(spark, location).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
 
 
 def publish_pairs(

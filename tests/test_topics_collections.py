@@ -34,6 +34,20 @@ def test_publish_twice_offsets_go_on(spark, tmp_path):
     assert {r.topic for r in log.select("topic").distinct().collect()} == {"t"}
 
 
+def test_publish_after_one_that_did_not_end(spark, tmp_path):
+    location = tmp_path / "topic"
+    for broken in (False, True, False):
+        if broken:
+            (location / "_writing").touch()
+            (location / "_next_offset").write_text("0")
+            (location / "._next_offset.crc").unlink()
+        topics.publish_pairs(spark, [("a", "1"), ("b", "2")], "t", location=str(location))
+        topics.publish_pairs(spark, [], "t", location=str(location))
+    log = topics.read_topic(spark, str(location))
+    assert (log.count(), log.select("offset").distinct().count()) == (6, 6)
+    assert not (location / "_writing").exists()
+
+
 def test_explicit_partition_and_peek(spark, tmp_path):
     location = str(tmp_path / "topic")
     messages = spark.createDataFrame(
