@@ -156,7 +156,7 @@ def names_export(spark, sf_dir):
         F.col("c_name").alias("lastname"),
     )
     name_plans.export_names(names, path)
-    return files.read_delimited(spark, path, schemas.NAME, sep=",")
+    return files.read_delimited(spark, path, schemas.NAME, sep=",", escape='"')
 
 
 @query("""SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer""")
@@ -720,6 +720,34 @@ def als_predictions(spark, sf_dir):
     return recommend.score(factors, test).select("user_id", "isbn", "rating", "prediction")
 
 
+@query(f"""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, CAST(l_quantity AS INT) % 11 AS rating,
+    l_orderkey * 8 + l_linenumber AS row_key FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+s AS (SELECT *, {_HELD_OUT_SQL} AS held_out FROM r)
+SELECT u AS user_id, i AS isbn, rating, TRUE AS scored FROM s WHERE held_out
+  AND u IN (SELECT u FROM s WHERE NOT held_out) AND i IN (SELECT i FROM s WHERE NOT held_out)""")
+def als_scored_rows(spark, sf_dir):
+    """Which held-out rows get a prediction."""
+    _, factors, test = _fitted(spark, sf_dir)
+    return recommend.score(factors, test).select(
+        "user_id", "isbn", "rating", F.col("prediction").isNotNull().alias("scored")
+    )
+
+
+@query("""SELECT o_custkey AS user_id, COUNT(*) AS n, COUNT(DISTINCT l_partkey) AS n_items,
+  CAST(SUM(CAST(l_quantity AS INT) % 11) AS BIGINT) AS total
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def decode_ids(spark, sf_dir):
+    """Ratings with numeric ids only, led back through the stored mappings."""
+    encoded = _encoded(spark, sf_dir)
+    numbers = encoded.ratings.select(recommend.USER, recommend.ITEM, "rating")
+    pairs = recommend.decode(numbers, encoded).groupBy("user_id", "isbn").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total")
+    )
+    return pairs.groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.count("isbn").alias("n_items"), F.sum("total").alias("total")
+    )
+
+
 @query()
 def als_rmse(spark, sf_dir):
     _, factors, test = _fitted(spark, sf_dir)

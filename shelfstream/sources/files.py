@@ -10,21 +10,23 @@ CORRUPT = "_corrupt_record"
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str = ";"
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", **options: str
 ) -> DataFrame:
-    """A file with a header line whose names are ignored in favour of ``schema``'s. Text that
-    looks like an escape or a null marker is kept as it is."""
-    return spark.read.csv(path, schema=schema, sep=sep, header=True, enforceSchema=True)
+    """A file with a header line whose names are ignored in favour of ``schema``'s. Spark's
+    CSV options apply: files that double a quote inside quotes need ``escape='"'``."""
+    reader = spark.read.options(**options)
+    return reader.csv(path, schema=schema, sep=sep, header=True, enforceSchema=True)
 
 
 def read_inferred(
     spark: SparkSession, path: str, sep: str = ",", text_columns: tuple[str, ...] = (),
-    sampling: float = 1.0,
+    sampling: float = 1.0, **options: str,
 ) -> DataFrame:
     """A file with a header line and inferred types. Keys named in ``text_columns`` stay
     text: inference would turn a column of digits into numbers and lose leading zeros.
     Inference reads the ``sampling`` share of the rows once more; the rows read are all."""
-    inferred = spark.read.csv(
+    reader = spark.read.options(**options)
+    inferred = reader.csv(
         path, sep=sep, header=True, inferSchema=True, samplingRatio=sampling
     )
     if not text_columns:
@@ -33,7 +35,7 @@ def read_inferred(
         T.StructField(f.name, T.StringType() if f.name in text_columns else f.dataType)
         for f in inferred.schema.fields
     ]
-    return spark.read.csv(path, schema=T.StructType(fields), sep=sep, header=True)
+    return reader.csv(path, schema=T.StructType(fields), sep=sep, header=True)
 
 
 def read_json_text(

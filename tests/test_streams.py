@@ -228,3 +228,23 @@ def test_rich_books_with_bad_nested_text(spark, tmp_path):
     (kept,) = store.read().collect()
     assert (kept.isbn, kept.series, kept.similar_books) == ("1", [], ["1"])
     assert [r[REASON] for r in store.rejects().collect()] == ["nested:series"]
+
+
+def test_books_under_the_names_of_their_own_header(job, rows, tmp_path):
+    """An inferred file with dashed names, kept as text where it is a key, loaded by drift."""
+    from shelfstream.sources.files import read_inferred
+
+    path = tmp_path / "books.csv"
+    path.write_text(
+        '"ISBN";"Book-Title";"Year.Of";"Image-URL-S"\n'
+        '"0195153448";"A ""quoted"" title; or two";2002;"http://x"\n"000201";"B";1999;"http://y"\n'
+    )
+    found = read_inferred(job.spark, str(path), sep=";", text_columns=("ISBN",), escape='"')
+    rejected = books.publish_books(found, "books", location=job.location)
+    assert rejected.count() == 0
+    job.load(load.drifting(job.store))
+    kept = books.catalogue(job.store.read()).drop("_id")
+    assert kept.columns == ["Book-Title", "ISBN", "Year.Of"]
+    assert rows(kept) == [
+        ('A "quoted" title; or two', "0195153448", 2002), ("B", "000201", 1999),
+    ]
