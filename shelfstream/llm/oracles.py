@@ -62,16 +62,16 @@ SQL["op9_licenses"] = f"""
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
 ), w AS (
-  SELECT doc_id, low, list_filter(string_split_regex(low, '{licenses.BETWEEN}'), x -> x <> '') AS words FROM d
+  SELECT doc_id, low, list_filter(string_split_regex(low, '{licenses.BETWEEN}'), lambda x: x <> '') AS words FROM d
 ), p AS (
   SELECT *, string_split(phrase, ' ') AS parts FROM ({_PHRASES})
 ), b AS (
-  SELECT doc_id, label, i - 1 AS at
+  SELECT doc_id, label, i - 1 AS place
   FROM (SELECT doc_id, words, label, parts, unnest(range(1, len(words) + 1)) AS i FROM w, p
         WHERE contains(low, parts[1]) AND contains(low, parts[2]))
   WHERE words[i : i + len(parts) - 1] = parts
 ), base AS (
-  SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word,
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id
 ), l AS (
   SELECT doc_id, list_distinct(string_split_regex(unnest(string_split(low, chr(10))), '{licenses.BETWEEN}')) AS words FROM d

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfstream.llm import licenses, mixing, rule_forest, rule_stats, token_blocks, warc
+from shelfstream.llm import containment, licenses, mixing, rule_forest, rule_stats, token_blocks, toxicity, warc, weighted_minhash
 from shelfstream.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = containment.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_held", "containment")
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select(
@@ -37,6 +43,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "vote", "near_ids", "near_cosines")
+
+
+@query
+def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))

@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ BLOCK_HEAD = struct.Struct("<IBH")
 PERCENTILE = 0.95
 END_ID = 2
 FILE_IDS = 1 << 22
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -122,6 +123,16 @@ def decode_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return doc_ids, nulls, counts, unpack(raw[HEADER.size : at], starts, n)
 
 
+_encoders: dict[str, "Encoder"] = {}
+
+
+def encoder_of(path: str) -> "Encoder":
+    """One encoder per worker process, so that its tasks share what it remembers."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, remembering words."""
 
@@ -129,14 +140,17 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.starts, self.flat, self.used = [0], [], 0
+        self.tokenizer = Tokenizer.from_file(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.starts, self.flat = {}, array("Q", [0]), array("I")
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids with the end id of each text, numbers of ids)."""
         split = [(t or "").encode().split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known, self.starts, self.flat = {}, [0], []
+            self._forget()
         new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.known]
         for i in range(0, len(new), 5000):
             part = [w.decode() for w in new[i : i + 5000]]
@@ -144,9 +158,9 @@ class Encoder:
                 self.known[word] = len(self.known)
                 self.flat.extend(coded.ids)
                 self.starts.append(len(self.flat))
-        starts, flat = np.array(self.starts), np.array([*self.flat, END_ID], np.uint32)
-        end = len(starts) - 1  # the end id is the last of the remembered "words"
-        starts = np.append(starts, len(flat))
+        end = len(self.starts) - 1  # the end id is the last of the remembered "words"
+        starts = np.append(np.frombuffer(self.starts, np.uint64), len(self.flat) + 1).astype(np.int64)
+        flat = np.append(np.frombuffer(self.flat, np.uint32), np.uint32(END_ID))
         index = np.fromiter(
             (i for words in split for i in (*map(self.known.__getitem__, words), end)),
             np.int64, sum(map(len, split)) + len(split),
@@ -165,7 +179,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
     ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
 
     def run(batches):
-        encoder, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = encoder_of(tokenizer), TaskContext.get().partitionId()
         held_ids, held_docs, held_counts, held, number = [], [], [], 0, 0
 
         def close():
@@ -177,10 +191,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
 
         for batch in batches:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for i in range(0, len(keys), 500):
-                ids, counts = encoder.encode(texts.slice(i, 500).to_pylist())
+            for i in range(0, len(keys), 2000):
+                ids, counts = encoder.encode(texts.slice(i, 2000).to_pylist())
                 held_ids.append(ids)
-                held_docs += keys[i : i + 500]
+                held_docs += keys[i : i + 2000]
                 held_counts += counts.tolist()
                 held += len(ids)
                 if held >= file_ids:
