@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfstream.llm import containment, licenses, mixing, rule_forest, rule_stats, token_blocks, toxicity, warc, weighted_minhash
+from shelfstream.llm import (
+    containment, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks, toxicity,
+    warc, weighted_minhash,
+)
 from shelfstream.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +39,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select(
@@ -54,6 +62,11 @@ def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
