@@ -5,8 +5,8 @@ followed by a right one becomes one symbol. A name is a hash of the names it is
 substrings get equal names everywhere without a dictionary; only symbols within seven words of a
 substring's ends can differ. The name of a run would depend on where it ends, which a window need not
 see, so equal neighbours, always on one side, stay as they are. Of a 35-word window the symbols that begin 7 to 20 words in are the same
-wherever it stands; the least of them is its anchor. Anchors that two places share reveal repeats, and
-windows are then compared exactly (see repeats.py).
+wherever it stands; the least of them is its anchor, named with the words around it that all its windows
+hold. Anchors that two places share reveal repeats, and windows are then compared exactly (see repeats.py).
 
 Defined cases: null text is empty; texts under 35 words keep all; windows never cross documents; rows
 that share id and text have the same result."""
@@ -58,7 +58,7 @@ def recompress(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return name, start
 
 
-def word_anchors(units: np.ndarray):
+def word_anchors(units: np.ndarray, sums: np.ndarray):
     name, start = recompress(units)
     order = np.full(len(units), np.iinfo(np.uint64).max, np.uint64)
     order[start] = name
@@ -66,7 +66,8 @@ def word_anchors(units: np.ndarray):
     first, last, place = repeats.choose(
         order, MARGIN, WINDOW - MARGIN - LONGEST, len(units) - WINDOW + 1
     )
-    return first, last, place, order[place]
+    # all windows that an anchor serves hold the words around it, so these can tell anchors apart
+    return first, last, place, repeats.stretch(sums, place - MARGIN, place + MARGIN + LONGEST)
 
 
 WORDS = repeats.Kind(WINDOW, word_units, word_anchors)

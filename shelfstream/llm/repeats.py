@@ -27,7 +27,7 @@ from shelfstream.llm.text import row_key
 from shelfstream.llm.weighted_minhash import mix
 from shelfstream.session import materialise
 
-BUCKET = 4096  # rows of a symbol for each bucket
+BUCKET = 32768  # rows of a symbol for each bucket
 _SLICE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
@@ -38,9 +38,9 @@ class Kind:
 
     window: int
     units: Callable[[str], np.ndarray]  # one uint64 per unit, equal for equal units
-    # (first window, last window, place, symbol) of each anchor of one text
-    anchors: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    # which contexts of a bucket may share a window, from (units, offset) of each
+    # (first window, last window, place, symbol) of each anchor of one text, from its units and their sums
+    anchors: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    # which contexts of a bucket may share a window, from the units of each
     likely: Callable[[list[np.ndarray]], np.ndarray] | None = None
     dtype: type = np.uint64
 
@@ -66,10 +66,14 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix(units: np.ndarray) -> np.ndarray:
     """Sums from which the hash of any stretch follows."""
     out = np.zeros(len(units) + 1, np.uint64)
-    np.cumsum(mix(units) * _tables(len(units) + 1)[0][: len(units)], out=out[1:])
+    mixed = _BYTES[units] if units.dtype == np.uint8 else mix(units)
+    np.cumsum(mixed * _tables(len(units) + 1)[0][: len(units)], out=out[1:])
     return out
 
 
+_BYTES = mix(np.arange(256, dtype=np.uint64))
+
+
 def stretch(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hashes of units first..last-1."""
     return mix((sums[last] - sums[first]) * _tables(len(sums))[1][first] + (last - first).astype(np.uint64))
@@ -98,8 +102,8 @@ def _found(kind: Kind, text: str):
     units = kind.units(text)
     if len(units) < kind.window:
         return None
-    first, last, place, symbol = kind.anchors(units)
-    sums = prefix(units.astype(np.uint64))
+    sums = prefix(units)
+    first, last, place, symbol = kind.anchors(units, sums)
     context = mix(stretch(sums, first, last + kind.window) + (place - first).astype(np.uint64))
     return units, first, last, place, symbol, context
 
@@ -108,7 +112,9 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _anchors(rows: DataFrame, kind: Kind, placed: bool) -> DataFrame:
+def _anchors(rows: DataFrame, kind: Kind) -> DataFrame:
+    """(symbol, context, key, place) of all anchors."""
+
     def run(batches):
         for batch in batches:
             keys = batch.column("key").to_pylist()
@@ -119,12 +125,12 @@ def _anchors(rows: DataFrame, kind: Kind, placed: bool) -> DataFrame:
                         out.append((np.full(len(found[3]), key, np.int64), found[3], found[4], found[5]))
                 if out:
                     key, place, symbol, context = map(np.concatenate, zip(*out))
-                    names = ["symbol", "context"] + ["key", "place"] * placed
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(symbol), _signed(context)] + [pa.array(key), pa.array(place.astype(np.int32))] * placed, names
+                        [_signed(symbol), _signed(context), pa.array(key), pa.array(place.astype(np.int32))],
+                        ["symbol", "context", "key", "place"],
                     )
 
-    return rows.select("key", "text").mapInArrow(run, "symbol long, context long" + ", key long, place int" * placed)
+    return rows.select("key", "text").mapInArrow(run, "symbol long, context long, key long, place int")
 
 
 def _buckets(contexts: DataFrame, kind: Kind) -> DataFrame:
@@ -179,7 +185,7 @@ def _compare(rows: list[tuple], kind: Kind):
             yield symbol, c, -offset, last - offset, None
         if likely[i]:
             starts = np.arange(last + 1)
-            sums = prefix(part.astype(np.uint64))
+            sums = prefix(part)
             tags.append(np.full(last + 1, i))
             offsets.append(starts - offset)
             hashes.append(mix(stretch(sums, starts, starts + kind.window) + (starts - offset).astype(np.uint64)))
@@ -207,11 +213,12 @@ def covered(docs: DataFrame, kind: Kind, doc_id: str, text: str) -> tuple[DataFr
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
     rows = rows.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    counted = _anchors(rows, kind, False).groupBy("symbol").agg(
+    anchors = materialise(_anchors(rows, kind), "anchors")
+    counted = anchors.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
     again = counted.filter("n > 1").select("symbol", "n", (F.col("low") != F.col("high")).alias("differ"))
-    met = materialise(_anchors(rows, kind, True).join(again, "symbol"), "repeated-anchors")
+    met = materialise(anchors.join(again, "symbol"), "repeated-anchors")
     wanted = met.groupBy("key").agg(
         F.collect_set(F.when(~F.col("differ"), F.col("place"))).alias("sure"),
         F.collect_set(F.when(F.col("differ"), F.struct("place", "n"))).alias("open"),

@@ -27,8 +27,7 @@ def byte_units(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def byte_anchors(units: np.ndarray):
-    sums = repeats.prefix(units.astype(np.uint64))
+def byte_anchors(units: np.ndarray, sums: np.ndarray):
     starts = np.arange(len(units) - GRAM + 1)
     order = repeats.stretch(sums, starts, starts + GRAM)
     first, last, place = repeats.choose(order, 0, WINDOW - GRAM, len(units) - WINDOW + 1)
