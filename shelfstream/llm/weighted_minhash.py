@@ -19,6 +19,7 @@ repeat one are one node; an empty table gives an empty result."""
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from shelfstream.llm.plain import plain_words
 from shelfstream.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 10, 2
+BANDS, ROWS = 9, 2
 RARE = 0.01
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -50,18 +51,21 @@ class Words:
     """Hashes and idf of words, remembered by a task."""
 
     def __init__(self, idf: dict[int, float], most: float, limit: int = 300_000):
-        self.idf, self.most, self.limit, self.known = idf, most, limit, {}
+        self.idf, self.most, self.limit = idf, most, limit
+        self.known, self.hashes, self.weights = {}, array("Q"), array("d")
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.limit:
-            self.known = {}
+            self.known, self.hashes, self.weights = {}, array("Q"), array("d")
         known = self.known
         for w in words:
             if w not in known:
                 h = word_hash(w)
-                known[w] = (h, self.idf.get(h, self.most))
-        pairs = [known[w] for w in words]
-        return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.float64)
+                known[w] = len(known)
+                self.hashes.append(h)
+                self.weights.append(self.idf.get(h, self.most))
+        places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.hashes, np.uint64)[places], np.frombuffer(self.weights, np.float64)[places]
 
 
 def weighted(words: list[bytes], of: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -79,23 +83,27 @@ def weighted(words: list[bytes], of: Words) -> tuple[np.ndarray, np.ndarray]:
     return shingle, weight[first] * times
 
 
-def sample(shingle: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One number per band, equal for texts whose samples of the band are equal."""
-    out = np.zeros(BANDS, np.uint64)
+def samples(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """One row per text and one number per band, equal for texts whose samples of the band are equal.
+    Every text has a shingle; many texts are drawn for at once, as most are short."""
+    lengths = np.array([len(s) for s, _ in texts])
+    shingle, weight = (np.concatenate(x) for x in zip(*texts))
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    starts = np.cumsum(lengths) - lengths
+    out = np.zeros((len(texts), BANDS), np.uint64)
     log_weight = np.log(weight)
-    unit = 1.0 / 2**32
-    low = np.uint64(0xFFFFFFFF)
+    unit, low, half = 1.0 / 2**32, np.uint64(0xFFFFFFFF), np.uint64(32)
     for k in range(BANDS * ROWS):
         a = mix(shingle + np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64))
-        b = mix(a + _M1)
-        c = mix(b + _M2)
-        r = -np.log(((a & low) + 0.5) * unit * ((a >> np.uint64(32)) + 0.5) * unit)
-        gamma = -np.log(((b & low) + 0.5) * unit * ((b >> np.uint64(32)) + 0.5) * unit)
-        level = np.floor(log_weight / r + (c >> np.uint64(32)) * unit)
-        drawn = np.log(gamma) - r * (level - (c >> np.uint64(32)) * unit) - r
-        i = int(np.argmin(drawn))
-        band = k // ROWS
-        out[band] = mix(out[band] + shingle[i : i + 1] + mix(np.array([int(level[i]) % 2**64], np.uint64)))[0]
+        b, c = mix(a + _M1), (a ^ _M1) * _M2
+        r = -np.log(((a & low) + 0.5) * ((a >> half) + 0.5) * unit**2)
+        gamma = -np.log(((b & low) + 0.5) * ((b >> half) + 0.5) * unit**2)
+        shift = (c >> half) * unit
+        level = np.floor(log_weight / r + shift)
+        drawn = np.log(gamma) - r * (level - shift + 1)
+        least = np.flatnonzero(drawn == np.repeat(np.minimum.reduceat(drawn, starts), lengths))
+        at = least[np.unique(owner[least], return_index=True)[1]]
+        out[:, k // ROWS] = mix(out[:, k // ROWS] + shingle[at] + mix(level[at].astype(np.int64).view(np.uint64)))
     return out
 
 
@@ -153,11 +161,25 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
     def run(batches):
         of = Words(shared.value, most)
         for batch in batches:
-            same, bands = [], []
+            same, bands, held, size = [], [], [], 0
+
+            def draw():
+                for i, row in zip([i for i, _ in held], samples([x for _, x in held]).view(np.int64).tolist()):
+                    bands[i] = row
+                held.clear()
+
             for t in batch.column("text").to_pylist():
                 words = plain_words(t)
                 same.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
-                bands.append(sample(*weighted(words, of)).view(np.int64).tolist() if words else [])
+                bands.append([])
+                if words:
+                    held.append((len(bands) - 1, weighted(words, of)))
+                    size += len(words)
+                    if size > 20_000:
+                        draw()
+                        size = 0
+            if held:
+                draw()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(same), pa.array(bands, pa.list_(pa.int64()))],
                 ["doc_id", "same", "bands"],
