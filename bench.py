@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from shelfstream import queries as registry
@@ -30,6 +31,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": CPUS,
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shelfstream-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

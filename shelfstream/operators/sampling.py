@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # 32-bit multiplicative hashing (the golden-ratio multiplier).
 _MULTIPLIER = 2654435761
-_BUCKETS = 1 << 16
+_BUCKETS = 1 << 32
 
 
 def bernoulli(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -24,18 +24,22 @@ def random_split(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Dat
 
 
 def hash_bucket(key: Column, seed: int = 0) -> Column:
-    """0..65535 from a whole-number key: the upper half of a multiplicative hash. The key is
-    cut to 31 bits first, so the product fits a bigint at any table size."""
+    """0..2^32-1 from a whole-number key, by a multiplicative hash. The upper bits of the key are
+    folded into the lower 31, so the product fits a bigint and no bit is lost sight of."""
     bits = F.lit(1 << 31)
-    low = F.pmod(key.cast("bigint"), bits)
+    whole = key.cast("bigint")
+    low = F.pmod(whole.bitwiseXOR(F.shiftright(whole, 31)), bits)
     if seed:
         low = F.pmod(low + F.lit(seed % (1 << 31)), bits)
-    return F.shiftright(F.pmod(low * F.lit(_MULTIPLIER), F.lit(1 << 32)), 16)
+    return F.pmod(low * F.lit(_MULTIPLIER), F.lit(_BUCKETS))
 
 
 def in_share(key: Column, share: float, seed: int = 0) -> Column:
     """True for about ``share`` of the keys; a row's side never changes between runs."""
-    return hash_bucket(key, seed) < F.lit(int(share * _BUCKETS))
+    limit = int(share * _BUCKETS)
+    if share > 0 and limit == 0:
+        raise ValueError(f"a share of {share} is finer than the hash")
+    return hash_bucket(key, seed) < F.lit(limit)
 
 
 def hash_split(

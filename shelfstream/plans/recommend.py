@@ -36,7 +36,8 @@ def popular_items(
     """The ``k`` items with most ratings, with their catalogue rows. Items the catalogue does
     not know are left out after the ranking."""
     top = top_k(group_count(ratings, item, rating, name), name, item, k)
-    return join_few(books, top, item, k)
+    # the join loses the order of the ranking; k rows are sorted once more
+    return join_few(books, top, item, k).orderBy(F.desc(name), item)
 
 
 # -- numeric ids --------------------------------------------------------------------------

@@ -10,7 +10,6 @@ from shelfstream import schemas
 from shelfstream.functions.nested import bad_object_id, object_id, typed_json
 from shelfstream.functions.text import location_parts, to_int
 from shelfstream.operators import aggregates, contracts, filters, joins, keys, ranking, sampling
-from shelfstream.operators.layout import spread
 from shelfstream.plans import books as book_plans
 from shelfstream.plans import names as name_plans
 from shelfstream.plans import ratings as rating_plans
@@ -232,7 +231,7 @@ def reject_rows(spark, sf_dir):
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
   [event_type, CAST(user_id AS VARCHAR)] AS series, event_type AS shelf FROM events""")
 def parse_nested(spark, sf_dir):
-    events = spread(t.table(spark, sf_dir, "events"))
+    events = t.table(spark, sf_dir, "events")
     as_text = events.select(
         "event_id", "props",
         F.to_json(F.array("event_type", F.col("user_id").cast("string"))).alias("series"),
@@ -335,7 +334,7 @@ _PAIRS_SQL = """WITH f AS (SELECT p_type, w, row_number() OVER (PARTITION BY p_t
       COUNT(*) OVER (PARTITION BY p_type) AS n
     FROM (SELECT DISTINCT p_type, split_part(p_name, ' ', 2) AS w FROM part))
 SELECT f.p_type AS country, f.w AS firstname, l.w AS lastname FROM f JOIN l ON f.p_type = l.p_type
-WHERE (((i * n + j) * 2654435761) % 4294967296) >> 16 < 19660"""
+WHERE (((i * n + j) * 2654435761) % 4294967296) < 1288490188"""
 
 
 @query(_PAIRS_SQL)
@@ -380,7 +379,7 @@ SELECT word, COUNT(*) AS n FROM w GROUP BY 1"""
 
 @query(_WORDS_SQL)
 def word_count(spark, sf_dir):
-    texts = spread(t.table(spark, sf_dir, "documents").select("text"))
+    texts = t.table(spark, sf_dir, "documents").select("text")
     return aggregates.word_counts(aggregates.lines_of(texts))
 
 
@@ -455,7 +454,7 @@ def topn_of_one_user(spark, sf_dir):
     return ranking.best_of_one(best, "user_id", 7, "rating", "isbn", 5)
 
 
-@query("""SELECT CASE WHEN (((l_orderkey * 8 + l_linenumber) % 2147483648 * 2654435761) % 4294967296) >> 16 < 52428
+@query("""SELECT CASE WHEN (((l_orderkey * 8 + l_linenumber) % 2147483648 * 2654435761) % 4294967296) < 3435973836
   THEN 'train' ELSE 'test' END AS part, COUNT(*) AS n FROM lineitem GROUP BY 1""")
 def holdout_split(spark, sf_dir):
     lines = t.table(spark, sf_dir, "lineitem")
@@ -626,7 +625,7 @@ def stream_load_rich_books(spark, sf_dir):
 def batch_metrics(spark, sf_dir):
     """Sizes of the batches of a load, summed: every 17th message is cut off."""
     location = fresh_path(spark, "topic")
-    orders = spread(t.table(spark, sf_dir, "orders")).select("o_orderkey", "o_orderpriority")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     messages = topics.to_messages(orders, "o_orderkey").withColumn(
         "value",
         F.when(F.col("key").cast("bigint") % 17 == 0, F.substring("value", 1, 9))
@@ -670,7 +669,7 @@ def stream_load_drifting(spark, sf_dir):
 def word_count_stream(spark, sf_dir):
     """Documents as lines of text files; the counts of all batches are summed."""
     inbox, output = fresh_path(spark, "lines"), fresh_path(spark, "counts")
-    t.table(spark, sf_dir, "documents").select("text").repartition(4).write.text(inbox)
+    t.table(spark, sf_dir, "documents").select("text").write.text(inbox)
     words.run_word_count(
         topics.stream_lines(spark, inbox, maxFilesPerTrigger="2"), output,
         fresh_path(spark, "checkpoint"),
@@ -697,7 +696,7 @@ def _fitted(spark, sf_dir, **settings):
     return encoded, recommend.fit(train, seed=7, **settings), test
 
 
-_HELD_OUT_SQL = "((row_key % 2147483648 * 2654435761) % 4294967296) >> 16 >= 52428"
+_HELD_OUT_SQL = "((row_key % 2147483648 * 2654435761) % 4294967296) >= 3435973836"
 
 
 @query(f"""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, l_orderkey * 8 + l_linenumber AS row_key

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a cluster job wants; nothing here depends on the size of the machine. The number
-# of shuffle partitions is left to AQE, which merges small ones and splits skewed ones.
+# Settings a cluster job wants. AQE merges small shuffle partitions and splits skewed ones of
+# joins, but never raises their number, so a cluster starts with many.
 CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,14 +20,18 @@ CLUSTER_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+# 100 TB in 20,000 partitions are 5 GB each before AQE merges or splits
+MANY_PARTITIONS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 _fallback_dirs: dict[str, str] = {}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    many = {} if master and master.startswith("local") else MANY_PARTITIONS
     if master:
         builder = builder.master(master)
-    for key, value in {**CLUSTER_CONF, **conf}.items():
+    for key, value in {**CLUSTER_CONF, **many, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

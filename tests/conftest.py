@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shelfstream-tests-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

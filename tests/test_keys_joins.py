@@ -111,7 +111,7 @@ def test_hash_bucket_of_any_key(spark, key):
     bucket = spark.createDataFrame([(key,)], "k bigint").select(
         sampling.hash_bucket(F.col("k"))
     ).first()[0]
-    assert bucket == (((key % (1 << 31)) * 2654435761) % (1 << 32)) >> 16
+    assert bucket == (((key ^ (key >> 31)) % (1 << 31)) * 2654435761) % (1 << 32)
 
 
 def test_aggregates(spark, rows):
@@ -156,3 +156,13 @@ def test_hot_key_is_split_over_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_small_shares(spark):
+    keys = spark.range(2_000_000)
+    n = keys.filter(sampling.in_share(F.col("id"), 1e-5)).count()
+    assert 15 <= n <= 25
+    large = spark.range(1000).select((F.col("id") * 2**31).alias("id"))
+    assert 200 <= large.filter(sampling.in_share(F.col("id"), 0.3)).count() <= 400
+    with pytest.raises(ValueError):
+        sampling.in_share(F.col("id"), 1e-12)
