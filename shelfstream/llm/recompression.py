@@ -14,6 +14,7 @@ that share id and text have the same result."""
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,21 +28,25 @@ WINDOW, ROUNDS = 35, 3
 MARGIN = 2**ROUNDS - 1
 LONGEST = 2**ROUNDS
 REMEMBERED = 500_000
-_names: dict[bytes, int] = {}
+_places: dict[bytes, int] = {}
+_hashes = array("Q")
 
 
 def word_units(text: str) -> np.ndarray:
     """Hashes of the words; a worker remembers those it has seen, up to a bound."""
-    if len(_names) > REMEMBERED:
-        _names.clear()
     split = text.encode("utf-8", "surrogatepass").split()
-    out = np.empty(len(split), np.uint64)
-    for i, w in enumerate(split):
-        h = _names.get(w)
-        if h is None:
-            h = _names[w] = word_hash(w)
-        out[i] = h
-    return out
+    if len(_places) > REMEMBERED:
+        _places.clear()
+        del _hashes[:]
+    try:
+        places = np.fromiter(map(_places.__getitem__, split), np.int64, len(split))
+    except KeyError:
+        for w in split:
+            if w not in _places:
+                _places[w] = len(_places)
+                _hashes.append(word_hash(w))
+        places = np.fromiter(map(_places.__getitem__, split), np.int64, len(split))
+    return np.frombuffer(_hashes, np.uint64)[places] if split else np.zeros(0, np.uint64)
 
 
 def recompress(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
