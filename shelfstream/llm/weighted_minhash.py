@@ -155,13 +155,14 @@ def word_weights(docs: DataFrame, rare: float = RARE) -> tuple[dict[int, float],
 
 
 def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(doc_id, same, bands): ``same`` tells texts apart, word for word."""
+    """(doc_id, same, total, bands): ``same`` tells texts apart, word for word; total is the weight of all
+    shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
         of = Words(shared.value, most)
         for batch in batches:
-            same, bands, held, size = [], [], [], 0
+            same, total, bands, held, size = [], [], [], [], 0
 
             def draw():
                 for i, row in zip([i for i, _ in held], samples([x for _, x in held]).view(np.int64).tolist()):
@@ -172,8 +173,10 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
                 words = plain_words(t)
                 same.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 bands.append([])
+                total.append(0.0)
                 if words:
                     held.append((len(bands) - 1, weighted(words, of)))
+                    total[-1] = float(held[-1][1][1].sum())
                     size += len(words)
                     if size > 20_000:
                         draw()
@@ -181,11 +184,12 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
             if held:
                 draw()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(same), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "same", "bands"],
+                [batch.column("doc_id"), pa.array(same), pa.array(total, pa.float64()),
+                 pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "same", "total", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, same binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, same binary, total double, bands array<long>")
 
 
 def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
@@ -234,10 +238,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     signed = materialise(nodes(rows, idf, most), "signatures")
     texts = materialise(
         signed.filter(F.col("doc_id").isNotNull()).groupBy("same")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "texts",
+        .agg(F.min("doc_id").alias("node"), F.first("total").alias("total"), F.first("bands").alias("bands")), "texts",
     )
-    banded = texts.select("node", F.posexplode("bands").alias("band", "key")).select(
-        "node", F.xxhash64("band", "key").alias("bucket")
+    banded = texts.select("node", "total", F.posexplode("bands").alias("band", "key")).select(
+        "node", "total", F.xxhash64("band", "key").alias("bucket")
     ).distinct()
     full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = materialise(banded.join(full, "bucket"), "buckets")
@@ -248,20 +252,22 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     open_members = members
     while True:
         placed = open_members.join(labels, "node", "left") if labels is not None else open_members.withColumn("label", F.lit(None).cast("long"))
-        placed = materialise(placed.select("bucket", "node", F.coalesce("label", "node").alias("label")), "placed")
+        placed = materialise(placed.select("bucket", "node", "total", F.coalesce("label", "node").alias("label")), "placed")
         # buckets whose open members are in one component have no pair left to verify
         mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         placed = materialise(placed.join(mixed.filter("low != high").select("bucket"), "bucket"), "mixed")
         if placed.isEmpty():
             break
-        sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
+        sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"), F.min_by("total", "node").alias("weight"))
         rank = Window.partitionBy("bucket").orderBy("n", "first")
         # the smaller components send their first member, so a large group of copies is not walked through
         leaders = materialise(
             sizes.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= leaders_each)
-            .select("bucket", F.col("first").alias("leader"), F.col("label").alias("of")), "leaders",
+            .select("bucket", F.col("first").alias("leader"), F.col("label").alias("of"), "weight"), "leaders",
         )
-        pairs = placed.join(leaders, "bucket").filter("label != of").select(
+        pairs = placed.join(leaders, "bucket").filter("label != of")
+        # texts whose total weights differ more can't be that similar
+        pairs = pairs.filter(F.least("weight", "total") >= (threshold - 1e-6) * F.greatest("weight", "total")).select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
         found = materialise(verified(pairs, known, threshold).select("a", "b"), "verified")
@@ -269,7 +275,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         if not found.isEmpty():
             labels = components(links)
         done = leaders.select("bucket", F.col("leader").alias("node"))
-        open_members = placed.select("bucket", "node").join(done, ["bucket", "node"], "left_anti")
+        open_members = placed.select("bucket", "node", "total").join(done, ["bucket", "node"], "left_anti")
         leaders_each *= 2
     texts = texts.select("same", "node")
     if labels is not None:
