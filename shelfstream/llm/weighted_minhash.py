@@ -7,10 +7,12 @@ number of distinct words, these are a bounded list. Improved consistent weighted
 ``BANDS * ROWS`` (shingle, level) pairs per text; texts that agree in a band meet. Texts that are
 word for word the same are one node.
 
-Of a bucket, leaders are verified against the members not in their component, by exact weighted
-Jaccard similarity; components of the verified links are formed, and each round doubles the number of
-leaders per bucket, until every pair of a bucket was verified or is in one component. So copies aren't
-expanded into pairs, and no link between different components is left out.
+Of a bucket, the first member is verified against all others, by exact weighted Jaccard similarity, and
+components of the verified links are formed. In further rounds leaders, ``GROWTH`` times as many in each,
+are verified against the members not in their component, until every pair of a bucket was verified, is in
+one component or is ruled out: one minus the similarity is a distance, so two texts whose distances
+from the first member differ too much are not similar. So copies aren't expanded into pairs, and no
+link between different components is left out.
 
 Defined cases: null text is empty; texts without words are copies of each other; shorter texts than
 five words are one shingle; rows without an id have no class; ids are taken to be unique, rows that
@@ -23,7 +25,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfstream.llm.components import components
 from shelfstream.llm.plain import plain_words
@@ -32,6 +34,8 @@ from shelfstream.session import materialise
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 2
 RARE = 0.01
+GROWTH = 8  # leaders of a bucket in a round, times those of the round before
+SLACK = 1e-5  # for rounding
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -209,8 +213,8 @@ def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles binary, weights binary").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, known: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
+def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b, similarity) of pairs (a, b): their weighted Jaccard similarity."""
     left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
     right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "wa", "sb", "wb")
@@ -228,7 +232,31 @@ def verified(pairs: DataFrame, known: DataFrame, threshold: float = SIMILARITY)
                 [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"]
             )
 
-    return joined.mapInArrow(run, "a long, b long, similarity double").filter(F.col("similarity") >= threshold)
+    return joined.mapInArrow(run, "a long, b long, similarity double")
+
+
+def ratio(a: str, b: str) -> Column:
+    """The lesser of two total weights over the greater, which no similarity can exceed."""
+    return F.least(a, b) / F.greatest(a, b)
+
+
+def pivoted(members: DataFrame, known: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Similarities (a, b, similarity) of the first member of each bucket and the others, and these
+    others with ``low`` and ``high``, between which their distance from it lies."""
+    firsts = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.min_by("total", "node").alias("weight"))
+    near = materialise(
+        members.join(firsts, "bucket").filter("node != pivot")
+        .select("bucket", "node", "total", "pivot", ratio("total", "weight").alias("most")), "pivots",
+    )
+    asked = near.filter(F.col("most") >= threshold - SLACK).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    measured = materialise(verified(asked, known), "measured")
+    far = near.join(
+        measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"), ["pivot", "node"], "left"
+    )
+    return measured, materialise(far.select(
+        "bucket", "node", "total", (1 - F.coalesce("similarity", "most")).alias("low"),
+        F.coalesce(1 - F.col("similarity"), F.lit(1.0)).alias("high"),
+    ), "distances")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -247,36 +275,47 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     members = materialise(banded.join(full, "bucket"), "buckets")
     asked = materialise(members.select(F.col("node").alias("doc_id")).distinct(), "members")
     known = materialise(vectors(rows.join(asked, "doc_id", "left_semi"), idf, most), "vectors")
-    labels = links = None
-    leaders_each = 1
-    open_members = members
+    measured, open_members = pivoted(members, known, threshold)
+    links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
+    labels = None if links.isEmpty() else components(links)
+    leaders_each = GROWTH
     while True:
         placed = open_members.join(labels, "node", "left") if labels is not None else open_members.withColumn("label", F.lit(None).cast("long"))
-        placed = materialise(placed.select("bucket", "node", "total", F.coalesce("label", "node").alias("label")), "placed")
+        placed = materialise(
+            placed.select("bucket", "node", "total", "low", "high", F.coalesce("label", "node").alias("label")), "placed"
+        )
         # buckets whose open members are in one component have no pair left to verify
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        placed = materialise(placed.join(mixed.filter("low != high").select("bucket"), "bucket"), "mixed")
+        mixed = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        placed = materialise(placed.join(mixed.filter("least != most").select("bucket"), "bucket"), "mixed")
         if placed.isEmpty():
             break
-        sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"), F.min_by("total", "node").alias("weight"))
+        sizes = placed.groupBy("bucket", "label").agg(
+            F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
+            F.min_by(F.struct("total", "low", "high"), "node").alias("led"),
+        )
         rank = Window.partitionBy("bucket").orderBy("n", "first")
         # the smaller components send their first member, so a large group of copies is not walked through
         leaders = materialise(
-            sizes.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= leaders_each)
-            .select("bucket", F.col("first").alias("leader"), F.col("label").alias("of"), "weight"), "leaders",
+            sizes.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= leaders_each).select(
+                "bucket", F.col("first").alias("leader"), F.col("label").alias("of"), F.col("led.total").alias("weight"),
+                F.col("led.low").alias("of_low"), F.col("led.high").alias("of_high"),
+            ), "leaders",
         )
-        pairs = placed.join(leaders, "bucket").filter("label != of")
-        # texts whose total weights differ more can't be that similar
-        pairs = pairs.filter(F.least("weight", "total") >= (threshold - 1e-6) * F.greatest("weight", "total")).select(
+        pairs = placed.join(leaders, "bucket").filter("label != of").filter(ratio("weight", "total") >= threshold - SLACK)
+        # by the triangle inequality, as 1 - similarity is a distance
+        apart = F.greatest(F.col("low") - F.col("of_high"), F.col("of_low") - F.col("high"))
+        pairs = pairs.filter(apart <= 1 - threshold + SLACK).select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
-        found = materialise(verified(pairs, known, threshold).select("a", "b"), "verified")
-        links = found if links is None else links.union(found)
+        found = materialise(
+            verified(pairs, known).filter(F.col("similarity") >= threshold).select("a", "b"), "verified"
+        )
         if not found.isEmpty():
+            links = links.union(found)
             labels = components(links)
         done = leaders.select("bucket", F.col("leader").alias("node"))
-        open_members = placed.select("bucket", "node", "total").join(done, ["bucket", "node"], "left_anti")
-        leaders_each *= 2
+        open_members = placed.drop("label").join(done, ["bucket", "node"], "left_anti")
+        leaders_each *= GROWTH
     texts = texts.select("same", "node")
     if labels is not None:
         texts = texts.join(labels, "node", "left").select("same", F.coalesce("label", "node").alias("class_id"))
