@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstream.session import materialise
 
-FACTOR_SCHEMA = "id int, features array<float>"
+FACTOR_SCHEMA = "id long, features array<float>"
 
 
 def starting_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
@@ -59,6 +59,14 @@ def _whole_gram(factors: DataFrame, rank: int) -> np.ndarray:
     return gram
 
 
+def _solved(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solutions of the systems; of a singular one, the shortest that fits best."""
+    try:
+        return np.linalg.solve(gram, right[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        return np.stack([np.linalg.lstsq(g, r, rcond=None)[0] for g, r in zip(gram, right)])
+
+
 def _solver(rank: int, reg: float, shared: np.ndarray | None):
     upper = tuple(zip(*_pairs(rank)))
     n_gram = len(upper[0])
@@ -75,7 +83,7 @@ def _solver(rank: int, reg: float, shared: np.ndarray | None):
             if shared is not None:
                 gram += shared
             gram += reg * batch["_n"].to_numpy()[:, None, None] * np.eye(rank)
-            solved = np.linalg.solve(gram, sums[:, n_gram:, None])[:, :, 0]
+            solved = _solved(gram, sums[:, n_gram:])
             yield pd.DataFrame({"id": batch["id"], "features": list(solved.astype(np.float32))})
 
     return solve
@@ -108,7 +116,8 @@ def alternate(
 ) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors), both (id, features). Each half step is written to the
     shared folder, so neither plans nor lost executors reach back further than one step."""
-    ratings = materialise(ratings.select(user, item, "rating"), "als-ratings")
+    ids = [F.col(c).cast("long").alias(c) for c in (user, item)]
+    ratings = materialise(ratings.select(*ids, "rating"), "als-ratings")
     users = materialise(
         starting_factors(ratings.select(F.col(user).alias("id")).distinct(), rank, seed), "als"
     )

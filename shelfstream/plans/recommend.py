@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -21,12 +22,6 @@ USER, ITEM = "user_num", "item_num"
 # Training settings.
 RANK, ITERATIONS, REG = 10, 5, 0.01
 TRIPLET_RANK, TRIPLET_ITERATIONS = 20, 10
-# ratings of one user or item that a single solver task may gather
-MAX_GATHERED = 20_000_000
-RATINGS_PER_BLOCK = 5_000_000
-MAX_BLOCKS = 1_000
-# users (or items) whose recommendations are made in one pass over the other side
-MAX_ASKED = 1_000
 
 
 def popular_items(
@@ -56,10 +51,7 @@ def encode(ratings: DataFrame, user: str, item: str) -> Encoded:
     """Number users and items, the most frequent first. The mappings are tables that can be
     stored; rows without a user or item are dropped."""
     users, items = (
-        materialise(
-            frequency_ids(ratings, key, number).withColumn(number, F.col(number).cast("int")),
-            number,
-        )
+        materialise(frequency_ids(ratings, key, number), number)
         for key, number in ((user, USER), (item, ITEM))
     )
     numbered = ratings.join(users.drop("n"), user).join(items.drop("n"), item)
@@ -72,7 +64,7 @@ def encode(ratings: DataFrame, user: str, item: str) -> Encoded:
 @dataclass(frozen=True)
 class Factors:
     """Fitted factors, (id, features) for each side, as tables of their own; ``model`` when
-    Spark ML fitted them."""
+    the caller asked for Spark ML."""
 
     users: DataFrame
     items: DataFrame
@@ -80,37 +72,24 @@ class Factors:
     model: ALSModel | None = None
 
 
-def group_sizes(train: DataFrame) -> tuple[int, int]:
-    """(rows, most ratings any user or item has), from counts combined before the shuffle."""
-    sizes = [
-        train.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
-        for c in (USER, ITEM)
-    ]
-    rows, most = sizes[0].union(sizes[1]).agg(F.max("rows"), F.max("most")).first()
-    return rows or 0, most or 0
-
-
 def fit(
     train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REG,
-    seed: int = 0, implicit: bool = False, alpha: float = 1.0,
-    max_gathered: int = MAX_GATHERED,
+    seed: int = 0, implicit: bool = False, alpha: float = 1.0, solver: str = "split",
 ) -> Factors:
-    """Train on (user_num, item_num, rating). Spark ML fits the factors, in as many blocks as
-    the ratings need. It keeps all ratings of a user or item in one task and lists all pairs of
-    blocks, so where either would be too much the half steps are split aggregations."""
-    rows, most = group_sizes(train)
-    blocks = -(-rows // RATINGS_PER_BLOCK)
-    if most > max_gathered or blocks > MAX_BLOCKS:
+    """Train on (user_num, item_num, rating). The half steps are joins and aggregations, whatever
+    the size of the data. ``solver="library"`` is for small data and ``recommend_all``: Spark ML keeps
+    all ratings of a user or item in one task and lists all pairs of blocks."""
+    if solver == "split":
         users, items = alternate(
             train, USER, ITEM, rank, iterations, reg, seed, implicit, alpha
         )
         return Factors(users, items, rank)
-    als = ALS(
+    if solver != "library":
+        raise ValueError(f"no solver {solver}")
+    model = ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, implicitPrefs=implicit,
         alpha=alpha, userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
-    )
-    model = als.setNumBlocks(max(als.getNumUserBlocks(), blocks)).fit(train)
+    ).fit(train)
     users = materialise(model.userFactors, "user-factors")
     items = materialise(model.itemFactors, "item-factors")
     return Factors(users, items, rank, model)
@@ -157,22 +136,20 @@ def known_rows(test: DataFrame, train: DataFrame) -> DataFrame:
 # -- recommending -------------------------------------------------------------------------
 
 
-def recommend(factors: Factors, asked: DataFrame, n: int = 3, by: str = USER) -> DataFrame:
+def recommend(factors: Factors, asked: Iterable[int], n: int = 3, by: str = USER) -> DataFrame:
     """The ``n`` best items of each asked user, or with ``by=ITEM`` the best users of each
     item: (user_num, item_num, rating). Items already rated stay in.
 
-    The few asked vectors travel inside the plan; the other side is read once and cut to
-    ``n`` rows per asked one in every task."""
+    ``asked`` is the caller's own list, so the driver holds no more than it was given. The vectors
+    travel inside the plan; the other side is read once and cut to ``n`` rows per asked one in
+    every task."""
     this, other, of = (
         (factors.users, factors.items, ITEM) if by == USER else (factors.items, factors.users, USER)
     )
-    wanted = asked.select(F.col(by).cast("int").alias("id")).distinct()
-    few = this.join(wanted, "id").limit(MAX_ASKED + 1).collect()
-    if len(few) > MAX_ASKED:
-        raise ValueError(f"more than {MAX_ASKED} asked for at once; see recommend_all")
+    few = this.filter(F.col("id").isin([int(x) for x in asked])).collect()
     vectors = F.from_json(
         F.lit(json.dumps([{"id": r.id, "features": [float(x) for x in r.features]} for r in few])),
-        "array<struct<id:int,features:array<float>>>",
+        "array<struct<id:bigint,features:array<float>>>",
     )
     scored = other.select(
         F.col("id").alias(of), "features", F.explode(vectors).alias("_a")
@@ -186,7 +163,7 @@ def recommend_all(factors: Factors, n: int = 3, by: str = USER) -> DataFrame:
     """The ``n`` best of every user (or item). The work is users times items by nature:
     for small catalogues."""
     if factors.model is None:
-        raise ValueError("needs factors fitted by Spark ML")
+        raise ValueError("needs factors fitted with solver=\"library\"")
     if by == USER:
         return factors.model.recommendForAllUsers(n)
     return factors.model.recommendForAllItems(n)

@@ -4,12 +4,16 @@
 
     path/v=000000/batch_id=N/row_status=valid|rejected/*.parquet
 
-A version is the whole collection. An overwrite or a merge writes the next version beside
-the present one, so a reader never meets a half-written table and a merge never reads what
-it writes. A batch of a stream is one folder, replaced as a whole when it is replayed."""
+An overwrite or a merge writes the next version beside the present one, so a reader never meets a
+half-written table and a merge never reads what it writes. A batch of a stream is one folder,
+replaced as a whole when it is replayed. A version notes which batches it took in: these are not
+written again, and those that came to an older version meanwhile are read beside it."""
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -61,41 +65,68 @@ class Collection:
         names = paths.children(self.spark, self.path)
         return [int(name[2:]) for name in names if name.startswith("v=")]
 
+    def _folded(self, version: int) -> set[int]:
+        """The batches that a version took in."""
+        text = paths.get_text(self.spark, f"{self.path}/folded/{version:06d}")
+        return set(json.loads(text)) if text else set()
+
+    def _homes(self) -> dict[int, int]:
+        """The version whose folder holds each batch that counts, whole writes included."""
+        now = self.version()
+        gone, homes = self._folded(now), {}
+        for version in sorted(v for v in self._versions() if v <= now):
+            for name in paths.children(self.spark, self._version_path(version)):
+                number = int(name.partition("=")[2]) if name.startswith(f"{BATCH}=") else None
+                if number == WHOLE and version == now or number is not None and number != WHOLE and number not in gone:
+                    homes.setdefault(number, version)
+        return homes
+
     def batch_path(self, batch_id: int) -> str:
-        return f"{self._version_path(self.version())}/{BATCH}={batch_id}"
+        """Where a batch lies, or will lie."""
+        home = self._homes().get(batch_id, self.version())
+        return f"{self._version_path(home)}/{BATCH}={batch_id}"
 
     def has_batches(self) -> bool:
-        """Whether a stream has written to the present version."""
-        names = paths.children(self.spark, self._version_path(self.version()))
-        return any(n.startswith(f"{BATCH}=") and n != f"{BATCH}={WHOLE}" for n in names)
+        """Whether a stream has written batches that still count."""
+        return any(number != WHOLE for number in self._homes())
 
     # -- reading --------------------------------------------------------------------
 
-    def _all(self) -> DataFrame:
-        reader = self.spark.read.options(**self.options)
-        return reader.parquet(self._version_path(self.version()))
+    def _all(self, homes: dict[int, int]) -> DataFrame:
+        """Rows of the given batches, with the columns of all of them."""
+        parts = []
+        for version in sorted(set(homes.values()) or {self.version()}):
+            base = self._version_path(version)
+            folders = [f"{base}/{BATCH}={number}" for number, home in homes.items() if home == version]
+            reader = self.spark.read.option("mergeSchema", "true").options(**self.options)
+            parts.append(reader.option("basePath", base).parquet(*(folders or [base])))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def read(self) -> DataFrame:
         """The documents. Rejected rows lie in folders that are not opened."""
         if not self.in_files:
             return self.spark.read.format(self.fmt).options(**self.options).load()
-        rows = self._all()
+        return self._documents(self._homes())
+
+    def _documents(self, homes: dict[int, int]) -> DataFrame:
+        rows = self._all(homes)
         return rows.filter(F.col(STATUS) == VALID).drop(STATUS, BATCH, REASON, RAW)
 
     def rejects(self) -> DataFrame:
         """Rejected rows with ``reject_reason``, and ``raw_message`` where the message text was kept."""
         if not self.in_files:
             return self.spark.read.parquet(self._rejects_path())
-        return self._all().filter(F.col(STATUS) == REJECTED).drop(STATUS)
+        return self._all(self._homes()).filter(F.col(STATUS) == REJECTED).drop(STATUS)
 
     # -- writing --------------------------------------------------------------------
 
     def append(self, df: DataFrame, batch_id: int) -> None:
         """Add one batch. Rows may carry a ``reject_reason``; such rows go to the rejects. Writing
-        the same batch again replaces it."""
+        the same batch again replaces it, unless a version took it in: then nothing is written."""
         rows = df if REASON in df.columns else df.withColumn(REASON, F.lit(None).cast("string"))
         if self.in_files:
-            write_split(rows, self.batch_path(batch_id))
+            if batch_id not in self._folded(self.version()):
+                write_split(rows, self.batch_path(batch_id))
             return
         # two sinks: keep the batch, on disk where memory is short, instead of making it twice
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -109,26 +140,37 @@ class Collection:
 
     def overwrite(self, df: DataFrame) -> None:
         """Replace all documents. Ones without an ``_id`` are given one."""
-        rows = with_object_ids(df)
         if not self.in_files:
-            rows.write.format(self.fmt).options(**self.options).mode("overwrite").save()
+            with_object_ids(df).write.format(self.fmt).options(**self.options).mode("overwrite").save()
             return
+        self._replace(df, self._homes())
+
+    def _replace(self, df: DataFrame, homes: dict[int, int]) -> None:
+        """Write the next version, which takes the place of the given batches."""
         # an unfinished version is written over, a finished one never
         target = self.version() + 1
-        whole = rows.withColumn(REASON, F.lit(None).cast("string"))
+        folded = self._folded(target - 1) | set(homes) - {WHOLE}
+        paths.put_text(self.spark, f"{self.path}/folded/{target:06d}", json.dumps(sorted(folded)))
+        whole = with_object_ids(df, target).withColumn(REASON, F.lit(None).cast("string"))
         write_split(whole, f"{self._version_path(target)}/{BATCH}={WHOLE}")
 
     def merge(self, updates: DataFrame, sequence: str | None = None) -> None:
         """Write ``updates`` over the documents of the same ``_id`` field by field, and add
         the new ones."""
-        self.overwrite(merge_documents(self.read(), updates, sequence=sequence))
+        if not self.in_files:
+            self.overwrite(merge_documents(self.read(), updates, sequence=sequence))
+            return
+        homes = self._homes()
+        self._replace(merge_documents(self._documents(homes), updates, sequence=sequence), homes)
 
 
-def with_object_ids(df: DataFrame) -> DataFrame:
+def with_object_ids(df: DataFrame, write: int = 0) -> DataFrame:
+    """Ids of a write: f, its number in 7 hex digits, the row in 16. Partitions of messages, which
+    begin the ids of loaded documents, are 32-bit and never that large."""
     if "_id" in df.columns:
         return df
-    number = F.lower(F.lpad(F.hex(F.monotonically_increasing_id()), 24, "0"))
-    return df.select(object_id(number).alias("_id"), "*")
+    row = F.lower(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+    return df.select(object_id(F.concat(F.lit(f"f{write:07x}"), row)).alias("_id"), "*")
 
 
 def merge_documents(

@@ -20,7 +20,7 @@ class Setup:
         self.location = str(base / "topic")
         self.checkpoint = str(base / "checkpoint")
         self.metrics = str(base / "metrics")
-        self.store = Collection(spark, str(base / "store"), mergeSchema="true")
+        self.store = Collection(spark, str(base / "store"))
 
     def send(self, *docs):
         texts = [d if isinstance(d, str) or d is None else json.dumps(d) for d in docs]

@@ -122,3 +122,22 @@ def test_merge_field_by_field(spark, tmp_path, rows):
     ]
     again = merge_documents(store.read(), updates.drop("seq"))
     assert again.count() == 4
+
+
+def test_batches_around_a_merge(spark, tmp_path, rows):
+    store = Collection(spark, str(tmp_path / "c"))
+    store.append(spark.createDataFrame([(1, "a"), (2, "b")], "_id int, s string"), 0)
+    late = spark.createDataFrame([(3, "c", 9)], "_id int, s string, n int")
+    homes = store._homes()
+    store.append(late, 1)  # comes in after the merge listed what it reads
+    store._replace(merge_documents(store._documents(homes), spark.createDataFrame([(1, "A")], "_id int, s string")), homes)
+    want = [(1, "A", None), (2, "b", None), (3, "c", 9)]
+    assert rows(store.read(), "_id", "s", "n") == want
+    store.append(spark.createDataFrame([(1, "a"), (2, "b")], "_id int, s string"), 0)
+    store.append(late, 1)
+    assert rows(store.read(), "_id", "s", "n") == want
+    store.merge(spark.createDataFrame([(3, "C")], "_id int, s string"))
+    store.append(late, 1)
+    assert rows(store.read(), "_id", "s", "n") == [*want[:2], (3, "C", 9)]
+    store.overwrite(spark.createDataFrame([(7, "x")], "_id int, s string"))
+    assert rows(store.read()) == [(7, "x")]
