@@ -10,9 +10,12 @@ word for word the same are one node.
 Of a bucket, the first member is verified against all others, by exact weighted Jaccard similarity, and
 components of the verified links are formed. In further rounds leaders, ``GROWTH`` times as many in each,
 are verified against the members not in their component, until every pair of a bucket was verified, is in
-one component or is ruled out: one minus the similarity is a distance, so two texts whose distances
-from the first member differ too much are not similar. So copies aren't expanded into pairs, and no
-link between different components is left out.
+one component or is ruled out. Two bounds rule pairs out without loss, inside the join, so that the
+pairs are never emitted: one minus the similarity is a distance, so two texts whose distances from the
+first member differ too much are not similar; and with shingles dealt to ``CELLS`` cells, two texts share
+at most the lesser weight of each cell. So copies aren't expanded into pairs, and no link between
+different components is left out. A bucket of many texts that are neither similar nor ruled out by the
+first bound is still compared cell by cell, leaders by members.
 
 Defined cases: null text is empty; texts without words are copies of each other; shorter texts than
 five words are one shingle; rows without an id have no class; ids are taken to be unique, rows that
@@ -34,8 +37,9 @@ from shelfstream.session import materialise
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 2
 RARE = 0.01
-GROWTH = 8  # leaders of a bucket in a round, times those of the round before
+GROWTH = 32  # leaders of a bucket in a round, times those of the round before
 SLACK = 1e-5  # for rounding
+CELLS = 128
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -197,7 +201,7 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
 
 
 def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(node, shingles, weights) of rows (doc_id, text)."""
+    """(node, shingles, weights, cells) of rows (doc_id, text); ``cells`` sums the weights of each cell."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
@@ -206,11 +210,14 @@ def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
             found = [weighted(plain_words(t), of) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([s.tobytes() for s, _ in found], pa.binary()),
-                 pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary())],
-                ["node", "shingles", "weights"],
+                 pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary()),
+                 pa.array([
+                     np.bincount((s % np.uint64(CELLS)).astype(np.int64), w, CELLS).astype(np.float32) for s, w in found
+                 ], pa.list_(pa.float32()))],
+                ["node", "shingles", "weights", "cells"],
             )
 
-    return docs.mapInArrow(run, "node long, shingles binary, weights binary").dropDuplicates(["node"])
+    return docs.mapInArrow(run, "node long, shingles binary, weights binary, cells array<float>").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -240,6 +247,11 @@ def ratio(a: str, b: str) -> Column:
     return F.least(a, b) / F.greatest(a, b)
 
 
+def shareable(a: str, b: str) -> Column:
+    """The sum of the lesser weight of each cell, which no two texts share more than."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0.0), lambda all_, x: all_ + x)
+
+
 def pivoted(members: DataFrame, known: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Similarities (a, b, similarity) of the first member of each bucket and the others, and these
     others with ``low`` and ``high``, between which their distance from it lies."""
@@ -289,22 +301,27 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         placed = materialise(placed.join(mixed.filter("least != most").select("bucket"), "bucket"), "mixed")
         if placed.isEmpty():
             break
-        sizes = placed.groupBy("bucket", "label").agg(
-            F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
-            F.min_by(F.struct("total", "low", "high"), "node").alias("led"),
-        )
-        rank = Window.partitionBy("bucket").orderBy("n", "first")
-        # the smaller components send their first member, so a large group of copies is not walked through
+        sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        ranked = placed.join(sizes, ["bucket", "label"])
+        rank = Window.partitionBy("bucket").orderBy("n", "label", "node")
+        # members of the smaller components lead, so a large group of copies is not walked through
         leaders = materialise(
-            sizes.withColumn("place", F.row_number().over(rank)).filter(F.col("place") <= leaders_each).select(
-                "bucket", F.col("first").alias("leader"), F.col("label").alias("of"), F.col("led.total").alias("weight"),
-                F.col("led.low").alias("of_low"), F.col("led.high").alias("of_high"),
+            ranked.withColumn("place", F.row_number().over(rank))
+            .filter(F.col("place") <= leaders_each).select(
+                "bucket", F.col("node").alias("leader"), F.col("label").alias("of"), F.col("n").alias("of_n"),
+                F.col("total").alias("weight"), F.col("low").alias("of_low"), F.col("high").alias("of_high"),
             ), "leaders",
         )
-        pairs = placed.join(leaders, "bucket").filter("label != of").filter(ratio("weight", "total") >= threshold - SLACK)
+        cells = known.select("node", "cells")
+        led = leaders.join(cells.select(F.col("node").alias("leader"), F.col("cells").alias("of_cells")), "leader")
+        pairs = ranked.join(cells, "node").join(led, "bucket").filter("label != of")
+        # two leaders meet once
+        pairs = pairs.filter(F.struct("of_n", "of", "leader") < F.struct("n", "label", "node"))
+        pairs = pairs.filter(ratio("weight", "total") >= threshold - SLACK)
         # by the triangle inequality, as 1 - similarity is a distance
         apart = F.greatest(F.col("low") - F.col("of_high"), F.col("of_low") - F.col("high"))
-        pairs = pairs.filter(apart <= 1 - threshold + SLACK).select(
+        enough = threshold / (1 + threshold) * (F.col("total") + F.col("weight")) * (1 - SLACK)
+        pairs = pairs.filter(apart <= 1 - threshold + SLACK).filter(shareable("cells", "of_cells") >= enough).select(
             F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
         ).distinct()
         found = materialise(
