@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstream.llm import (
-    containment, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks, toxicity,
-    warc, weighted_minhash,
+    containment, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks,
+    token_counts, toxicity, warc, weighted_minhash,
 )
 from shelfstream.llm.text import table
 
@@ -76,3 +76,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rule_forest.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rule_stats.COUNTS, "base_failed", "score", "kept")
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
