@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstream.llm import (
-    containment, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks,
+    alignment, containment, hard_negatives, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks,
     token_counts, toxicity, warc, weighted_minhash,
 )
 from shelfstream.llm.text import table
@@ -78,6 +78,20 @@ def op10_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rule_stats.COUNTS, "base_failed", "score", "kept")
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from shelfstream.llm import token_counts, word_ids
+from shelfstream.llm import alignment, token_counts, word_ids
 from shelfstream.session import fresh_path
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -85,3 +87,73 @@ def test_only_missing_digests_are_encoded_and_appended(spark):
 
 def test_the_cache_tells_tokenizers_apart():
     assert len({token_counts.tokenizer_digest(x) for x in (WORDS, BYTES, PIECES)}) == 3
+
+
+def plain_alignment(texts):
+    """Per text by the statement of the task: one loop over the bytes of space + text."""
+    a, b = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    a.encode_special_tokens = True
+    symbols = alignment.byte_symbols()
+    rows, counts = [], Counter()
+    for text in texts:
+        raw = (" " + (text or "")).encode()
+        a_ids = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        b_ids = b.encode(text) if text else []
+        a_bytes = [bytes(symbols[c] for c in a.id_to_token(i)) for i in a_ids]
+        b_bytes = [
+            bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+            for i in b_ids
+        ]
+        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+            rows.append(None)
+            continue
+        owner = [[k for k, x in enumerate(y) for _ in x] for y in (a_bytes, b_bytes)]
+        links = sorted({(i, j) for i, j in zip(*owner)})
+        groups, start = [], 0
+        for at in range(1, len(raw) + 1):
+            if at == len(raw) or all(o[at] != o[at - 1] for o in owner):
+                parts = [",".join(str(ids[k]) for k in dict.fromkeys(o[start:at])) for ids, o in zip((a_ids, b_ids), owner)]
+                groups.append("|".join(parts))
+                start = at
+        pairs = [(a_ids[i], b_ids[j]) for i, j in links]
+        counts.update(pairs)
+        rows.append((len(a_ids), len(b_ids), groups, pairs))
+    highest = Counter()
+    for (_, y), n in counts.items():
+        highest[y] = max(highest[y], n)
+    return [
+        (0, 0, 0, 0, 0, 0, "") if r is None else (
+            r[0], r[1], len(r[2]), len(r[3]), sum(counts[p] == highest[p[1]] for p in r[3]), sum(counts[p] for p in r[3]),
+            hashlib.sha256(";".join(r[2]).encode()).hexdigest(),
+        ) for r in rows
+    ], counts
+
+
+def test_alignment(spark):
+    texts = [
+        None, "", " ", "  ", " x", "x ", "x  ", "a\n  b", "a \n b", "a　 b", "a\x85  b", "a\xa0 b", "tab\t\t x", "▁", "a ▁b",
+        "same words same words", "same words same words", "don't  stop", "w " * 3000, "漢字かな交じり文 と 😀😀 é", *odd_texts(5, 300),
+    ]
+    rows = [(i if i % 9 else None, t, 1, "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slab int, pair string").repartition(3)
+    want, counts = plain_alignment(texts)
+    assert sum(w[0] == 0 for w in want) >= 4
+    for size in (alignment.SLAB_BYTES, 300):
+        got = alignment.align(docs, BYTES, PIECES, slab_bytes=size).collect()
+        assert Counter(map(tuple, got)) == Counter((r[0], *w) for r, w in zip(rows, want))
+    links = alignment.link_counts(docs, BYTES, PIECES).collect()
+    assert {(r.a_id, r.b_id): r.n for r in links} == dict(counts) and len(links) == len(counts)
+    assert alignment.align(docs.limit(0), BYTES, PIECES).count() == 0
+
+
+@pytest.mark.parametrize("by_spaces", [True, False])
+def test_random_texts_align_in_slabs(by_spaces):
+    aligner = alignment.Aligner(BYTES, PIECES)
+    assert aligner.by_spaces
+    aligner.by_spaces = by_spaces  # else every text is one chunk
+    for seed in range(60):
+        texts = odd_texts(seed, 30)
+        row = alignment.align_slab(aligner, 0, pa.array(range(30)), pa.array(texts))
+        want, _ = plain_alignment(texts)
+        got = [np.frombuffer(row[c], np.int64).tolist() for c in alignment.PER_TEXT]
+        assert list(zip(*got, row["groups_sha256"])) == [(*w[:4], w[6]) for w in want]
