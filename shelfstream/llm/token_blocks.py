@@ -9,26 +9,24 @@ blocks (minimum u32, width u8, exceptions u16, packed bits, exception places u16
 numbers u32), the start of each block u64, and per document its id i64, a flag for a null id u8,
 and its number of ids u64.
 
-Files are cut from a range partitioning by document id; a task holds one file's ids at a time.
-Encoding splits a text at ASCII white space, across which the tokenizer's rules never reach, and
-remembers the ids of up to ``REMEMBERED`` words.
+Files are cut from a range partitioning by document id; a task holds one file's ids at a time, and
+``RUN`` blocks while it packs them. Texts are encoded in slabs of bounded size (``word_ids``).
 
 Defined cases: null text is empty and has only the end id; null ids come first; rows with the same
-id are kept, one after the other; an empty table gives no file and no row."""
+id are kept, one after the other, in the order of a hash of their texts; ids are whole numbers or
+text of whole numbers; other columns are not looked at; an empty table gives no file and no row."""
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfstream.llm import files
+from shelfstream.llm import files, word_ids
 from shelfstream.session import fresh_path, materialise
 
 # fixed values of the format
@@ -39,15 +37,23 @@ BLOCK_HEAD = struct.Struct("<IBH")
 PERCENTILE = 0.95
 END_ID = 2
 FILE_IDS = 1 << 22
-REMEMBERED = 500_000
+RUN = 256
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The blocks of ids (uint32) as bytes, and the start of each."""
+    parts, starts, at = [], [np.zeros(0, np.uint64)], 0
+    for i in range(0, len(ids), RUN * BLOCK):
+        data, first = _pack_run(ids[i : i + RUN * BLOCK])
+        parts.append(data)
+        starts.append(first + np.uint64(at))
+        at += len(data)
+    return b"".join(parts), np.concatenate(starts)
+
+
+def _pack_run(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     n = len(ids)
     blocks = -(-n // BLOCK)
-    if not blocks:
-        return b"", np.zeros(0, np.uint64)
     padded = np.concatenate([ids, np.full(blocks * BLOCK - n, ids[-1], np.uint32)]).reshape(blocks, BLOCK)
     least = padded.min(1)
     rest = padded - least[:, None]
@@ -79,6 +85,11 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 def unpack(data: bytes, starts: np.ndarray, n: int) -> np.ndarray:
     """The n ids of blocks that begin at starts."""
+    runs = [_unpack_run(data, starts[i : i + RUN]) for i in range(0, len(starts), RUN)]
+    return np.concatenate([np.zeros(0, np.uint32), *runs])[:n]
+
+
+def _unpack_run(data: bytes, starts: np.ndarray) -> np.ndarray:
     out = np.zeros((len(starts), BLOCK), np.uint32)
     heads = [BLOCK_HEAD.unpack_from(data, int(s)) for s in starts]
     width = np.array([h[1] for h in heads], np.int64)
@@ -98,7 +109,7 @@ def unpack(data: bytes, starts: np.ndarray, n: int) -> np.ndarray:
             at = int(starts[i]) + BLOCK_HEAD.size + BLOCK * w // 8
             out[i, np.frombuffer(data, "<u2", wide, at)] = np.frombuffer(data, "<u4", wide, at + 2 * wide)
         out[i] += np.uint32(least)
-    return out.reshape(-1)[:n]
+    return out.reshape(-1)
 
 
 def encode_file(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
@@ -123,63 +134,16 @@ def decode_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return doc_ids, nulls, counts, unpack(raw[HEADER.size : at], starts, n)
 
 
-_encoders: dict[str, "Encoder"] = {}
-
-
-def encoder_of(path: str) -> "Encoder":
-    """One encoder per worker process, so that its tasks share what it remembers."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-class Encoder:
-    """Ids of texts by a tokenizer file, remembering words."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known, self.starts, self.flat = {}, array("Q", [0]), array("I")
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids with the end id of each text, numbers of ids)."""
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.known]
-        for i in range(0, len(new), 5000):
-            part = [w.decode() for w in new[i : i + 5000]]
-            for word, coded in zip(new[i : i + 5000], self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = len(self.known)
-                self.flat.extend(coded.ids)
-                self.starts.append(len(self.flat))
-        end = len(self.starts) - 1  # the end id is the last of the remembered "words"
-        starts = np.append(np.frombuffer(self.starts, np.uint64), len(self.flat) + 1).astype(np.int64)
-        flat = np.append(np.frombuffer(self.flat, np.uint32), np.uint32(END_ID))
-        index = np.fromiter(
-            (i for words in split for i in (*map(self.known.__getitem__, words), end)),
-            np.int64, sum(map(len, split)) + len(split),
-        )
-        lengths = starts[index + 1] - starts[index]
-        stop = np.cumsum(lengths)
-        places = np.arange(stop[-1] if len(stop) else 0) + np.repeat(starts[index] - stop + lengths, lengths)
-        last = np.cumsum([len(w) + 1 for w in split]) - 1
-        return flat[places], np.diff(np.concatenate([[0], stop[last]]) if len(last) else [0])
-
-
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "doc_id", text: str = "text",
                  file_ids: int = FILE_IDS) -> DataFrame:
     """Write the files and return one row per file: name, task, number in the task, ids."""
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
+    ordered = ordered.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(
+        F.asc_nulls_first("doc_id"), F.xxhash64("text")
+    )
 
     def run(batches):
-        encoder, task = encoder_of(tokenizer), TaskContext.get().partitionId()
+        encoder, task = word_ids.encoder_of(tokenizer), TaskContext.get().partitionId()
         held_ids, held_docs, held_counts, held, number = [], [], [], 0, 0
 
         def close():
@@ -190,13 +154,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
             )
 
         for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for i in range(0, len(keys), 2000):
-                ids, counts = encoder.encode(texts.slice(i, 2000).to_pylist())
-                held_ids.append(ids)
-                held_docs += keys[i : i + 2000]
-                held_counts += counts.tolist()
-                held += len(ids)
+            keys, done = batch.column("doc_id").to_pylist(), 0
+            for slab in word_ids.text_slabs(batch.column("text")):
+                ids, counts = encoder.encode(slab)
+                held_ids.append(np.insert(ids, np.cumsum(counts), np.uint32(END_ID)))
+                held_docs += keys[done : done + len(slab)]
+                held_counts += (counts + 1).tolist()
+                held += len(held_ids[-1])
+                done += len(slab)
                 if held >= file_ids:
                     yield close()
                     held_ids, held_docs, held_counts, held, number = [], [], [], 0, number + 1
