@@ -37,12 +37,23 @@ def bad_object_id(c: Column) -> Column:
     return ~F.coalesce(c.rlike(OBJECT_ID), F.lit(False))
 
 
-def message_object_id(partition: Column, offset: Column) -> Column:
-    """The 24 hex digits of a document id made from where its message lies: 8 for the
-    partition, 16 for the offset. Unique in a topic, and the same again after a replay."""
-    return F.lower(F.concat(
-        F.lpad(F.hex(partition.cast("bigint")), 8, "0"), F.lpad(F.hex(offset), 16, "0")
-    ))
+def undeclared_fields(value: Column, names: list[str]) -> tuple[Column, Column]:
+    """(whether a JSON object has fields of other names, an object of these as VARIANT). The second is NULL
+    where the first is not true, and where the text has a name twice. Field names count letter by letter."""
+    known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    has = F.coalesce(F.size(F.array_except(F.json_object_keys(value), known)) > 0, F.lit(False))
+    fields = F.call_function(
+        "try_variant_get", F.try_parse_json(value), F.lit("$"), F.lit("map<string,variant>")
+    )
+    others = F.map_filter(fields, lambda k, _: ~F.array_contains(known, k))
+    return has, F.when(has, F.to_variant_object(others))
+
+
+def message_object_id(partition: Column, *place: Column) -> Column:
+    """The 24 hex digits of a document id made from where its message lies: the partition and an offset,
+    or a file and a row. The same again after a replay."""
+    parts = [partition, *place]
+    return F.substring(F.md5(F.concat_ws("/", *[p.cast("string") for p in parts])), 1, 24)
 
 
 def row_json(columns: list[str]) -> Column:

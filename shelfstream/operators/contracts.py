@@ -45,12 +45,14 @@ def write_split(df: DataFrame, path: str) -> None:
     df.withColumn(STATUS, status).write.mode("overwrite").partitionBy(STATUS).parquet(path)
 
 
-def observed_counts(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Row and reject counts taken while ``df`` is written, without a job of their own."""
+def observed_counts(df: DataFrame, **others: Column) -> tuple[DataFrame, Observation]:
+    """Row and reject counts, and counts of other values that are not NULL, taken while ``df`` is written,
+    without a job of their own."""
     seen = Observation()
     marked = df.observe(
         seen,
         F.count(F.lit(1)).alias("messages"),
         F.count(F.col(REASON)).alias("rejected"),
+        *[F.count(c).alias(name) for name, c in others.items()],
     )
     return marked, seen

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfstream.operators.contracts import REASON
+
 # rows a side may have to be broadcast by hint; beyond it Spark picks the join
 BROADCAST_ROWS = 10_000
 
@@ -23,6 +25,29 @@ def join_text_key(
     return typed.withColumn(key, F.col(key).cast(key_type)).join(numeric, [key], "inner")
 
 
+def join_accounted(typed: DataFrame, text: DataFrame, key: str, key_type: str = "bigint") -> DataFrame:
+    """Every row of ``text``, joined to the row of ``typed`` with its key: the key as a number, then the columns
+    of ``typed`` and of ``text``, and ``reject_reason``: ``malformed:key``, ``unmatched:key`` or NULL where the
+    join found a row.
+
+    One outer join of the many-row side, which AQE can split at a hot key. ``typed`` is unique by key. Rows
+    without a number for a key are dealt out by a hash of the row, or they would meet in one task."""
+    here, there = [c for c in typed.columns if c != key], [c for c in text.columns if c != key]
+    number = F.col(key).try_cast(key_type)
+    dealt = F.when(number.isNull(), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in text.columns]))
+    many = text.select(
+        number.alias(key), F.coalesce(dealt, F.lit(0).cast("bigint")).alias("_dealt"),
+        *[F.col(f"`{c}`") for c in there],
+    )
+    found = typed.withColumns({
+        key: F.col(key).cast(key_type), "_dealt": F.lit(0).cast("bigint"), "_found": F.lit(True)
+    })
+    joined = many.join(found, [key, "_dealt"], "left")
+    reason = F.when(F.col(key).isNull(), f"malformed:{key}").when(F.col("_found").isNull(), f"unmatched:{key}")
+    names = [F.col(f"`{c}`") for c in (key, *here, *there)]
+    return joined.select(*names, reason.alias(REASON))
+
+
 def join_few(many: DataFrame, few: DataFrame, key: str, rows: int) -> DataFrame:
     """Join with a side that has at most ``rows`` rows, such as a top-k."""
     if rows <= BROADCAST_ROWS:

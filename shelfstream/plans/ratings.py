@@ -7,19 +7,20 @@ from pyspark.sql import DataFrame, functions as F
 from shelfstream import schemas
 from shelfstream.functions.nested import bad_object_id, object_id, object_id_text
 from shelfstream.functions.text import to_int
-from shelfstream.operators.joins import join_text_key
+from shelfstream.operators.contracts import REASON
+from shelfstream.operators.joins import join_accounted
 from shelfstream.plans.readers import publish_rows
 from shelfstream.streaming.load import declared
 
 
 def rated_books(stored_readers: DataFrame, ratings: DataFrame) -> DataFrame:
-    """(userId, firstname, lastname, ISBN, rating) for each rating of a stored reader. The
-    rating is a whole number, NULL where its text is none."""
+    """(userId, firstname, lastname, ISBN, rating) for every rating, and ``reject_reason`` where its reader's
+    number is malformed or not stored. The rating is a whole number, NULL where its text is none."""
     people = stored_readers.select("usernum", "_id", "firstname", "lastname")
-    joined = join_text_key(people, ratings, "usernum")
+    joined = join_accounted(people, ratings, "usernum")
     return joined.select(
         object_id_text("_id").alias("userId"), "firstname", "lastname", "ISBN",
-        to_int("rating").alias("rating"),
+        to_int("rating").alias("rating"), REASON,
     )
 
 

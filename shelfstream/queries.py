@@ -122,18 +122,18 @@ def publish_messages(spark, sf_dir):
   o_orderpriority AS "value" FROM orders ORDER BY 1, o_orderkey LIMIT 100""")
 def topic_peek(spark, sf_dir):
     location = fresh_path(spark, "topic")
-    orders = t.table(spark, sf_dir, "orders").orderBy("o_orderkey").select(
+    orders = t.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("value"),
         (F.col("o_orderkey") % 4).cast("int").alias("partition"),
     )
     topics.publish(orders, "orders", location=location)
-    return topics.peek(topics.read_topic(spark, location), 100)
+    return topics.peek(spark, location, 100)
 
 
 @query("""SELECT CAST(p_partkey % 4 AS INT) AS "partition", COUNT(*) AS n, COUNT(DISTINCT p_partkey) AS offsets
 FROM part GROUP BY 1""")
 def topic_offsets(spark, sf_dir):
-    """Two publishes to one topic: offsets stay unique inside a partition."""
+    """Two publishes to one topic with partitions of their own choice: every message is told apart."""
     location = fresh_path(spark, "topic")
     parts = t.table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("key"), F.col("p_name").alias("value"),
@@ -143,7 +143,7 @@ def topic_offsets(spark, sf_dir):
     topics.publish(parts.filter(small), "books", location=location)
     topics.publish(parts.filter(~small), "books", location=location)
     return topics.read_topic(spark, location).groupBy("partition").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("offsets")
+        F.count(F.lit(1)).alias("n"), F.countDistinct("message_id").alias("offsets")
     )
 
 
@@ -555,7 +555,7 @@ def stream_load_users(spark, sf_dir):
         topics.stream_topic(spark, location), reader_plans.reader_documents(), store,
         fresh_path(spark, "checkpoint"),
     )
-    return store.read().drop("_id")
+    return store.read().drop("_id", load.REST)
 
 
 @query("""SELECT lpad(lower(to_hex(c_custkey)), 24, '0') AS user_id, c_name AS firstname, c_mktsegment AS lastname,
@@ -693,6 +693,78 @@ def stream_load_drifting(spark, sf_dir):
     return store.read().drop("_id")
 
 
+@query("""SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey END AS nation,
+  CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS segment,
+  COUNT(*) FILTER (c_custkey % 3 = 0) OVER () AS undeclared FROM customer""")
+def stream_load_extra_fields(spark, sf_dir):
+    """Every third message has two fields that the loaded schema does not know, one of them nested: they come
+    back in ``rest``, and the metrics count them."""
+    location = fresh_path(spark, "topic")
+    key = F.col("c_custkey")
+    more = F.when(key % 3 == 0, F.struct(F.col("c_mktsegment").alias("segment")))
+    people = t.table(spark, sf_dir, "customer").select(
+        key.alias("id"), F.col("c_name").alias("name"), F.when(key % 3 == 0, F.col("c_nationkey")).alias("nation"),
+        more.alias("market"),
+    )
+    topics.publish(topics.to_messages(people, "id"), "people", location=location)
+    store, metrics = Collection(spark, fresh_path(spark, "people")), fresh_path(spark, "metrics")
+    load.run_load(
+        topics.stream_topic(spark, location), load.declared(people.select("id", "name").schema), store,
+        fresh_path(spark, "checkpoint"), metrics=metrics,
+    )
+    counted = load.read_metrics(spark, metrics).agg(F.sum("undeclared").alias("undeclared"))
+    return store.read().select(
+        "id", "name", F.variant_get(load.REST, "$.nation", "bigint").alias("nation"),
+        F.variant_get(load.REST, "$.market.segment", "string").alias("segment"),
+    ).crossJoin(F.broadcast(counted))
+
+
+@query("""SELECT o_orderkey AS id, CAST(CASE o_orderkey % 4 WHEN 0 THEN o_orderkey WHEN 1 THEN o_orderkey + 0.25
+    WHEN 2 THEN (o_orderkey + 0.5) * 1000 END AS DOUBLE) AS amount,
+  CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) WHEN 3 THEN o_orderpriority END AS code,
+  CASE WHEN o_orderkey % 4 IN (1, 2) THEN o_custkey END AS customer FROM orders""")
+def stream_load_widening(spark, sf_dir):
+    """Four publishes with other types for a field each: whole numbers, decimals, numbers with an exponent, text;
+    the field of a struct and one that is null at first among them. All values come back."""
+    location = fresh_path(spark, "topic")
+    store, checkpoint = Collection(spark, fresh_path(spark, "orders")), fresh_path(spark, "checkpoint")
+    key, orders = F.col("o_orderkey"), t.table(spark, sf_dir, "orders")
+    text = key.cast("string")
+    kinds = [  # JSON text of the fields, so that each publish has its own types
+        F.concat(F.lit('"amount":'), text, F.lit(',"of":{"code":'), text, F.lit('},"customer":null')),
+        F.concat(F.lit('"amount":'), text, F.lit('.25,"customer":'), F.col("o_custkey").cast("string")),
+        F.concat(F.lit('"amount":'), text, F.lit('.5e3,"customer":'), F.col("o_custkey").cast("string")),
+        F.concat(F.lit('"of":{"code":"'), F.col("o_orderpriority"), F.lit('"}')),
+    ]
+    for kind, fields in enumerate(kinds):
+        messages = orders.filter(key % 4 == kind).select(
+            text.alias("key"), F.concat(F.lit('{"id":'), text, F.lit(","), fields, F.lit("}")).alias("value")
+        )
+        topics.publish(messages, "orders", location=location)
+        load.run_load(topics.stream_topic(spark, location), load.drifting(store), store, checkpoint)
+    return store.read().select(
+        "id", F.col("amount").cast("double").alias("amount"), F.col("of.code").alias("code"), "customer"
+    )
+
+
+@query("""SELECT state, COUNT(*) AS n FROM (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'malformed:id'
+    WHEN c_custkey % 4 = 0 THEN 'unmatched:id' WHEN c_custkey % 9 = 0 THEN 'null:age' ELSE 'published' END AS state
+  FROM customer) GROUP BY 1""")
+def publish_accounting(spark, sf_dir):
+    """Readers joined to names on ids of text: each is published or rejected with its reason, in one write."""
+    key, location = F.col("id").cast("bigint"), fresh_path(spark, "topic")
+    names = reader_plans.enrich_names(t.reader_names(spark, sf_dir), "password", "salt")
+    readers = t.readers(spark, sf_dir).select(
+        F.when(key % 10 == 0, F.concat("id", F.lit("x"))).otherwise(F.col("id")).alias("id"),
+        F.concat("location", F.lit(", a, b")).alias("location"),
+        F.when(key % 9 != 0, F.col("age")).alias("age"),
+    )
+    rejected = reader_plans.publish_readers(names.filter(F.col("id") % 4 != 0), readers, "readers", location=location)
+    sent = topics.read_topic(spark, location).select(F.lit("published").alias("state"))
+    states = sent.unionByName(rejected.select(F.col(contracts.REASON).alias("state")))
+    return states.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_WORDS_SQL)
 def word_count_stream(spark, sf_dir):
     """Documents as lines of text files; the counts of all batches are summed."""

@@ -53,14 +53,13 @@ STUDENT = T.StructType([
     T.StructField("name", T.StringType()),
 ])
 
-# The columns a message broker source has.
+# The columns of a topic's files; the partition is the folder a file lies in.
 MESSAGE = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
 ])
 
 READER_MESSAGE = T.StructType([

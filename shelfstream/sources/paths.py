@@ -49,3 +49,14 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete one file."""
     location, files = _open(spark, path)
     files.delete(location, False)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    location, files = _open(spark, path)
+    files.delete(location, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    location, files = _open(spark, path)
+    files.mkdirs(location)

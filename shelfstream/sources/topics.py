@@ -1,29 +1,40 @@
 """Topics of keyed text messages.
 
-``fmt="kafka"`` hands all options to Spark's connector. The default is a log of files with
-the same columns, for one publisher at a time: it has no server and opens no port."""
+``fmt="kafka"`` hands all options to Spark's connector. The default is a folder of files:
+
+    location/row_status=valid/partition=P/*.parquet      the topic
+    location/row_status=rejected/partition=P/*.parquet   rows that broke their contract, with the reason
+
+It has no server and opens no port. A message is known by its partition, file and row, which Spark's file
+source tells; several publishers may add to a topic at once. Both formats give ``message_id``, 24 hex digits
+made from where the message lies."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfstream import schemas
-from shelfstream.functions.nested import row_json
+from shelfstream.functions.nested import message_object_id, row_json
+from shelfstream.operators.contracts import REASON, REJECTED, STATUS, VALID, rejected_rows, valid_rows
 from shelfstream.sources import paths
 from shelfstream.sources.records import from_pairs
 
 FILES = "parquet"
-# control files of the log; Spark's readers pass over names with an underscore
-_NEXT, _WRITING = "_next_offset", "_writing"
+PUBLISHED = "publish_id"
 
 
-def to_messages(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
-    """(key, value): the named column as text, and the row as a JSON object."""
+def to_messages(
+    df: DataFrame, key: str, columns: list[str] | None = None, keep: Iterable[str] = ()
+) -> DataFrame:
+    """(key, value): the named column as text, and the row as a JSON object; and the columns to ``keep``."""
     return df.select(
         F.col(f"`{key}`").cast("string").alias("key"),
-        row_json(columns or df.columns).alias("value"),
+        row_json(columns or df.columns).alias("value"), *keep,
     )
 
 
@@ -44,45 +55,41 @@ def publish(
     fmt: str = FILES,
     partitions: int = 4,
     **options: str,
-) -> None:
+) -> DataFrame | None:
     """Append messages to a topic straight from the tasks that made them: no shuffle, so no
     key, however hot, meets in one task. Rows may name their ``partition``.
 
-    In the file log an offset is unique and rising inside a partition, with gaps, as a log
-    with removed entries has; earlier rows of a task get lower offsets."""
+    Rows with a ``reject_reason`` do not enter the topic; they are returned as (key, value,
+    reject_reason). Files take both kinds in a single pass, side by side."""
+    judged = REASON in messages.columns
     if fmt != FILES:
         columns = [c for c in ("key", "value", "partition") if c in messages.columns]
-        messages.select(*columns).write.format(fmt).options(topic=topic, **options).save()
-        return
-    spark = messages.sparkSession
-    start = _next_offset(spark, location)
-    sent = Observation()
+        if judged:  # two sinks: keep the rows, on disk where memory is short, instead of making them twice
+            messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        sent = valid_rows(messages) if judged else messages
+        sent.select(*columns).write.format(fmt).options(topic=topic, **options).save()
+        return rejected_rows(messages).select("key", "value", REASON) if judged else None
+    spark, publish_id = messages.sparkSession, uuid.uuid4().hex
+    reason = F.col(REASON) if judged else F.lit(None).cast("string")
     rows = messages.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.lit(topic).alias("topic"),
-        _partition_of(messages, partitions).alias("partition"),
-        (F.lit(start).cast("bigint") + F.monotonically_increasing_id()).alias("offset"),
         F.current_timestamp().alias("timestamp"),
-    ).observe(sent, F.max("offset").alias("last"))
-    paths.put_text(spark, f"{location}/{_WRITING}", "")
-    rows.write.mode("append").parquet(location)
-    last = sent.get["last"]
-    paths.put_text(spark, f"{location}/{_NEXT}", str(start if last is None else last + 1))
-    paths.remove(spark, f"{location}/{_WRITING}")
-
-
-def _next_offset(spark: SparkSession, location: str) -> int:
-    """Where the next publish starts, from the note the last one left. Only after one that did
-    not end is the log itself searched."""
-    noted = paths.get_text(spark, f"{location}/{_NEXT}")
-    broken = paths.exists(spark, f"{location}/{_WRITING}")
-    if noted is not None and not broken:
-        return int(noted)
-    if not broken and not paths.children(spark, location):
-        return 0
-    last = read_topic(spark, location).agg(F.max("offset")).first()[0]
-    return 0 if last is None else last + 1
+        reason.alias(REASON),
+        F.lit(publish_id).alias(PUBLISHED),
+        F.when(reason.isNull(), VALID).otherwise(REJECTED).alias(STATUS),
+        _partition_of(messages, partitions).alias("partition"),
+    )
+    for status in (VALID, REJECTED):  # a stream may begin to listen before there is a message
+        paths.make_folder(spark, f"{location}/{STATUS}={status}")
+    rows.write.mode("append").partitionBy(STATUS, "partition").parquet(location)
+    if not judged:
+        return None
+    kept = T.StructType([f for f in schemas.MESSAGE.fields if f.name in ("key", "value")])
+    kept = kept.add(REASON, "string").add(PUBLISHED, "string")
+    bad = spark.read.schema(kept).parquet(f"{location}/{STATUS}={REJECTED}")
+    return bad.filter(F.col(PUBLISHED) == publish_id).select("key", "value", REASON)
 
 
 def publish_pairs(
@@ -92,7 +99,13 @@ def publish_pairs(
 
 
 def _as_text(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
+    texts = rows.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
+    return texts.withColumn("message_id", message_object_id(F.col("partition"), F.col("offset")))
+
+
+def _from_files(rows: DataFrame) -> DataFrame:
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    return rows.select("*", message_object_id(F.col("partition"), *place).alias("message_id"))
 
 
 def read_topic(
@@ -101,7 +114,7 @@ def read_topic(
     """A topic from its beginning to its present end."""
     if fmt != FILES:
         return _as_text(spark.read.format(fmt).options(**options).load())
-    return spark.read.schema(schemas.MESSAGE).parquet(location)
+    return _from_files(spark.read.schema(schemas.MESSAGE).parquet(f"{location}/{STATUS}={VALID}"))
 
 
 def stream_topic(
@@ -112,7 +125,8 @@ def stream_topic(
     if fmt != FILES:
         merged = {"startingOffsets": "earliest", **options}
         return _as_text(spark.readStream.format(fmt).options(**merged).load())
-    return spark.readStream.schema(schemas.MESSAGE).options(**options).parquet(location)
+    stream = spark.readStream.schema(schemas.MESSAGE).options(**options)
+    return _from_files(stream.parquet(f"{location}/{STATUS}={VALID}"))
 
 
 def stream_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -125,7 +139,18 @@ def stream_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").options(host=host, port=str(port)).load()
 
 
-def peek(messages: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` messages, partition by partition."""
-    first = messages.orderBy("partition", "offset").limit(n)
-    return first.select("partition", "key", "value")
+def peek(spark: SparkSession, location: str, n: int) -> DataFrame:
+    """The first ``n`` messages of a topic of files, partition by partition, in a partition the oldest files
+    first. Partitions behind the n-th message are not read."""
+    base = f"{location}/{STATUS}={VALID}"
+    numbers = sorted(int(p.partition("=")[2]) for p in paths.children(spark, base) if p.startswith("partition="))
+    order = [F.col(f"_metadata.{c}") for c in ("file_modification_time", "file_name", "row_index")]
+    parts, left = [], n
+    for number in numbers:
+        rows = spark.read.schema(schemas.MESSAGE).parquet(base).filter(F.col("partition") == number)
+        parts.append(rows.orderBy(*order).limit(left).select("partition", "key", "value"))
+        left -= parts[-1].count() if number != numbers[-1] else 0
+        if left <= 0:
+            break
+    nothing = spark.createDataFrame([], "partition int, key string, value string")
+    return reduce(DataFrame.unionByName, parts) if parts else nothing

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.functions.nested import (
-    CORRUPT, lost_json, message_object_id, object_id, typed_json, typed_message,
+    CORRUPT, lost_json, object_id, typed_json, typed_message, undeclared_fields,
 )
+from shelfstream.functions.widening import wider_struct
 from shelfstream.operators.contracts import REASON, STATUS, observed_counts, with_reason
 from shelfstream.sources import paths
 from shelfstream.sources.collections import BATCH, RAW, Collection
@@ -24,18 +25,18 @@ LIVE_TRIGGER = {"processingTime": "1 second"}
 DRAIN_TRIGGER = {"availableNow": True}
 
 
-METRICS = T.StructType([
-    T.StructField("messages", T.LongType()), T.StructField("rejected", T.LongType())
-])
+METRICS = T.StructType([T.StructField(c, T.LongType()) for c in ("messages", "rejected", "undeclared")])
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """(messages, rejected, batch_id), one row per batch."""
+    """(messages, rejected, undeclared, batch_id), one row per batch; ``undeclared`` counts the documents
+    with fields outside the declared schema."""
     return spark.read.schema(METRICS).json(path)
 
 
 # names a document's fields cannot have, because collections use them
-RESERVED = {CORRUPT, "_raw", REASON, RAW, STATUS, BATCH}
+REST = "rest"
+RESERVED = {CORRUPT, "_raw", REASON, RAW, STATUS, BATCH, REST}
 
 
 def typed_documents(
@@ -45,19 +46,23 @@ def typed_documents(
     nested: dict[str, T.DataType] | None = None,
     checks: Iterable[tuple[str, Column]] = (),
     derived: dict[str, Column] | None = None,
+    rest: bool = True,
 ) -> DataFrame:
     """Messages as documents with ``_id`` and ``reject_reason``; a rejected one keeps its
     text in ``raw_message``. ``nested`` columns arrive as JSON text and are typed; text that is lost by that is
-    a reason to reject. ``derived`` columns are made from the fields."""
+    a reason to reject. ``derived`` columns are made from the fields. Fields outside the schema come back in
+    ``rest``, a VARIANT object, NULL where there are none; an object that has them and names a field twice is
+    rejected, as it has no such value."""
     taken = RESERVED & {name.lower() for name in schema.names}
     if taken:
         raise ValueError(f"fields of these names are used by collections: {sorted(taken)}")
     nested = nested or {}
     own_id = "_id" in schema.names
-    message_id = object_id(message_object_id(F.col("partition"), F.col("offset")))
+    more, others = undeclared_fields(F.col("value"), schema.names)
     parsed = messages.select(
-        *([] if own_id else [message_id.alias("_id")]),
+        *([] if own_id else [object_id("message_id").alias("_id")]),
         F.col("value").alias("_raw"),
+        *([more.alias("_more"), others.alias("_rest")] if rest else []),
         typed_message("value", schema).alias("_m"),
     ).select("*", "_m.*").drop("_m")
     if nested:
@@ -70,6 +75,7 @@ def typed_documents(
         ("malformed", F.col(CORRUPT).isNotNull()),
         *[(f"null:{c}", F.col(f"`{c}`").isNull()) for c in not_null],
         *[(f"nested:{c}", lost_json(F.col(c), F.col(f"_typed_{c}"))) for c in nested],
+        *([("name:twice", F.col("_more") & F.col("_rest").isNull())] if rest else []),
     ]
     judged = with_reason(parsed, checks=rules)
     fields = [
@@ -78,6 +84,8 @@ def typed_documents(
     ]
     raw = F.when(F.col(REASON).isNotNull(), F.col("_raw")).alias(RAW)
     extra = [column.alias(name) for name, column in (derived or {}).items()]
+    if rest:
+        extra.append(F.when(F.col(REASON).isNull(), F.col("_rest")).alias(REST))
     return judged.select(*([] if own_id else ["_id"]), *fields, *extra, REASON, raw)
 
 
@@ -95,41 +103,25 @@ def _has_field(name: str) -> Column:
 
 
 def drifting(collection: Collection) -> Prepare:
-    """Schema inferred batch by batch. A field keeps the type it was first seen with; a later
-    value that does not fit is a reason to reject, a new field is added. So is a field whose
-    name differs from a known one in case only, or is one the collection uses itself.
+    """Schema inferred batch by batch. A new field is added; a field whose values do not fit its type so far
+    has, from this batch on, the narrowest type that holds both (``functions.widening``), and earlier batches
+    are cast to it when they are read. A field whose name differs from a known one in case only, or is one
+    the collection uses itself, is a reason to reject.
 
-    The schema after a batch that changed it is a small control file of the collection. A replayed batch
-    starts from the schema before it, so it gives the same documents again."""
-    spark = collection.spark
-    folder = f"{collection.path}/schema"
-
-    def known_before(batch_id: int) -> T.StructType:
-        past = [int(name) for name in paths.children(spark, folder) if int(name) < batch_id]
-        if not past:
-            return T.StructType([])
-        text = paths.get_text(spark, f"{folder}/{max(past):09d}")
-        return T.StructType.fromJson(json.loads(text))
+    A replayed batch starts from the schema before it, so it gives the same documents again."""
 
     def prepare(messages: DataFrame, batch_id: int) -> DataFrame:
-        known = known_before(batch_id)
-        found = infer_fields(messages)
-        by_name = {f.name.lower(): f for f in known.fields}
-        doubtful, clashing = [], []
-        for field in found.fields:
-            first = by_name.setdefault(field.name.lower(), field)
-            if first.name != field.name or field.name.lower() in RESERVED:
-                clashing.append(field.name)
-            elif first.dataType != field.dataType:
-                doubtful.append(field.name)
-        schema = T.StructType([f for name, f in by_name.items() if name not in RESERVED])
-        if schema != known:
-            paths.put_text(spark, f"{folder}/{batch_id:09d}", schema.json())
-        checks = [(f"name:{name}", _has_field(name)) for name in clashing]
-        checks += [
-            (f"type:{name}", _has_field(name) & F.col(f"`{name}`").isNull()) for name in doubtful
-        ]
-        return typed_documents(messages, schema, checks=checks)
+        before = collection.schema_before(batch_id)
+        known = T.StructType([f for f in before.fields if f.name != "_id"])
+        by_name = {f.name.lower(): f.name for f in known.fields}
+        found, clashing = [], []
+        for field in infer_fields(messages, exact=True).fields:
+            first = by_name.setdefault(field.name.lower(), field.name)
+            clash = first != field.name or field.name.lower() in RESERVED
+            (clashing if clash else found).append(field)
+        schema = wider_struct(known, T.StructType(found))
+        checks = [(f"name:{f.name}", _has_field(f.name)) for f in clashing]
+        return typed_documents(messages, schema, checks=checks, rest=False)
 
     return prepare
 
@@ -147,7 +139,8 @@ def run_load(
     """Load an unbounded table of messages into ``collection``.
 
     Each batch is one narrow pass: parse, judge, write to the folder of its batch number.
-    Counts are observed during the write and kept under ``metrics``. The default trigger
+    Counts are observed during the write, without a job of their own, and kept under ``metrics``; of a batch
+    without messages nothing stays. The default trigger
     drains what is there and stops; ``LIVE_TRIGGER`` keeps going. With ``keep`` a batch is
     held while it is worked on, for a ``prepare`` that reads it more than once from a source
     where that is dear."""
@@ -164,13 +157,16 @@ def run_load(
             held.unpersist()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows, seen = observed_counts(prepare(batch, batch_id))
+        rows = prepare(batch, batch_id)
+        rows, seen = observed_counts(rows, undeclared=F.col(REST) if REST in rows.columns else F.lit(None))
         collection.append(rows, batch_id)
-        if metrics:
-            path = f"{metrics}/{BATCH}={batch_id}/counts.json"
-            paths.put_text(batch.sparkSession, path, json.dumps(seen.get))
+        if metrics or collection.in_files:
+            counts = seen.get
+            if not counts["messages"]:
+                collection.drop_batch(batch_id)
+            elif metrics:
+                path = f"{metrics}/{BATCH}={batch_id}/counts.json"
+                paths.put_text(batch.sparkSession, path, json.dumps(counts))
 
     query = (
         messages.writeStream.foreachBatch(load_batch)

@@ -19,33 +19,29 @@ def test_columns_with_dashes(spark):
     assert topics.to_messages(df, "ISBN").first().value == '{"ISBN":"1","Book-Title":"t"}'
 
 
-def test_publish_twice_offsets_go_on(spark, tmp_path):
+def test_messages_of_two_publishes_are_told_apart(spark, tmp_path):
     location = str(tmp_path / "topic")
     pairs = [(f"k{i % 9}", f"v{i}") for i in range(60)] + [(None, "n1"), (None, "n2")]
-    topics.publish_pairs(spark, pairs, "t", location=location, partitions=3)
-    first = topics.read_topic(spark, location).agg(F.max("offset")).first()[0]
-    topics.publish_pairs(spark, pairs, "t", location=location, partitions=3)
+    for part in (pairs, [], pairs):
+        assert topics.publish_pairs(spark, part, "t", location=location, partitions=3) is None
     log = topics.read_topic(spark, location)
     assert log.count() == 124
-    assert log.select("partition", "offset").distinct().count() == 124
-    assert log.filter(F.col("offset") > first).count() == 62
+    ids = [r.message_id for r in log.collect()]
+    assert len(set(ids)) == 124 and sorted(ids) == sorted(r.message_id for r in log.collect())
     homes = log.filter("key is not null").groupBy("key").agg(F.countDistinct("partition").alias("n"))
     assert homes.filter("n > 1").count() == 0
     assert {r.topic for r in log.select("topic").distinct().collect()} == {"t"}
 
 
-def test_publish_after_one_that_did_not_end(spark, tmp_path):
-    location = tmp_path / "topic"
-    for broken in (False, True, False):
-        if broken:
-            (location / "_writing").touch()
-            (location / "_next_offset").write_text("0")
-            (location / "._next_offset.crc").unlink()
-        topics.publish_pairs(spark, [("a", "1"), ("b", "2")], "t", location=str(location))
-        topics.publish_pairs(spark, [], "t", location=str(location))
-    log = topics.read_topic(spark, str(location))
-    assert (log.count(), log.select("offset").distinct().count()) == (6, 6)
-    assert not (location / "_writing").exists()
+def test_rejected_rows_lie_beside_the_topic(spark, tmp_path):
+    location = str(tmp_path / "topic")
+    judged = spark.createDataFrame([("a", "1", None), ("b", "2", "why"), (None, None, "no")], f"key string, value string, {REASON} string")
+    first = topics.publish(judged, "t", location=location)
+    second = topics.publish(judged.limit(1), "t", location=location)
+    assert sorted(map(tuple, first.collect()), key=repr) == [("b", "2", "why"), (None, None, "no")]
+    assert second.count() == 0 and topics.read_topic(spark, location).count() == 2
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topics.publish(judged, "t", fmt="kafka")
 
 
 def test_explicit_partition_and_peek(spark, tmp_path):
@@ -54,8 +50,14 @@ def test_explicit_partition_and_peek(spark, tmp_path):
         [(f"k{i}", f"v{i}", i % 2) for i in range(10)], "key string, value string, partition int"
     ).coalesce(1)
     topics.publish(messages, "t", location=location)
-    got = [tuple(r) for r in topics.peek(topics.read_topic(spark, location), 6).collect()]
+    got = [tuple(r) for r in topics.peek(spark, location, 6).collect()]
     assert got == [(0, f"k{i}", f"v{i}") for i in (0, 2, 4, 6, 8)] + [(1, "k1", "v1")]
+    topics.publish(messages.limit(1), "t", location=location)
+    assert [r.key for r in topics.peek(spark, location, 6).collect()] == ["k0", "k2", "k4", "k6", "k8", "k0"]
+    few = topics.peek(spark, location, 2)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == 2 and "(partition#" in plan and "= 0)" in plan
+    assert topics.peek(spark, location, 99).count() == 11
 
 
 def test_broker_format_is_handed_on(spark):
@@ -124,20 +126,64 @@ def test_merge_field_by_field(spark, tmp_path, rows):
     assert again.count() == 4
 
 
+def files_of(path):
+    """(file, time of its last change), without the folder itself."""
+    return {(str(f.relative_to(path)), f.stat().st_mtime_ns) for f in path.rglob("*.parquet")}
+
+
 def test_batches_around_a_merge(spark, tmp_path, rows):
     store = Collection(spark, str(tmp_path / "c"))
-    store.append(spark.createDataFrame([(1, "a"), (2, "b")], "_id int, s string"), 0)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "_id int, s string")
     late = spark.createDataFrame([(3, "c", 9)], "_id int, s string, n int")
-    homes = store._homes()
-    store.append(late, 1)  # comes in after the merge listed what it reads
-    store._replace(merge_documents(store._documents(homes), spark.createDataFrame([(1, "A")], "_id int, s string")), homes)
+    store.append(first, 0)
+    store.merge(spark.createDataFrame([(1, "A")], "_id int, s string"))
+    store.append(late, 1)
     want = [(1, "A", None), (2, "b", None), (3, "c", 9)]
     assert rows(store.read(), "_id", "s", "n") == want
-    store.append(spark.createDataFrame([(1, "a"), (2, "b")], "_id int, s string"), 0)
+    store.append(first, 0)  # taken in by the merge: a replay changes nothing
     store.append(late, 1)
     assert rows(store.read(), "_id", "s", "n") == want
     store.merge(spark.createDataFrame([(3, "C")], "_id int, s string"))
     store.append(late, 1)
     assert rows(store.read(), "_id", "s", "n") == [*want[:2], (3, "C", 9)]
     store.overwrite(spark.createDataFrame([(7, "x")], "_id int, s string"))
+    store.append(late, 1)
     assert rows(store.read()) == [(7, "x")]
+    store.append(late, 2)
+    assert rows(store.read(), "_id", "n") == [(3, 9), (7, None)]
+
+
+def test_a_merge_leaves_other_folders_as_they_are(spark, tmp_path, rows):
+    store = Collection(spark, str(tmp_path / "c"), buckets=8)
+    store.overwrite(spark.range(100).select(F.col("id").alias("_id"), F.lit("old").alias("s")))
+    bad = spark.createDataFrame([(200, "old", None), (201, "old", "why")], f"_id bigint, s string, {REASON} string")
+    store.append(bad, 0)
+    store.append(spark.createDataFrame([(300, "old")], "_id bigint, s string"), 1)
+    before = files_of(tmp_path / "c")
+    assert len({f.split("/")[1] for f, _ in before}) == 10
+    store.merge(spark.createDataFrame([(5, "new", 1), (200, "new", 2), (999, "new", 3)], "_id bigint, s string, n int"))
+    same = [f for f, _ in before & files_of(tmp_path / "c")]
+    assert len({f.split("/")[1] for f in same}) >= 8 and any("batch_id=1" in f for f in same)
+    assert any(f.startswith("v=000001/batch_id=0/row_status=rejected") for f in same)
+    got = {r._id: (r.s, r.n) for r in store.read().collect()}
+    assert len(got) == 103 and {k for k, v in got.items() if v[0] == "new"} == {5, 200, 999}
+    assert got[200] == ("new", 2) and got[300] == ("old", None)
+    assert [r._id for r in store.rejects().collect()] == [201] and store.version() == 1
+    # the same merge again, as after one that did not end
+    store.merge(spark.createDataFrame([(5, "new", 1), (200, "new", 2), (999, "new", 3)], "_id bigint, s string, n int"))
+    assert {r._id: (r.s, r.n) for r in store.read().collect()} == got
+    # a wider type is a new version
+    store.merge(spark.createDataFrame([(5, 2.5)], "_id bigint, n double"))
+    assert store.version() == 2
+    got = {r._id: (r.s, r.n) for r in store.read().collect()}
+    assert got[5] == ("new", 2.5) and got[999] == ("new", 3.0) and len(got) == 103
+    store.append(bad, 0)
+    assert store.read().count() == 103
+
+
+def test_a_merge_into_nothing(spark, tmp_path, rows):
+    store = Collection(spark, str(tmp_path / "c"))
+    store.merge(spark.createDataFrame([(1, "a")], "_id int, s string"))
+    assert rows(store.read()) == [(1, "a")]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        Collection(spark, str(tmp_path / "d")).read()
