@@ -112,15 +112,15 @@ def half_step(
 
 def alternate(
     ratings: DataFrame, user: str, item: str, rank: int, iterations: int, reg: float, seed: int,
-    implicit: bool = False, alpha: float = 1.0,
+    implicit: bool = False, alpha: float = 1.0, start: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors), both (id, features). Each half step is written to the
     shared folder, so neither plans nor lost executors reach back further than one step."""
     ids = [F.col(c).cast("long").alias(c) for c in (user, item)]
     ratings = materialise(ratings.select(*ids, "rating"), "als-ratings")
-    users = materialise(
-        starting_factors(ratings.select(F.col(user).alias("id")).distinct(), rank, seed), "als"
-    )
+    if start is None:
+        start = starting_factors(ratings.select(F.col(user).alias("id")).distinct(), rank, seed)
+    users = materialise(start, "als")
     items = users
     for _ in range(iterations):
         for solve_for, given in ((item, user), (user, item)):

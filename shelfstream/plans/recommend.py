@@ -9,13 +9,15 @@ from functools import reduce
 from operator import add
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstream.operators.aggregates import group_count
-from shelfstream.operators.factors import alternate
+from shelfstream.operators.factors import alternate, starting_factors
 from shelfstream.operators.joins import join_few
 from shelfstream.operators.keys import frequency_ids
+from shelfstream.sources import paths
 from shelfstream.operators.ranking import top_k, top_n_per_group
+from shelfstream.operators.top_products import top_products
 from shelfstream.session import materialise
 
 USER, ITEM = "user_num", "item_num"
@@ -58,6 +60,27 @@ def encode(ratings: DataFrame, user: str, item: str) -> Encoded:
     return Encoded(materialise(numbered, "encoded"), users, items)
 
 
+def extend(mapping: DataFrame, rows: DataFrame, key: str, number: str) -> DataFrame:
+    """A mapping with the keys it lacks numbered behind its last number, the most frequent first; known keys
+    keep their numbers and have their counts added up."""
+    new = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_more"))
+    added = frequency_ids(rows.join(mapping.select(key), key, "left_anti"), key, number)
+    last = mapping.agg(F.coalesce(F.max(number) + 1, F.lit(0).cast("bigint")).alias("_start"))
+    added = added.crossJoin(F.broadcast(last)).withColumn(number, F.col(number) + F.col("_start")).drop("_start")
+    kept = mapping.join(new, key, "left").withColumn("n", F.col("n") + F.coalesce("_more", F.lit(0))).drop("_more")
+    return kept.unionByName(added)
+
+
+def encode_more(known: Encoded, ratings: DataFrame, user: str, item: str) -> Encoded:
+    """More ratings under the numbers of earlier ones; new users and items are numbered behind them."""
+    users, items = (
+        materialise(extend(mapping, ratings, key, number), number)
+        for mapping, key, number in ((known.users, user, USER), (known.items, item, ITEM))
+    )
+    numbered = ratings.join(users.drop("n"), user).join(items.drop("n"), item)
+    return Encoded(materialise(numbered, "encoded"), users, items)
+
+
 # -- training -----------------------------------------------------------------------------
 
 
@@ -75,13 +98,14 @@ class Factors:
 def fit(
     train: DataFrame, rank: int = RANK, iterations: int = ITERATIONS, reg: float = REG,
     seed: int = 0, implicit: bool = False, alpha: float = 1.0, solver: str = "split",
+    start: DataFrame | None = None,
 ) -> Factors:
-    """Train on (user_num, item_num, rating). The half steps are joins and aggregations, whatever
-    the size of the data. ``solver="library"`` is for small data and ``recommend_all``: Spark ML keeps
-    all ratings of a user or item in one task and lists all pairs of blocks."""
+    """Train on (user_num, item_num, rating), from user vectors ``start`` where they are given. The half steps
+    are joins and aggregations, whatever the size of the data. ``solver="library"`` is for small data: Spark ML
+    keeps all ratings of a user or item in one task."""
     if solver == "split":
         users, items = alternate(
-            train, USER, ITEM, rank, iterations, reg, seed, implicit, alpha
+            train, USER, ITEM, rank, iterations, reg, seed, implicit, alpha, start
         )
         return Factors(users, items, rank)
     if solver != "library":
@@ -103,6 +127,40 @@ def fit_triplets(triplets: DataFrame, seed: int = 0) -> Factors:
     return fit(train, TRIPLET_RANK, TRIPLET_ITERATIONS, REG, seed)
 
 
+def start_from(factors: Factors, encoded: Encoded, seed: int = 0) -> DataFrame:
+    """User vectors to go on training with: fitted ones, and starting ones for users numbered since."""
+    ids = encoded.users.select(F.col(USER).cast("long").alias("id"))
+    new = ids.join(factors.users.select("id"), "id", "left_anti")
+    return factors.users.unionByName(starting_factors(new, factors.rank, seed))
+
+
+# -- storing ------------------------------------------------------------------------------
+
+
+def save(path: str, encoded: Encoded, factors: Factors) -> None:
+    """Write mappings and factors, each as a table under ``path``; a mark at the end tells that all are there."""
+    spark = encoded.users.sparkSession
+    paths.remove(spark, f"{path}/rank")
+    tables = {
+        "ratings": encoded.ratings, "users": encoded.users, "items": encoded.items,
+        "user_factors": factors.users, "item_factors": factors.items,
+    }
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    paths.put_text(spark, f"{path}/rank", str(factors.rank))
+
+
+def load(spark: SparkSession, path: str) -> tuple[Encoded, Factors]:
+    rank = paths.get_text(spark, f"{path}/rank")
+    if rank is None:
+        raise ValueError(f"{path} holds no complete model")
+    ratings, users, items, user_factors, item_factors = (
+        spark.read.parquet(f"{path}/{name}")
+        for name in ("ratings", "users", "items", "user_factors", "item_factors")
+    )
+    return Encoded(ratings, users, items), Factors(user_factors, item_factors, int(rank))
+
+
 # -- scoring ------------------------------------------------------------------------------
 
 
@@ -160,13 +218,13 @@ def recommend(factors: Factors, asked: Iterable[int], n: int = 3, by: str = USER
 
 
 def recommend_all(factors: Factors, n: int = 3, by: str = USER) -> DataFrame:
-    """The ``n`` best of every user (or item). The work is users times items by nature:
-    for small catalogues."""
-    if factors.model is None:
-        raise ValueError("needs factors fitted with solver=\"library\"")
-    if by == USER:
-        return factors.model.recommendForAllUsers(n)
-    return factors.model.recommendForAllItems(n)
+    """The ``n`` best items of every user, or with ``by=ITEM`` the best users of every item: (user_num, item_num,
+    rating). Exact; searches end early by the lengths of the vectors (``operators.top_products``)."""
+    this, other, of = (
+        (factors.users, factors.items, ITEM) if by == USER else (factors.items, factors.users, USER)
+    )
+    found = top_products(this, other, n)
+    return found.select(F.col("asking").alias(by), F.col("id").alias(of), F.col("product").cast("float").alias("rating"))
 
 
 def decode(recommended: DataFrame, encoded: Encoded) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfstream import schemas
 from shelfstream.functions.nested import bad_object_id, object_id, typed_json
@@ -376,6 +376,34 @@ def names_sample(spark, sf_dir):
     )
 
 
+@query("""WITH f AS (SELECT p_type AS country, COUNT(DISTINCT split_part(p_name, ' ', 1)) * COUNT(DISTINCT split_part(p_name, ' ', 2)) AS pairs
+  FROM part GROUP BY 1)
+SELECT SUM(pairs)::BIGINT AS pairs, TRUE AS near, TRUE AS without_repeats, TRUE AS all_known, COUNT(*) AS countries FROM f""")
+def names_drawn(spark, sf_dir):
+    """A third of all pairs as a stated number of names, drawn by gaps, numbered and exported: as many as asked for
+    within five deviations, no pair twice, and every one a first and a last name of its country."""
+    parts = t.table(spark, sf_dir, "part").withColumn("words", F.split("p_name", " "))
+    first = parts.select(F.col("p_type").alias("country"), F.get("words", F.lit(0)).alias("firstname")).distinct()
+    last = parts.select(F.col("p_type").alias("country"), F.get("words", F.lit(1)).alias("lastname")).distinct()
+    sizes = first.groupBy("country").agg(F.count(F.lit(1)).alias("f")).join(
+        last.groupBy("country").agg(F.count(F.lit(1)).alias("l")), "country"
+    )
+    pairs, countries = sizes.agg(F.sum(F.col("f") * F.col("l")), F.count(F.lit(1))).first()
+    path, asked = fresh_path(spark, "names"), pairs // 3
+    drawn = keys.unique_ids(name_plans.drawn_pairs(first, last, "country", n=asked, seed=7))
+    name_plans.export_names(drawn, path)
+    names = spark.read.csv(path, header=True, escape='"')
+    known = names.join(first, ["country", "firstname"], "left_semi").join(last, ["country", "lastname"], "left_semi")
+    return names.agg(
+        F.lit(pairs).alias("pairs"),
+        (F.abs(F.count(F.lit(1)) - asked) <= 5 * F.sqrt(F.lit(asked * 2 / 3))).alias("near"),
+        ((F.countDistinct("country", "firstname", "lastname") == F.count(F.lit(1))) & (F.countDistinct("id") == F.count(F.lit(1))))
+        .alias("without_repeats"),
+    ).crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("_known")))).crossJoin(
+        F.broadcast(names.agg(F.count(F.lit(1)).alias("_all")))
+    ).select("pairs", "near", "without_repeats", (F.col("_known") == F.col("_all")).alias("all_known"), F.lit(countries).alias("countries"))
+
+
 # -- aggregation --------------------------------------------------------------------------
 
 
@@ -439,9 +467,12 @@ def group_sum_having_sql(spark, sf_dir):
     return sums.withColumn("bal", F.round("bal", 2))
 
 
-@query()
+@query("SELECT COUNT(*) AS n, TRUE AS numbered FROM lineitem")
 def partition_profile(spark, sf_dir):
-    return aggregates.partition_profile(t.table(spark, sf_dir, "lineitem").select("l_orderkey"))
+    """Rows per partition, added up; which partition holds what is Spark's choice."""
+    profile = aggregates.partition_profile(t.table(spark, sf_dir, "lineitem").select("l_orderkey"))
+    sizes, number = [profile[c] for c in profile.columns if c != "partition"][0], F.col("partition")
+    return profile.agg(F.sum(sizes).alias("n"), (F.countDistinct(number) == F.count(number)).alias("numbered"))
 
 
 @query("""SELECT round(sqrt(avg(power(r - m, 2))), 6) AS rmse
@@ -506,12 +537,34 @@ def unique_ids(spark, sf_dir):
     )
 
 
-@query()
+@query("""SELECT c_name AS name, 1 AS n_ids FROM customer
+WHERE ((c_custkey % 2147483648 * 2654435761) % 4294967296) < 1288490188""")
 def names_shuffled(spark, sf_dir):
-    """A 30 % sample of the readers' names in random order, numbered."""
-    names = t.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
-    sampled = sampling.shuffled(sampling.bernoulli(names, 0.30, 7), 7)
-    return keys.unique_ids(sampled)
+    """A 30 % sample of the readers' names in random order, numbered: which names, and that each has a number."""
+    names = t.table(spark, sf_dir, "customer")
+    sampled = names.filter(sampling.in_share(F.col("c_custkey"), 0.30)).select(F.col("c_name").alias("name"))
+    numbered = materialise(keys.unique_ids(sampling.shuffled(sampled, 7)), "shuffled")
+    once = numbered.groupBy("id").agg(F.first("name").alias("name"))
+    return once.groupBy("name").agg(F.count(F.lit(1)).cast("int").alias("n_ids"))
+
+
+@query("""SELECT COUNT(*) AS n, TRUE AS near_share, TRUE AS same_again, TRUE AS uniform FROM lineitem""")
+def sample_bernoulli(spark, sf_dir):
+    """A seeded sample of 30 % and a random column: the share within five deviations, the same rows from the same
+    seed, the random values between 0 and 1 with a mean near a half."""
+    lines = t.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    n = lines.count()
+    drawn = [
+        sampling.bernoulli(lines, 0.30, 7).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("*")).alias("rows"))
+        for _ in range(2)
+    ]
+    first, second = (d.first() for d in drawn)
+    return lines.withColumn("r", F.rand(7)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.lit(abs(first.n - 0.3 * n) <= 5 * (0.21 * n) ** 0.5).alias("near_share"),
+        F.lit(first == second).alias("same_again"),
+        ((F.min("r") >= 0) & (F.max("r") < 1) & (F.abs(F.avg("r") - 0.5) < 2 / F.sqrt(F.count(F.lit(1))))).alias("uniform"),
+    )
 
 
 @query("""SELECT 'U' || o_custkey AS user_id, row_number() OVER (ORDER BY COUNT(*) DESC, 'U' || o_custkey) - 1 AS user_num
@@ -782,6 +835,43 @@ def tumbling_count(spark, sf_dir):
     return words.tumbling_counts(t.table(spark, sf_dir, "events"), "ts", "event_type")
 
 
+@query("""WITH e AS (SELECT event_type, CAST(date_trunc('second', ts) AS TIMESTAMP) AS window_start, event_id % 10 = 3 AS late FROM events)
+SELECT window_start, event_type, COUNT(*) FILTER (NOT late) AS n, COUNT(*) FILTER (late) AS n_late FROM e
+GROUP BY 1, 2 HAVING COUNT(*) FILTER (NOT late) > 0
+UNION ALL SELECT NULL, 'all late rows', NULL, COUNT(*) FROM e WHERE late""")
+def tumbling_count_stream(spark, sf_dir):
+    """Windows of a stream that arrives in four files by time and a fifth, of every tenth event, when their windows
+    are closed. Final counts are appended; the late rows are counted, and found again per window by a batch count."""
+    inbox, output = fresh_path(spark, "events"), fresh_path(spark, "windows")
+    events = t.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type", (F.col("event_id") % 10 == 3).alias("late")
+    )
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    quarter = (last - first) / 4
+    closing = events.limit(1).select(F.lit(last + quarter).cast("timestamp").alias("ts"), F.lit("closing").alias("event_type"))
+    on_time, late_rows = events.filter(~F.col("late")).drop("late"), events.filter("late").drop("late")
+    quarters = [
+        on_time.filter((F.col("ts") >= first + i * quarter) & ((F.col("ts") < first + (i + 1) * quarter) if i < 3 else F.lit(True)))
+        for i in range(4)
+    ]
+    dropped, checkpoint = 0, fresh_path(spark, "checkpoint")
+    for part in (*quarters, closing, late_rows):
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(part.schema).parquet(inbox)
+        dropped += words.run_tumbling_counts(stream, "ts", "event_type", output, checkpoint)
+    counts = spark.read.parquet(output).filter("event_type <> 'closing'")
+    late_counts = words.tumbling_counts(late_rows, "ts", "event_type").withColumnRenamed("n", "n_late")
+    found = counts.join(late_counts, ["window_start", "event_type"], "left").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n",
+        F.coalesce("n_late", F.lit(0)).alias("n_late"),
+    )
+    total = spark.range(1).select(
+        F.lit(None).cast("timestamp_ntz").alias("window_start"), F.lit("all late rows").alias("event_type"),
+        F.lit(None).cast("bigint").alias("n"), F.lit(dropped).cast("bigint").alias("n_late"),
+    )
+    return found.unionByName(total)
+
+
 # -- recommendation -----------------------------------------------------------------------
 
 
@@ -813,10 +903,78 @@ def coldstart_rows(spark, sf_dir):
     return recommend.known_rows(test, train).agg(F.count(F.lit(1)).alias("kept"))
 
 
-@query()
+_SCORED_SQL = f"""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, CAST(l_quantity AS INT) % 11 AS rating,
+    l_orderkey * 8 + l_linenumber AS row_key FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+s AS (SELECT *, {_HELD_OUT_SQL} AS held_out FROM r),
+k AS (SELECT * FROM s WHERE held_out AND u IN (SELECT u FROM s WHERE NOT held_out) AND i IN (SELECT i FROM s WHERE NOT held_out))
+"""
+
+
+def _checked_scores(factors, test):
+    """Scored rows, and whether each score is the product of the two stored vectors, summed another way."""
+    scored = recommend.score(factors, test)
+    sides = [
+        table.select(F.col("id").alias(key), F.col("features").alias(name))
+        for table, key, name in ((factors.users, recommend.USER, "_a"), (factors.items, recommend.ITEM, "_b"))
+    ]
+    terms = F.zip_with("_a", "_b", lambda x, y: x.cast("double") * y.cast("double"))
+    product = F.aggregate(terms, F.lit(0.0), lambda x, y: x + y)
+    exact = F.abs(F.col("prediction") - product) <= 1e-5 * (1 + F.abs(product))
+    checked = scored.join(sides[0], recommend.USER).join(sides[1], recommend.ITEM)
+    return checked.select("user_id", "isbn", "rating", exact.alias("exact"))
+
+
+@query(_SCORED_SQL + "SELECT u AS user_id, i AS isbn, rating, TRUE AS exact FROM k")
 def als_predictions(spark, sf_dir):
     _, factors, test = _fitted(spark, sf_dir)
-    return recommend.score(factors, test).select("user_id", "isbn", "rating", "prediction")
+    return _checked_scores(factors, test)
+
+
+def _solved(factors, train, user_id, implicit=False, alpha=1.0):
+    """(user_id, n, solved): whether each user's vector solves its normal equations, with all sums made anew in
+    plain expressions: (sum of w v v' + reg n I) u = sum of t v, with the whole other side under it if implicit."""
+    rank, rating = factors.rank, F.col("rating").cast("double")
+    v = [F.get("_v", F.lit(i)).cast("double") for i in range(rank)]
+    u = [F.get("features", F.lit(i)).cast("double") for i in range(rank)]
+    users = factors.users.withColumnRenamed("id", recommend.USER)
+    items = factors.items.select(F.col("id").alias(recommend.ITEM), F.col("features").alias("_v"))
+    rows = train.join(items, recommend.ITEM).join(users, recommend.USER)
+    product = sum((a * b for a, b in zip(u, v)), F.lit(0.0))
+    weight = F.lit(alpha) * F.abs(rating) if implicit else F.lit(1.0)
+    target = F.when(rating > 0, 1.0 + weight).otherwise(0.0) if implicit else rating
+    counted = F.count_if(rating > 0) if implicit else F.count(F.lit(1))
+    sums = rows.groupBy(recommend.USER, user_id, "features").agg(
+        counted.alias("n_reg"), F.count(F.lit(1)).alias("n"),
+        *[F.sum((weight * product - target) * v[i]).alias(f"_r{i}") for i in range(rank)],
+        F.sum(F.abs(target) * F.greatest(*[F.abs(x) for x in v])).alias("_size"),
+    )
+    shared = [F.lit(0.0)] * rank
+    if implicit:  # the sum of v v' over all items, times u
+        whole = [[F.sum(v[i] * v[j]).alias(f"_g{i}_{j}") for j in range(rank)] for i in range(rank)]
+        sums = sums.crossJoin(F.broadcast(items.agg(*[c for row in whole for c in row])))
+        shared = [sum((F.col(f"_g{i}_{j}") * u[j] for j in range(rank)), F.lit(0.0)) for i in range(rank)]
+    left = [F.abs(F.col(f"_r{i}") + shared[i] + recommend.REG * F.col("n_reg") * u[i]) for i in range(rank)]
+    return sums.select(user_id, "n", (F.greatest(*left) <= 1e-4 * (1 + F.col("_size"))).alias("solved"))
+
+
+_TRAINED_SQL = f"""SELECT o_custkey AS user_id, COUNT(*) AS n, TRUE AS solved
+FROM (SELECT *, l_orderkey * 8 + l_linenumber AS row_key FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+WHERE NOT ({_HELD_OUT_SQL}) GROUP BY 1"""
+
+
+@query(_TRAINED_SQL)
+def als_solves(spark, sf_dir):
+    """Every reader's vector solves its normal equations over the training rows."""
+    encoded = _encoded(spark, sf_dir)
+    train, _ = sampling.hash_split(encoded.ratings, F.col("row_key"), 0.8)
+    return _solved(recommend.fit(train, seed=7), train, "user_id")
+
+
+@query(_TRAINED_SQL)
+def als_implicit_solves(spark, sf_dir):
+    encoded = _encoded(spark, sf_dir)
+    train, _ = sampling.hash_split(encoded.ratings, F.col("row_key"), 0.8)
+    return _solved(recommend.fit(train, seed=7, implicit=True), train, "user_id", implicit=True)
 
 
 @query(f"""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, CAST(l_quantity AS INT) % 11 AS rating,
@@ -847,36 +1005,117 @@ def decode_ids(spark, sf_dir):
     )
 
 
-@query()
+_ERROR_SQL = _SCORED_SQL + "SELECT COUNT(*) AS n, TRUE AS finite, TRUE AS learns FROM k"
+
+
+def _errors(spark, sf_dir, **settings):
+    """Held-out rows with a score, whether their error is a number, and whether the error over the training rows
+    lies below that of their mean (ratings of made-up data tell nothing about others)."""
+    encoded = _encoded(spark, sf_dir)
+    train, test = sampling.hash_split(encoded.ratings, F.col("row_key"), 0.8)
+    factors = recommend.fit(train, seed=7, **settings)
+    scored = recommend.score(factors, test)
+    error = aggregates.rmse(scored).first()[0]
+    seen, mean = (x.first()[0] for x in (
+        aggregates.rmse(recommend.score(factors, train)), aggregates.mean_baseline_rmse(train)
+    ))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.lit(error is not None and 0 < error < 1e6).alias("finite"),
+        F.lit(seen < mean).alias("learns"),
+    )
+
+
+@query(_ERROR_SQL)
 def als_rmse(spark, sf_dir):
-    _, factors, test = _fitted(spark, sf_dir)
-    return aggregates.rmse(recommend.score(factors, test))
+    return _errors(spark, sf_dir)
 
 
-@query()
+@query(_ERROR_SQL)
 def als_split_rmse(spark, sf_dir):
     """The same under its earlier name, which asks for the solver."""
-    _, factors, test = _fitted(spark, sf_dir, solver="split")
-    return aggregates.rmse(recommend.score(factors, test))
+    return _errors(spark, sf_dir, solver="split")
 
 
-@query()
+@query(_SCORED_SQL + "SELECT u AS user_id, i AS isbn, rating, TRUE AS exact FROM k")
 def als_implicit(spark, sf_dir):
     _, factors, test = _fitted(spark, sf_dir, implicit=True)
-    return recommend.score(factors, test).select("user_id", "isbn", "rating", "prediction")
+    return _checked_scores(factors, test)
 
 
-@query()
+def _best_of_three(spark, sf_dir, by, of, id_column):
+    """(id, place, falling, best): the three best of the three most frequent ids; whether scores fall with the place,
+    and whether just as many of all scores of the id are higher as there are places before."""
+    encoded, factors, _ = _fitted(spark, sf_dir)
+    asked = [r[0] for r in aggregates.distinct_first(encoded.ratings, by, 3).collect()]
+    listed = materialise(recommend.recommend(factors, asked, 3, by), "recommended")
+    this, other = (factors.users, factors.items) if by == recommend.USER else (factors.items, factors.users)
+    pairs = this.filter(F.col("id").isin(asked)).select(F.col("id").alias(by), F.col("features").alias("_a"))
+    every = other.select(F.col("id").alias(of), F.col("features").alias("_b")).crossJoin(F.broadcast(pairs))  # three rows
+    terms = F.zip_with("_a", "_b", lambda x, y: x.cast("double") * y.cast("double"))
+    scores = every.select(by, F.aggregate(terms, F.lit(0.0), lambda x, y: x + y).alias("score"))
+    order = Window.partitionBy(by).orderBy(F.desc("rating"), of)
+    placed = listed.select(
+        by, "rating", F.row_number().over(order).alias("place"),
+        (F.coalesce(F.lag("rating").over(order), F.col("rating")) >= F.col("rating")).alias("falling"),
+    )
+    higher = placed.join(scores, by).groupBy(by, "place", "falling").agg(
+        F.count_if(F.col("score") > F.col("rating") + 1e-4 * (1 + F.abs("rating"))).alias("_higher")
+    )
+    names = (encoded.users if by == recommend.USER else encoded.items).select(by, id_column)
+    return higher.join(names, by).select(id_column, "place", "falling", (F.col("_higher") < F.col("place")).alias("best"))
+
+
+def _asked_sql(key: str, name: str) -> str:
+    return f"""SELECT k AS {name}, place, TRUE AS falling, TRUE AS best FROM (SELECT {key} AS k
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 3), (SELECT unnest([1, 2, 3]) AS place)"""
+
+
+@query(_asked_sql("o_custkey", "user_id"))
 def recommend_users(spark, sf_dir):
     """The three best items of three readers."""
-    encoded, factors, _ = _fitted(spark, sf_dir)
-    asked = [r[0] for r in aggregates.distinct_first(encoded.ratings, recommend.USER, 3).collect()]
-    return recommend.decode(recommend.recommend(factors, asked, 3), encoded)
+    return _best_of_three(spark, sf_dir, recommend.USER, recommend.ITEM, "user_id")
 
 
-@query()
+@query(_asked_sql("l_partkey", "isbn"))
 def recommend_items(spark, sf_dir):
     """The three best readers of three items."""
-    encoded, factors, _ = _fitted(spark, sf_dir)
-    asked = [r[0] for r in aggregates.distinct_first(encoded.ratings, recommend.ITEM, 3).collect()]
-    return recommend.decode(recommend.recommend(factors, asked, 3, recommend.ITEM), encoded)
+    return _best_of_three(spark, sf_dir, recommend.ITEM, recommend.USER, "isbn")
+
+
+@query("""WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS f FROM embeddings),
+s AS (SELECT u.id AS user_num, i.id AS item_num, list_inner_product(u.f, i.f) AS rating FROM v u JOIN v i
+  ON u.id % 4 = 1 AND i.id % 2 = 0)
+SELECT user_num, item_num, rating::FLOAT AS rating FROM s
+QUALIFY row_number() OVER (PARTITION BY user_num ORDER BY rating DESC, item_num) <= 3""")
+def recommend_all(spark, sf_dir):
+    """The three best items of every user, with the embeddings in the roles of fitted vectors: every second an
+    item, every fourth a user, components as whole numbers so that products are exact in any order."""
+    vectors = t.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("float")).alias("features")
+    )
+    factors = recommend.Factors(vectors.filter("id % 4 = 1"), vectors.filter("id % 2 = 0"), 64)
+    return recommend.recommend_all(factors, 3)
+
+
+@query("""WITH r AS (SELECT o_custkey AS u, o_orderkey % 3 = 0 AS later FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+a AS (SELECT u, row_number() OVER (ORDER BY COUNT(*) DESC, u) - 1 AS num FROM r WHERE NOT later GROUP BY u),
+b AS (SELECT u, (SELECT COUNT(*) FROM a) + row_number() OVER (ORDER BY COUNT(*) DESC, u) - 1 AS num FROM r
+  WHERE later AND u NOT IN (SELECT u FROM a) GROUP BY u),
+m AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT m.u AS user_id, num AS user_num, COUNT(*) AS n, COUNT(*) FILTER (later) AS n_scored FROM m JOIN r USING (u) GROUP BY 1, 2""")
+def als_saved(spark, sf_dir):
+    """A model fitted on two thirds of the orders, saved, loaded, extended by the readers and parts of the others,
+    trained on and asked for all later ratings: known readers keep their numbers, each later rating has a score."""
+    rated = materialise(t.ratings(spark, sf_dir).withColumn("later", F.expr("(row_key div 8) % 3 = 0")), "rated")
+    encoded = recommend.encode(rated.filter(~F.col("later")), "user_id", "isbn")
+    path = fresh_path(spark, "model")
+    recommend.save(path, encoded, recommend.fit(encoded.ratings, iterations=2, seed=7))
+    known, factors = recommend.load(spark, path)
+    more = recommend.encode_more(known, rated.filter("later"), "user_id", "isbn")
+    every = known.ratings.unionByName(more.ratings)
+    refitted = recommend.fit(every, iterations=1, seed=7, start=recommend.start_from(factors, more))
+    scored = recommend.score(refitted, more.ratings).filter(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
+    n_scored = scored.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_scored"))
+    return more.users.join(n_scored, "user_id", "left").select(
+        "user_id", recommend.USER, "n", F.coalesce("n_scored", F.lit(0)).alias("n_scored")
+    )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.operators.aggregates import word_counts
+from shelfstream.sources import paths
 from shelfstream.sources.collections import BATCH
 from shelfstream.streaming.load import DRAIN_TRIGGER
 
@@ -21,11 +22,12 @@ def run_word_count(
     """Write (word, n) of each batch to ``output/batch_id=N``; ``show`` prints ten rows."""
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         path = f"{output}/{BATCH}={batch_id}"
-        word_counts(batch).write.mode("overwrite").parquet(path)
-        if show:
+        seen = Observation()
+        word_counts(batch.observe(seen, F.count(F.lit(1)).alias("lines"))).write.mode("overwrite").parquet(path)
+        if not seen.get["lines"]:  # nothing stays of a batch without lines
+            paths.remove_folder(batch.sparkSession, path)
+        elif show:
             batch.sparkSession.read.parquet(path).show(10, truncate=False)
 
     query = (
@@ -39,10 +41,34 @@ def run_word_count(
     return query
 
 
-def tumbling_counts(events: DataFrame, time: str, key: str, width: str = "1 second") -> DataFrame:
-    """Rows per window of event time and key. Works on tables and on streams."""
+def tumbling_counts(
+    events: DataFrame, time: str, key: str, width: str = "1 second", late: str | None = None
+) -> DataFrame:
+    """Rows per window of event time and key. On a stream, ``late`` says how far events may come behind the
+    newest one: a window's count is final, and leaves the state, when the watermark has passed its end."""
+    if events.isStreaming:
+        if late is None:
+            raise ValueError("windows of a stream need to know how late events may come")
+        events = events.withWatermark(time, late)
     return (
         events.groupBy(F.window(time, width).alias("_w"), key)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("_w.start").alias("window_start"), key, "n")
     )
+
+
+def run_tumbling_counts(
+    events: DataFrame, time: str, key: str, output: str, checkpoint: str, width: str = "1 second",
+    late: str = "10 seconds", trigger: dict | None = None,
+) -> int:
+    """Append the final counts of a stream's windows to files under ``output`` and return how many late rows
+    came after their window was closed, as the state store counted them. Windows that the watermark has not
+    passed stay in the state of ``checkpoint`` for the next run."""
+    query = (
+        tumbling_counts(events, time, key, width, late)
+        .writeStream.outputMode("append").format("parquet")
+        .option("path", output).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or DRAIN_TRIGGER)).start()
+    )
+    query.awaitTermination()
+    return sum(state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"])

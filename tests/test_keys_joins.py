@@ -166,3 +166,17 @@ def test_small_shares(spark):
     assert 200 <= large.filter(sampling.in_share(F.col("id"), 0.3)).count() <= 400
     with pytest.raises(ValueError):
         sampling.in_share(F.col("id"), 1e-12)
+
+
+def test_every_row_of_a_join_is_accounted_for(spark, rows):
+    people = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    text = spark.createDataFrame(
+        [("1", 10), ("1", 11), ("7", 12), ("2x", 13), (None, 14), ("2x", 15)], "id string, v int"
+    )
+    got = joins.join_accounted(people, text, "id")
+    assert got.columns == ["id", "name", "v", "reject_reason"] and dict(got.dtypes)["id"] == "bigint"
+    assert rows(got, "v", "id", "name", "reject_reason") == [
+        (10, 1, "a", None), (11, 1, "a", None), (12, 7, None, "unmatched:id"), (13, None, None, "malformed:id"),
+        (14, None, None, "malformed:id"), (15, None, None, "malformed:id"),
+    ]
+    assert joins.join_accounted(people.limit(0), text, "id").filter("reject_reason is null").count() == 0

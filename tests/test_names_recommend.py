@@ -1,10 +1,11 @@
+from collections import Counter
 from itertools import product
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstream.operators import aggregates, factors as split
+from shelfstream.operators import aggregates, factors as split, top_products
 from shelfstream.plans import names, recommend as rec
 
 
@@ -34,6 +35,39 @@ def test_sampled_pairs(spark, monkeypatch):
     assert one.count() != names.generated_names([many, many], 0.3, seed=2).count()
 
 
+def test_drawn_pairs_are_a_fair_sample(spark, monkeypatch):
+    monkeypatch.setattr(names, "_KEPT", 16)
+    first = spark.createDataFrame([(g, f"f{i}") for g, n in (("x", 90), ("y", 10), ("z", 5)) for i in range(n)], "g string, firstname string")
+    last = spark.createDataFrame([(g, f"l{i}") for g, n in (("x", 80), ("y", 7), ("w", 3)) for i in range(n)], "g string, lastname string")
+    every = 90 * 80 + 10 * 7
+    for options in ({"share": 0.2}, {"n": every // 5}):
+        drawn = names.drawn_pairs(first, last, "g", seed=3, **options).collect()
+        assert len(set(drawn)) == len(drawn) and abs(len(drawn) - every / 5) < 5 * (every * 0.16) ** 0.5
+        assert {r.g for r in drawn} == {"x", "y"}
+        by_first = Counter(r.firstname for r in drawn if r.g == "x")
+        assert len(by_first) == 90 and max(by_first.values()) < 16 + 6 * 13**0.5
+    assert sorted(drawn) == sorted(names.drawn_pairs(first, last, "g", seed=3, n=every // 5).collect())
+    assert names.drawn_pairs(first, last, "g", share=1.0).count() == every
+    assert names.drawn_pairs(first, last, "g", n=0.0001 * every).count() < 12
+    with pytest.raises(ValueError):
+        names.drawn_pairs(first, last, "g", share=0.0)
+
+
+def test_gaps_are_geometric():
+    rng = np.random.default_rng(0)
+    kept = [names._gaps(rng, 0.25, 1000) for _ in range(200)]
+    assert all((np.diff(k) > 0).all() and k.min() >= 0 and k.max() < 1000 for k in kept)
+    total = np.bincount(np.concatenate(kept), minlength=1000)
+    assert abs(total.mean() - 50) < 1 and abs(total[:10].mean() - 50) < 10 and abs(total[-10:].mean() - 50) < 10
+    huge = names._gaps(rng, 1e-12, 10**15)
+    assert 800 < len(huge) < 1200 and len(names._gaps(rng, 1.0, 50)) == 50
+
+
+def test_a_share_finer_than_the_hash_is_refused(spark):
+    with pytest.raises(ValueError, match="finer"):
+        names.by_share(1e-12, 1)(F.lit("g"), F.lit(1))
+
+
 def test_popularity(spark, rows):
     rated = spark.createDataFrame(
         [("a", 1), ("a", 2), ("b", 1), ("b", None), ("c", 3), ("c", 3), ("x", 1), ("x", 1), ("x", 1)],
@@ -116,18 +150,15 @@ def test_recommendations(planted, fitted):
 
 
 def test_recommend_all_agrees(planted, fitted):
-    if fitted.model is None:
-        with pytest.raises(ValueError):
-            rec.recommend_all(fitted)
-        return
-    whole = {
-        r.user_num: [x.item_num for x in r.recommendations] for r in rec.recommend_all(fitted, 3).collect()
-    }
-    mine = rec.recommend(fitted, range(5), 3).collect()
-    for user in range(5):
-        best = sorted((r for r in mine if r.user_num == user), key=lambda r: -r.rating)
-        assert [r.item_num for r in best] == whole[user]
-    assert rec.recommend_all(fitted, 2, by=rec.ITEM).count() == 30
+    users = {r.id: np.array(r.features) for r in fitted.users.collect()}
+    items = {r.id: np.array(r.features) for r in fitted.items.collect()}
+    for by, this, other in ((rec.USER, users, items), (rec.ITEM, items, users)):
+        got = {}
+        for r in rec.recommend_all(fitted, 3, by).collect():
+            got.setdefault(r[by], []).append(r.rating)
+        for i, vector in this.items():
+            want = sorted((float(vector @ o) for o in other.values()), reverse=True)[:3]
+            assert np.allclose(sorted(got[i], reverse=True), want, rtol=1e-4)
 
 
 def test_unseen_users_and_items_are_dropped(spark, planted, fitted):
@@ -160,3 +191,59 @@ def test_triplets(spark):
     fitted = rec.fit_triplets(triplets, seed=1)
     assert fitted.users.count() == 12
     assert len(fitted.users.first().features) == rec.TRIPLET_RANK
+
+
+def test_top_products_end_early():
+    rng = np.random.default_rng(2)
+    items = rng.normal(size=(5000, 4)) * rng.lognormal(sigma=1.5, size=(5000, 1))
+    users = rng.normal(size=(50, 4))
+    order = np.argsort(-np.linalg.norm(items, axis=1), kind="stable")
+    found, computed = top_products.best_in((np.arange(50), users), [(order, items[order])], 3)
+    assert computed < 0.5 * 50 * 5000
+    for u in range(50):
+        want = np.argsort(-(items @ users[u]), kind="stable")[:3]
+        assert [i for a, i, _ in found if a == u] == want.tolist()
+
+
+def test_top_products_in_many_blocks(spark, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 7), ("GROUP_ROWS", 10), ("SLICE_ROWS", 20), ("STEP", 3)):
+        monkeypatch.setattr(top_products, name, value)
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in rng.integers(-3, 4, 3)]) for i in range(60)]  # many ties
+    table = spark.createDataFrame(data, "id long, features array<float>").repartition(3)
+    few = table.filter("id % 3 = 0")
+    got = sorted(map(tuple, top_products.top_products(few, table, 4).collect()))
+    want = []
+    for a, x in data[::3]:
+        ranked = sorted((-float(np.dot(x, y)), i) for i, y in data)[:4]
+        want += [(a, i, -p) for p, i in ranked]
+    assert got == sorted(want)
+    assert top_products.top_products(few, table.limit(0), 4).count() == 0
+    assert len({r.id for r in top_products.top_products(few, table.filter("id < 2"), 4).collect()}) == 2
+
+
+def test_a_saved_model_goes_on(spark, tmp_path, planted):
+    path = str(tmp_path / "model")
+    with pytest.raises(ValueError, match="complete"):
+        rec.load(spark, path)
+    rec.save(path, planted, rec.fit(planted.ratings, rank=2, iterations=2))
+    known, factors = rec.load(spark, path)
+    assert factors.rank == 2 and known.users.count() == 40
+    more = spark.createDataFrame(
+        [("new2", "i1", 1.0), ("u3", "j9", 2.0), ("new1", "i1", 1.0), ("new1", "i2", 3.0), (None, "i1", 1.0)],
+        "user_id string, isbn string, rating double",
+    )
+    grown = rec.encode_more(known, more, "user_id", "isbn")
+    before = {r.user_id: r[rec.USER] for r in known.users.collect()}
+    after = {r.user_id: r[rec.USER] for r in grown.users.collect()}
+    assert after == {**before, "new1": 40, "new2": 41}
+    assert {r.isbn: r[rec.ITEM] for r in grown.items.collect()}["j9"] == 30
+    counts = {r.user_id: r.n for r in grown.users.collect()}
+    assert counts["new1"] == 2 and counts["u3"] == {r.user_id: r.n for r in known.users.collect()}["u3"] + 1
+    start = rec.start_from(factors, grown)
+    assert start.count() == 42 and start.select("id").distinct().count() == 42
+    every = known.ratings.unionByName(grown.ratings)
+    refitted = rec.fit(every, rank=2, iterations=2, start=start)
+    assert refitted.users.count() == 42 and refitted.items.count() == 31
+    again = rec.encode_more(grown, more.limit(0), "user_id", "isbn")
+    assert {r.user_id: r[rec.USER] for r in again.users.collect()} == after

@@ -208,6 +208,27 @@ def test_tumbling_counts_edges(spark):
     assert [r.n for r in got] == [1, 2]
 
 
+def test_windows_of_a_stream_close_by_the_watermark(spark, tmp_path, rows):
+    inbox, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+
+    def run(*events):
+        spark.createDataFrame(events, "t string, k string").select(
+            F.to_timestamp("t").alias("ts"), "k").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema("ts timestamp, k string").parquet(inbox)
+        return words.run_tumbling_counts(stream, "ts", "k", out, cp, late="5 seconds")
+
+    day = "2024-01-01 00:00:"
+    assert run((day + "01.2", "x"), (day + "01.9", "x"), (day + "04", "y")) == 0
+    assert spark.read.schema("n long").parquet(out).count() == 0  # nothing is final yet
+    assert run((day + "01.5", "x"), (day + "20", "x")) == 0  # late, but in time
+    assert rows(spark.read.parquet(out), "k", "n") == [("x", 3), ("y", 1)]
+    assert run((day + "01.5", "x"), (day + "14", "x"), (day + "19", "y")) == 2
+    assert run((day + "40", "z")) == 0
+    assert rows(spark.read.parquet(out), "k", "n") == [("x", 1), ("x", 3), ("y", 1), ("y", 1)]
+    with pytest.raises(ValueError, match="late"):
+        words.tumbling_counts(spark.readStream.schema("ts timestamp, k string").parquet(inbox), "ts", "k")
+
+
 def test_the_whole_chain(spark, tmp_path, rows):
     """Files to readers to ratings, with every bad row accounted for."""
     (tmp_path / "users.csv").write_text(
