@@ -84,7 +84,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
         missed = keyed.select("digest").distinct().join(stored, "digest", "left_anti")
         distinct = distinct.join(materialise(missed, "token-count-misses"), "digest", "left_semi")
     encode_misses(distinct, tokenizer).write.mode("append").parquet(folder)
-    counts = cached_counts(spark, folder)
+    # a plain table, so that AQE can split the rows of a digest that many documents share
+    counts = materialise(cached_counts(spark, folder), "token-counts")
     return keyed.select("doc_id", "n_bytes", "digest").join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
