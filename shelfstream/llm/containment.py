@@ -10,13 +10,15 @@ shingles of a long document. Only DataFrame expressions run. Sketches and candid
 tables, so Spark knows their size when it chooses between broadcast and shuffle.
 
 Defined cases: null text is empty; items with fewer than five words have no shingle and are in no
-document; repeated rows each have their own result; empty tables give empty results."""
+document; null ids, of documents or items, are kept in the results; items that share an id are looked
+for one by one; repeated rows each have their own result; other columns, whatever their names, are
+kept by ``decontaminate``; empty tables give empty results."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstream.llm.text import row_key, whole
+from shelfstream.llm.text import row_key, unused, whole
 from shelfstream.session import materialise
 
 SHINGLE = 5
@@ -45,14 +47,15 @@ def need(n: Column, threshold: float = THRESHOLD) -> Column:
 
 def sketches(items: DataFrame, item_id: str = "item_id", text: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
-    """(item_id, hashes, n, need, sketch) of items that have shingles."""
-    hashed = shingled(items.select(F.col(item_id).alias("item_id"), whole(text).alias("text")), "hashes")
+    """(item, item_id, hashes, n, need, sketch) of items that have shingles; ``item`` is a key of id and text."""
+    rows = items.select(F.col(item_id).alias("item_id"), whole(text).alias("text"))
+    hashed = shingled(rows.withColumn("item", row_key("item_id", "text")), "hashes")
     hashed = materialise(
-        hashed.select("item_id", F.array_sort(F.array_distinct("hashes")).alias("hashes")), "item-shingles"
+        hashed.select("item", "item_id", F.array_sort(F.array_distinct("hashes")).alias("hashes")), "item-shingles"
     ).filter(F.size("hashes") > 0)
     largest = F.pow(F.lit(2.0), F.floor(F.log2(F.size("hashes"))) + 1).cast("int") - 1
     return hashed.select(
-        "item_id", "hashes", F.size("hashes").alias("n"), need(F.size("hashes"), threshold).alias("need"),
+        "item", "item_id", "hashes", F.size("hashes").alias("n"), need(F.size("hashes"), threshold).alias("need"),
         F.slice("hashes", F.lit(1), largest - need(largest, threshold) + 1).alias("sketch"),
     )
 
@@ -63,7 +66,7 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     known = materialise(sketches(items, item_id, item_text, threshold), "item-sketches")
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     keyed = rows.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
-    probes = materialise(known.select("item_id", "need", F.explode("sketch").alias("hash")), "item-probes")
+    probes = materialise(known.select("item", "need", F.explode("sketch").alias("hash")).distinct(), "item-probes")
     # The number of shingles is taken before they are dealt out, so that no row drags the array along.
     # explode() would filter on the array, and the optimizer would push the whole expression into that.
     sized = shingled(keyed.select("key", "text"), "hashes").select("key", F.size("hashes").alias("size"), "hashes")
@@ -71,10 +74,10 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         sized.select("key", "size", F.explode_outer("hashes").alias("hash"))
         .join(probes, "hash").filter(F.col("size") >= F.col("need"))
     )
-    candidates = materialise(met.select("key", "item_id").distinct(), "candidates")
+    candidates = materialise(met.select("key", "item").distinct(), "candidates")
     asked = materialise(candidates.select("key").distinct(), "candidate-keys")
     found = shingled(keyed.join(asked, "key", "left_semi"), "in_doc")
-    pairs = found.join(candidates, "key").join(known, "item_id")
+    pairs = found.join(candidates, "key").join(known, "item")
     held = F.size(F.array_intersect("in_doc", "hashes"))
     return (
         pairs.select("key", "doc_id", "item_id", F.col("n").alias("n_shingles"), "need", held.alias("n_held"))
@@ -86,7 +89,8 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    bad = materialise(find(docs, items, doc_id, text, **names).select(F.col("key").alias("_bad_key")).distinct(), "leaks")
-    plain = F.struct(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
-    keyed = docs.withColumn("_leak", plain).withColumn("_leak_key", row_key("_leak.doc_id", "_leak.text"))
-    return keyed.join(bad, F.col("_leak_key") == F.col("_bad_key"), "left_anti").drop("_leak", "_leak_key")
+    plain, key, bad = unused(docs, "_plain", "_plain_key", "_bad_key")
+    leaks = materialise(find(docs, items, doc_id, text, **names).select(F.col("key").alias(bad)).distinct(), "leaks")
+    fields = F.struct(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
+    keyed = docs.withColumn(plain, fields).withColumn(key, row_key(f"{plain}.doc_id", f"{plain}.text"))
+    return keyed.join(leaks, F.col(key) == F.col(bad), "left_anti").drop(plain, key)

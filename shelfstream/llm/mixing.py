@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstream.llm.text import whole, words
+from shelfstream.llm.text import unused, whole, words
 from shelfstream.operators.keys import dense_ids
 from shelfstream.session import materialise
 
@@ -101,18 +101,16 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         share: float = SHARE, most: float = MOST) -> DataFrame:
     """The documents with all their columns, each as often as the plan takes it."""
     rates = plan(docs, doc_id, source, text, share, most)
-    times = rates.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source")).agg(
-        F.max("copies").cast("int").alias("_mix_copies")
+    mixed, of, copies, copy = unused(docs, "_mix_id", "_mix_source", "_mix_copies", "_mix_copy")
+    times = rates.groupBy(F.col("doc_id").alias(mixed), F.col("source").alias(of)).agg(
+        F.max("copies").cast("int").alias(copies)
     )
     kept = docs.join(
-        times.filter("_mix_copies > 0"),
-        docs[doc_id].eqNullSafe(F.col("_mix_id"))
-        & docs[source].cast("string").eqNullSafe(F.col("_mix_source")),
+        times.filter(F.col(copies) > 0),
+        docs[doc_id].eqNullSafe(F.col(mixed)) & docs[source].cast("string").eqNullSafe(F.col(of)),
     )
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(
-        *columns, F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")
-    ).select(*columns)
+    return kept.select(*columns, F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copy)).select(*columns)
 
 
 def _join(rows: DataFrame, sources: DataFrame) -> DataFrame:

@@ -22,6 +22,16 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
+def unused(rows: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until none is a column of ``rows``."""
+    taken, out = {c.lower() for c in rows.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def row_key(*columns: str) -> Column:
     """A 64-bit key of the given columns; equal rows share it, nulls are a value of their own."""
     return F.xxhash64(*[

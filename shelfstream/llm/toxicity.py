@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     known = (
         labels.select(F.col("doc_id").alias("_labelled"), F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("toxic").isin(0, 1) & F.col("_labelled").isNotNull() & (remainder("_labelled") != 2))
-        .dropDuplicates(["_labelled"])
+        .groupBy("_labelled").agg(F.max("toxic").alias("toxic"))  # an id labelled both ways is toxic
     )
     order = [F.xxhash64("_labelled"), F.col("_labelled")]
     part = [

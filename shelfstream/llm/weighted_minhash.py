@@ -18,8 +18,9 @@ different components is left out. A bucket of many texts that are neither simila
 first bound is still compared cell by cell, leaders by members.
 
 Defined cases: null text is empty; texts without words are copies of each other; shorter texts than
-five words are one shingle; rows without an id have no class; ids are taken to be unique, rows that
-repeat one are one node; an empty table gives an empty result."""
+five words are one shingle; rows without an id have no class, and ``deduplicate`` keeps them; rows that
+share an id are told apart by their texts; rows that share both are kept or removed together; ids are
+whole numbers; other columns, whatever their names, are kept; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfstream.llm.components import components
 from shelfstream.llm.plain import plain_words
+from shelfstream.llm.text import row_key, unused
 from shelfstream.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -163,7 +165,7 @@ def word_weights(docs: DataFrame, rare: float = RARE) -> tuple[dict[int, float],
 
 
 def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(doc_id, same, total, bands): ``same`` tells texts apart, word for word; total is the weight of all
+    """(doc_id, key, same, total, bands): ``same`` tells texts apart, word for word; total is the weight of all
     shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
@@ -179,7 +181,7 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
 
             for t in batch.column("text").to_pylist():
                 words = plain_words(t)
-                same.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                same.append(text_digest(words))
                 bands.append([])
                 total.append(0.0)
                 if words:
@@ -192,24 +194,31 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
             if held:
                 draw()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(same), pa.array(total, pa.float64()),
+                [batch.column("doc_id"), batch.column("key"), pa.array(same, pa.binary()), pa.array(total, pa.float64()),
                  pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "same", "total", "bands"],
+                ["doc_id", "key", "same", "total", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, same binary, total double, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, key long, same binary, total double, bands array<long>")
+
+
+def text_digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
 def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(node, shingles, weights, cells) of rows (doc_id, text); ``cells`` sums the weights of each cell."""
+    """(node, shingles, weights, cells) of rows (node, same, text) whose text is the node's; ``cells`` sums the
+    weights of each cell."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
         of = Words(shared.value, most)
         for batch in batches:
-            found = [weighted(plain_words(t), of) for t in batch.column("text").to_pylist()]
+            split = [plain_words(t) for t in batch.column("text").to_pylist()]
+            own = [text_digest(w) == same for w, same in zip(split, batch.column("same").to_pylist())]
+            found = [weighted(w, of) for w, use in zip(split, own) if use]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s.tobytes() for s, _ in found], pa.binary()),
+                [batch.column("node").filter(pa.array(own, pa.bool_())), pa.array([s.tobytes() for s, _ in found], pa.binary()),
                  pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary()),
                  pa.array([
                      np.bincount((s % np.uint64(CELLS)).astype(np.int64), w, CELLS).astype(np.float32) for s, w in found
@@ -273,20 +282,36 @@ def pivoted(members: DataFrame, known: DataFrame, threshold: float = SIMILARITY)
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) of every row: the smallest id of its group of near copies."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return grouped(docs, doc_id, text, threshold).select("doc_id", "class_id")
+
+
+def keyed(doc_id: str, text: str) -> Column:
+    """The key of a row's id and text."""
+    return row_key(doc_id, text)
+
+
+def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id, key, leads) of every row; of each group the rows of one id and text lead."""
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), keyed(doc_id, text).alias("key")
+    )
     idf, most = word_weights(rows)
     signed = materialise(nodes(rows, idf, most), "signatures")
     texts = materialise(
         signed.filter(F.col("doc_id").isNotNull()).groupBy("same")
-        .agg(F.min("doc_id").alias("node"), F.first("total").alias("total"), F.first("bands").alias("bands")), "texts",
+        .agg(F.min("doc_id").alias("first_id"), F.first("total").alias("total"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "texts",
     )
     banded = texts.select("node", "total", F.posexplode("bands").alias("band", "key")).select(
         "node", "total", F.xxhash64("band", "key").alias("bucket")
     ).distinct()
     full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = materialise(banded.join(full, "bucket"), "buckets")
-    asked = materialise(members.select(F.col("node").alias("doc_id")).distinct(), "members")
-    known = materialise(vectors(rows.join(asked, "doc_id", "left_semi"), idf, most), "vectors")
+    asked = materialise(
+        texts.join(members.select("node").distinct(), "node", "left_semi")
+        .select(F.col("first_id").alias("doc_id"), "node", "same"), "members",
+    )
+    known = materialise(vectors(rows.join(asked, "doc_id").select("node", "same", "text"), idf, most), "vectors")
     measured, open_members = pivoted(members, known, threshold)
     links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
     labels = None if links.isEmpty() else components(links)
@@ -335,17 +360,27 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         leaders_each *= GROWTH
     texts = texts.select("same", "node")
     if labels is not None:
-        texts = texts.join(labels, "node", "left").select("same", F.coalesce("label", "node").alias("class_id"))
+        texts = texts.join(labels, "node", "left").select("same", F.coalesce("label", "node").alias("group"))
     else:
-        texts = texts.select("same", F.col("node").alias("class_id"))
-    named = signed.filter(F.col("doc_id").isNotNull()).select("doc_id", "same").join(texts, "same").select("doc_id", "class_id")
-    return named.unionByName(signed.filter(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id")))
+        texts = texts.select("same", F.col("node").alias("group"))
+    named = materialise(
+        signed.filter(F.col("doc_id").isNotNull()).select("doc_id", "key", "same").join(texts, "same")
+        .select("doc_id", "key", "group"), "groups",
+    )
+    # plain tables, so that AQE can split the rows of a large group
+    leaders = materialise(named.groupBy("group").agg(F.min(F.struct("doc_id", "key")).alias("first")), "first-of-groups")
+    placed = named.join(leaders, "group").select(
+        "doc_id", F.col("first.doc_id").alias("class_id"), "key", (F.col("key") == F.col("first.key")).alias("leads")
+    )
+    return placed.unionByName(signed.filter(F.col("doc_id").isNull()).select(
+        "doc_id", F.lit(None).cast("long").alias("class_id"), "key", F.lit(True).alias("leads")
+    ))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The document with the smallest id of each group, with all its columns; rows without an id stay."""
-    first = materialise(
-        classes(docs, doc_id, text).filter("doc_id != class_id").select(F.col("doc_id").alias("_copy_id")).distinct(),
-        "copies",
+    own, copy = unused(docs, "_own_key", "_copy_key")
+    copies = materialise(
+        grouped(docs, doc_id, text).filter("NOT leads").select(F.col("key").alias(copy)).distinct(), "copies"
     )
-    return docs.join(first, F.col(doc_id) == F.col("_copy_id"), "left_anti")
+    return docs.withColumn(own, keyed(doc_id, text)).join(copies, F.col(own) == F.col(copy), "left_anti").drop(own)
