@@ -51,9 +51,9 @@ def undeclared_fields(value: Column, names: list[str]) -> tuple[Column, Column]:
 
 def message_object_id(partition: Column, *place: Column) -> Column:
     """The 24 hex digits of a document id made from where its message lies: the partition and an offset,
-    or a file and a row. The same again after a replay."""
+    or a file and a row. The same again after a replay. They begin with 0, ids of an overwrite with f."""
     parts = [partition, *place]
-    return F.substring(F.md5(F.concat_ws("/", *[p.cast("string") for p in parts])), 1, 24)
+    return F.concat(F.lit("0"), F.substring(F.md5(F.concat_ws("/", *[p.cast("string") for p in parts])), 1, 23))
 
 
 def row_json(columns: list[str]) -> Column:

@@ -726,6 +726,31 @@ def batch_metrics(spark, sf_dir):
     )
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS \"key\", o_orderstatus AS status, COUNT(*) OVER () AS n FROM orders")
+def stream_load_live(spark, sf_dir):
+    """A load with a batch each second, stopped between two batches after it has drained what was published while
+    it ran, and what came after by the next run on its checkpoint."""
+    location, checkpoint = fresh_path(spark, "topic"), fresh_path(spark, "checkpoint")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    store, third = Collection(spark, fresh_path(spark, "orders")), F.col("o_orderkey") % 3
+
+    def send(number):
+        topics.publish(topics.to_messages(orders.filter(third == number), "o_orderkey"), "orders", location=location)
+
+    send(0)
+    query = load.run_load(
+        topics.stream_topic(spark, location), load.declared(orders.schema), store, checkpoint,
+        trigger=load.LIVE_TRIGGER, wait=False,
+    )
+    send(1)
+    query.processAllAvailable()
+    load.run_for(query, 0.5)
+    send(2)
+    load.run_load(topics.stream_topic(spark, location), load.declared(orders.schema), store, checkpoint)
+    rows = store.read().select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status"))
+    return rows.crossJoin(F.broadcast(rows.agg(F.count(F.lit(1)).alias("n"))))
+
+
 @query("""SELECT c_custkey AS id, c_name AS name,
   CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS segment FROM customer""")
 def stream_load_drifting(spark, sf_dir):
@@ -1010,18 +1035,18 @@ _ERROR_SQL = _SCORED_SQL + "SELECT COUNT(*) AS n, TRUE AS finite, TRUE AS learns
 
 def _errors(spark, sf_dir, **settings):
     """Held-out rows with a score, whether their error is a number, and whether the error over the training rows
-    lies below that of their mean (ratings of made-up data tell nothing about others)."""
+    lies below that of their mean (ratings of made-up data tell nothing about others). All rows are scored once."""
     encoded = _encoded(spark, sf_dir)
-    train, test = sampling.hash_split(encoded.ratings, F.col("row_key"), 0.8)
-    factors = recommend.fit(train, seed=7, **settings)
-    scored = recommend.score(factors, test)
-    error = aggregates.rmse(scored).first()[0]
-    seen, mean = (x.first()[0] for x in (
-        aggregates.rmse(recommend.score(factors, train)), aggregates.mean_baseline_rmse(train)
-    ))
+    ratings = encoded.ratings.withColumn("trained", sampling.in_share(F.col("row_key"), 0.8))
+    factors = recommend.fit(ratings.filter("trained").select(recommend.USER, recommend.ITEM, "rating"), seed=7, **settings)
+    scored = recommend.score(factors, ratings.select(recommend.USER, recommend.ITEM, "rating", "trained"))
+    missed = F.pow(F.col("prediction").cast("double") - F.col("rating"), 2)
+    trained = F.col("trained")
+    error = F.sqrt(F.avg(F.when(~trained, missed)))
+    seen, mean = F.sqrt(F.avg(F.when(trained, missed))), F.stddev_pop(F.when(trained, F.col("rating").cast("double")))
     return scored.agg(
-        F.count(F.lit(1)).alias("n"), F.lit(error is not None and 0 < error < 1e6).alias("finite"),
-        F.lit(seen < mean).alias("learns"),
+        F.count_if(~trained).alias("n"), F.coalesce((error > 0) & (error < 1e6), F.lit(False)).alias("finite"),
+        (seen < mean).alias("learns"),
     )
 
 

@@ -9,8 +9,8 @@ from shelfstream.sources import files
 
 RECORD = {name: "x" for name in schemas.RICH_BOOK.names} | {
     "isbn": "0012", "asin": " ", "series": [], "similar_books": ["1", 2],
-    "authors": [{"author_id": "2", "role": ""}, {"author_id": "3", "role": ""}],
-    "popular_shelves": [{"count": "152", "name": "to-read"}, {"count": "-1", "name": "tbr"}],
+    "authors": [{"author_id": "71", "role": "editor"}, {"author_id": "72", "role": ""}],
+    "popular_shelves": [{"count": "8", "name": "lent out"}, {"count": "-4", "name": "attic"}],
 }
 
 
@@ -23,7 +23,7 @@ def test_rich_book_nested_columns(spark, tmp_path):
     assert raw.first().series == "[]"
     first, second = books.type_nested(raw).orderBy("isbn").collect()
     assert (first.isbn, first.series, first.similar_books) == ("0012", [], ["1", "2"])
-    assert first.popular_shelves[1] == ("-1", "tbr")
+    assert first.popular_shelves[1] == ("-4", "attic")
     assert len(first.authors) == 2
     assert second.series is None
     assert [tuple(a) for a in second.authors] == [("5", "r")]
