@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfstream.llm.word_ids import gather, slabs
 from shelfstream.session import materialise
 
-SLAB_BYTES = 16 << 20
+SLAB_BYTES = 6 << 20
 REMEMBERED = 200_000
 LINE_CHUNKS = 500
 # fixed value: sentencepiece's mark of a space
@@ -321,6 +321,7 @@ def aligned_slabs(docs: DataFrame, a_path: str, b_path: str, slab_bytes: int) ->
         for number, table in enumerate(in_slabs(batches, slab_bytes)):
             columns = [table.column(c).chunk(0) for c in ("doc_id", "text")]
             row = align_slab(aligner, (task << 32) | number, *columns)
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row[f.name].to_pylist() if f.name == "doc_id" else row[f.name]], f.type) for f in SLAB_ROW],
                 schema=SLAB_ROW,
