@@ -6,47 +6,44 @@ substrings get equal names everywhere without a dictionary; only symbols within
 substring's ends can differ. The name of a run would depend on where it ends, which a window need not
 see, so equal neighbours, always on one side, stay as they are. Of a 35-word window the symbols that begin 7 to 20 words in are the same
 wherever it stands; the least of them is its anchor, named with the words around it that all its windows
-hold. Anchors that two places share reveal repeats, and windows are then compared exactly (see repeats.py).
+hold. Anchors that two places share reveal repeats, and windows are then compared word by word (see repeats.py).
 
 Defined cases: null text is empty; texts under 35 words keep all; windows never cross documents; rows
-that share id and text have the same result."""
+that share id and text have the same result; other columns are not looked at; an empty table gives no row."""
 
 from __future__ import annotations
 
 import hashlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstream.llm import repeats
 from shelfstream.llm.text import words
-from shelfstream.llm.weighted_minhash import mix, word_hash
+from shelfstream.llm.weighted_minhash import mix
 
 WINDOW, ROUNDS = 35, 3
 MARGIN = 2**ROUNDS - 1
 LONGEST = 2**ROUNDS
-REMEMBERED = 500_000
-_places: dict[bytes, int] = {}
-_hashes = array("Q")
-
-
-def word_units(text: str) -> np.ndarray:
-    """Hashes of the words; a worker remembers those it has seen, up to a bound."""
-    split = text.encode("utf-8", "surrogatepass").split()
-    if len(_places) > REMEMBERED:
-        _places.clear()
-        del _hashes[:]
-    try:
-        places = np.fromiter(map(_places.__getitem__, split), np.int64, len(split))
-    except KeyError:
-        for w in split:
-            if w not in _places:
-                _places[w] = len(_places)
-                _hashes.append(word_hash(w))
-        places = np.fromiter(map(_places.__getitem__, split), np.int64, len(split))
-    return np.frombuffer(_hashes, np.uint64)[places] if split else np.zeros(0, np.uint64)
+SLAB_BYTES = 2 << 20
+
+
+def word_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of a slab of texts, and the place of each text's first word and the end. Distinct
+    words are hashed once a slab."""
+    split = pc.ascii_split_whitespace(texts)
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    flat = split.flatten()
+    there = pc.greater(pc.binary_length(flat), 0)
+    kept = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    coded = flat.filter(there).dictionary_encode()
+    names = coded.dictionary.cast(pa.binary())
+    edges = np.frombuffer(names.buffers()[1], np.int32, len(names) + 1) if len(names) else np.zeros(1, np.int32)
+    data = np.frombuffer(names.buffers()[2] or b"", np.uint8, int(edges[-1])) if len(names) else np.zeros(0, np.uint8)
+    hashes = repeats.stretch(repeats.prefix(data), edges[:-1], edges[1:])
+    return hashes[coded.indices.to_numpy(zero_copy_only=False)], kept[bounds - bounds[0]]
 
 
 def recompress(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,19 +60,31 @@ def recompress(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return name, start
 
 
-def word_anchors(units: np.ndarray, sums: np.ndarray):
+def word_order(units: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, int, int]:
     name, start = recompress(units)
     order = np.full(len(units), np.iinfo(np.uint64).max, np.uint64)
     order[start] = name
     # a window's inner words begin MARGIN in; the last symbol that surely ends there begins LONGEST before
-    first, last, place = repeats.choose(
-        order, MARGIN, WINDOW - MARGIN - LONGEST, len(units) - WINDOW + 1
-    )
-    # all windows that an anchor serves hold the words around it, so these can tell anchors apart
-    return first, last, place, repeats.stretch(sums, place - MARGIN, place + MARGIN + LONGEST)
+    return order, MARGIN, WINDOW - MARGIN - LONGEST
+
+
+def word_symbol(sums: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """All windows that an anchor serves hold the words around it, so these can tell anchors apart."""
+    return repeats.stretch(sums, place - MARGIN, place + MARGIN + LONGEST)
+
+
+def exact_words(contexts: list[bytes]) -> list[np.ndarray]:
+    """Contexts as numbers of words, equal for equal words of the same call."""
+    numbers: dict[bytes, int] = {}
+    return [
+        np.array([numbers.setdefault(w, len(numbers)) for w in c.split(b" ")], np.uint64) for c in contexts
+    ]
 
 
-WORDS = repeats.Kind(WINDOW, word_units, word_anchors)
+WORDS = repeats.Kind(
+    WINDOW, SLAB_BYTES, word_units, word_order, word_symbol, bytes.split,
+    lambda split, first, last: b" ".join(split[first:last]), exact_words,
+)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,10 +104,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def run(batches):
         for batch in batches:
             out = []
-            for packed, sure, found in zip(*(batch.column(c).to_pylist() for c in ("packed", "sure", "found"))):
-                text = repeats.unpack(packed)
-                gone = repeats.removed(WORDS, text, sure, found)
-                split = text.encode("utf-8", "surrogatepass").split()
+            for packed, found in zip(*(batch.column(c).to_pylist() for c in ("packed", "found"))):
+                split = repeats.unpack(packed).encode("utf-8", "surrogatepass").split()
+                gone = repeats.removed(len(split), found)
                 kept = b" ".join(w for w, g in zip(split, gone.tolist()) if not g)
                 out.append((len(gone), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept))
             yield pa.RecordBatch.from_arrays(
@@ -106,7 +114,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
-    return whole.unionByName(marked.select("doc_id", "packed", "sure", "found").mapInArrow(
+    return whole.unionByName(marked.select("doc_id", "packed", "found").mapInArrow(
         run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept binary"
     ))
 

@@ -4,10 +4,11 @@ Candidates are contexts of shared anchors (see repeats.py), the anchor of a 200-
 80-byte string of least hash. In each bucket the contexts are cut into tokens behind white space and
 punctuation, and a suffix array of all of them is built by Lyndon grouping (suffix_sorting.py). A
 context stays if a suffix, the token before it and the token behind its longest common prefix can reach
-200 bytes; its windows are then compared exactly. Cuts depend on bytes alone, so no repeat is lost.
+200 bytes; its windows are then compared byte by byte. Cuts depend on bytes alone, so no repeat is lost.
 
 Defined cases: null text is empty; texts under 200 bytes keep all; strings never cross documents;
-equal rows repeat each other; rows that share id and text have the same result."""
+equal rows repeat each other; rows that share id and text have the same result; other columns are not
+looked at; an empty table gives no row."""
 
 from __future__ import annotations
 
@@ -21,17 +22,23 @@ from shelfstream.llm import repeats
 from shelfstream.llm.suffix_sorting import common_prefixes, suffix_array
 
 WINDOW, GRAM = 200, 80
+SLAB_BYTES = 1 << 20
 
 
-def byte_units(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a slab of texts, and the place of each text's first byte and the end."""
+    edges = np.frombuffer(texts.buffers()[1], np.int32, texts.offset + len(texts) + 1)[texts.offset :].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8, int(edges[-1]))
+    return data[edges[0] :], edges - edges[0]
 
 
-def byte_anchors(units: np.ndarray, sums: np.ndarray):
+def byte_order(units: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, int, int]:
     starts = np.arange(len(units) - GRAM + 1)
-    order = repeats.stretch(sums, starts, starts + GRAM)
-    first, last, place = repeats.choose(order, 0, WINDOW - GRAM, len(units) - WINDOW + 1)
-    return first, last, place, order[place]
+    return repeats.stretch(sums, starts, starts + GRAM), 0, WINDOW - GRAM
+
+
+def byte_symbol(sums: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return repeats.stretch(sums, place, place + GRAM)
 
 
 def likely(parts: list[np.ndarray]) -> np.ndarray:
@@ -63,7 +70,10 @@ def likely(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-BYTES = repeats.Kind(WINDOW, byte_units, byte_anchors, likely, np.uint8)
+BYTES = repeats.Kind(
+    WINDOW, SLAB_BYTES, byte_units, byte_order, byte_symbol, lambda text: text, lambda text, first, last: text[first:last],
+    lambda contexts: [np.frombuffer(c, np.uint8) for c in contexts], likely,
+)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -82,10 +92,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def run(batches):
         for batch in batches:
             out = []
-            for packed, sure, found in zip(*(batch.column(c).to_pylist() for c in ("packed", "sure", "found"))):
-                text = repeats.unpack(packed)
-                gone = repeats.removed(BYTES, text, sure, found)
-                kept = byte_units(text)[~gone].tobytes()
+            for packed, found in zip(*(batch.column(c).to_pylist() for c in ("packed", "found"))):
+                raw = np.frombuffer(repeats.unpack(packed).encode("utf-8", "surrogatepass"), np.uint8)
+                gone = repeats.removed(len(raw), found)
+                kept = raw[~gone].tobytes()
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 out.append((len(gone), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
             yield pa.RecordBatch.from_arrays(
@@ -93,7 +103,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    return whole.unionByName(marked.select("doc_id", "packed", "sure", "found").mapInArrow(
+    return whole.unionByName(marked.select("doc_id", "packed", "found").mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     ))
 

@@ -8,12 +8,13 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
 
 from shelfstream.llm import (
-    containment, licenses, mixing, recompression, rule_forest, rule_stats, suffix_repeats, token_blocks, toxicity,
+    containment, licenses, mixing, recompression, repeats, rule_forest, rule_stats, suffix_repeats, token_blocks, toxicity,
     warc, weighted_minhash,
 )
 from shelfstream.llm.plain import plain_words
@@ -150,7 +151,9 @@ def test_suffix_arrays():
                 assert a[:h] == b[:h] and a[h : h + 1] != b[h : h + 1] or h == min(len(a), len(b))
 
 
-def test_repeated_bytes(spark, docs, none, texts):
+@pytest.mark.parametrize("bucket", [1, 32768])  # 1: every symbol is dealt out
+def test_repeated_bytes(spark, docs, none, texts, monkeypatch, bucket):
+    monkeypatch.setattr(suffix_repeats, "BYTES", replace(suffix_repeats.BYTES, bucket=bucket, slab_bytes=1000))
     got = Counter(tuple(r) for r in suffix_repeats.remove_repeats(docs).drop("kept").collect())
     raw = [(t or "").encode() for _, t, *_ in texts]
     want = Counter()
@@ -164,7 +167,7 @@ def test_repeated_bytes(spark, docs, none, texts):
 
 @pytest.mark.parametrize("bucket", [1, 32768])
 def test_repeated_words(spark, docs, texts, monkeypatch, bucket):
-    monkeypatch.setattr("shelfstream.llm.repeats.BUCKET", bucket)  # 1: every symbol is dealt out
+    monkeypatch.setattr(recompression, "WORDS", replace(recompression.WORDS, bucket=bucket, slab_bytes=1000))
     got = Counter(tuple(r) for r in recompression.remove_repeats(docs).drop("kept").collect())
     split = [tuple(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, *_ in texts]
     want = Counter()
@@ -172,6 +175,7 @@ def test_repeated_words(spark, docs, texts, monkeypatch, bucket):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         want[(i, len(w), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest())] += 1
     assert got == want and sum(r[2] for r in want) > 0
+    assert recompression.remove_repeats(docs.limit(0)).count() == 0
 
 
 def test_mixing(spark, docs, none, texts):
@@ -296,3 +300,49 @@ def test_rule_forest(spark, docs, none):
 
 def test_plain_words():
     assert plain_words("A-b, É?\n") == ["a".encode(), b"b", "é".encode()] and plain_words(None) == []
+
+
+def alternating(n: int, a: str, b: str) -> str:
+    """A block of n letters after the rule a -> ab, b -> ba."""
+    out = a
+    while len(out) < n:
+        out += "".join(b if c == a else a for c in out)
+    return out[:n]
+
+
+def equal_hashes() -> list[tuple[str, str]]:
+    """Texts of 200 letters whose polynomial hashes agree in many bits: halves of alternating blocks exchanged."""
+    rng, out = random.Random(1), []
+    for _ in range(40):
+        sides = [rng.choice(("ab", "cd", "xy")) for _ in range(3)]
+        blocks = [(alternating(64, *s), alternating(64, *s[::-1])) for s in sides]
+        tail = "".join(rng.choice("pq") for _ in range(8))
+        out.append(("".join(b[0] for b in blocks) + tail, "".join(b[1] for b in blocks) + tail))
+    return out
+
+
+def test_texts_of_like_hashes_are_compared(spark):
+    texts = [t for pair in equal_hashes() for t in pair]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    raw = [t.encode() for t in texts]
+    want = Counter((i, int(gone.sum())) for i, gone in enumerate(repeated(raw, 200)))
+    got = Counter((r.doc_id, r.n_removed) for r in suffix_repeats.remove_repeats(docs).collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("blind", [False, True])
+def test_repeats_are_decided_by_units(monkeypatch, blind):
+    """Also where every window has the same hash."""
+    if blind:
+        monkeypatch.setattr(repeats, "stretch", lambda sums, first, last: np.zeros(len(first), np.uint64))
+    rng = random.Random(9)
+    for _ in range(150):
+        parts = [np.array([rng.randrange(3) for _ in range(rng.randrange(4, 12))], np.uint64) for _ in range(rng.randrange(2, 6))]
+        offsets = [rng.randrange(3) for _ in parts]
+        seen = Counter((s - o, tuple(p[s : s + 4])) for p, o in zip(parts, offsets) for s in range(len(p) - 3))
+        want = {}
+        for i, (p, o) in enumerate(zip(parts, offsets)):
+            starts = [s for s in range(len(p) - 3) if seen[(s - o, tuple(p[s : s + 4]))] > 1]
+            if starts:
+                want[i] = (starts[0], starts[-1])
+        assert repeats.repeated(parts, offsets, 4) == want
