@@ -1,12 +1,14 @@
 """License scans: phrases by word places, templates by an exact set-similarity join.
 
-A block is a line. A template is found in a block that holds at least ``THRESHOLD`` of its distinct
-words. Template words are ranked by how many blocks of the whole corpus have them, rarest first.
-With n words and ``need = ceil(THRESHOLD * n)``, one of a template's ``n - need + 1`` rarest words must
-be in the block (prefix filter), the block needs that many template words (length filter), and behind
-the word they share both sides must have enough words left (position filter). Blocks that pass are
-verified by counting. Only DataFrame expressions run; templates are a fixed list, so what is
-broadcast is bounded.
+A block is a run of consecutive words of one document, across lines, at most ``1 / THRESHOLD`` times as
+long as the template. A template is found in a block that holds at least ``THRESHOLD`` of its distinct
+words. Words are cut into stretches of twice the longest block that begin one longest block apart, so each
+block lies whole in a stretch. Template words are ranked by how many stretches of the whole corpus have
+them, rarest first. With n words and ``need = ceil(THRESHOLD * n)``, one of a template's ``n - need + 1``
+rarest words must be in the stretch (prefix filter), the stretch needs that many template words (length
+filter), and behind the word they share both sides must have enough words left (position filter). In
+stretches that pass, every block is verified by counting. Only DataFrame expressions run; templates are a
+fixed list, so what is broadcast is bounded.
 
 Defined cases: null text is empty; documents without words have no place and score 0; rows that
 share id and text share their result; an empty table gives an empty result."""
@@ -85,11 +87,18 @@ def base(docs: DataFrame) -> DataFrame:
     )
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(key, words) of lines: which template words each has."""
-    lines = docs.select("key", F.explode(F.split("low", "\n")).alias("line"))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    return lines.select("key", F.array_intersect(tokens(F.col("line")), known).alias("words"))
+def longest(text: str, threshold: float = THRESHOLD) -> int:
+    """Words of the longest block for a template."""
+    return math.ceil(len(text.split()) / threshold - 1e-9)
+
+
+def stretches(docs: DataFrame, vocabulary: list[str], step: int) -> DataFrame:
+    """(key, words, known): stretches of ``2 * step`` words and which template words each has."""
+    split = docs.select("key", tokens(F.col("low")).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(step))
+    cut = split.select("key", F.explode(F.transform(starts, lambda i: F.slice(F.col("all"), i + 1, 2 * step))).alias("words"))
+    vocabulary_list = F.array(*[F.lit(w) for w in vocabulary])
+    return cut.select("key", "words", F.array_intersect("words", vocabulary_list).alias("known"))
 
 
 def _list(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -102,36 +111,42 @@ def _list(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def similar(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(key, label, containment): blocks that hold enough of a template, best per key and label."""
     spark = docs.sparkSession
-    sets = [(label, sorted(set(text.split()))) for label, text in templates]
-    vocabulary = sorted({w for _, words in sets for w in words})
-    found = blocks(docs, vocabulary)
+    sets = [(label, sorted(set(text.split())), longest(text, threshold)) for label, text in templates]
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
+    found = stretches(docs, vocabulary, max(most for _, _, most in sets))
     often = {
         r["word"]: r["n"]
-        for r in found.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in found.select(F.explode("known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
-    needs = [math.ceil(threshold * len(words) - 1e-9) for _, words in sets]
-    prefixes = _list(spark, [
+    needs = [math.ceil(threshold * len(words) - 1e-9) for _, words, _ in sets]
+    prefix_rows = [
         (t, label, len(words), need, place, r)
-        for t, ((label, words), need) in enumerate(zip(sets, needs))
+        for t, ((label, words, _), need) in enumerate(zip(sets, needs))
         for place, r in enumerate(sorted(rank[w] for w in words)[: len(words) - need + 1])
-    ], "template int, label string, n int, need int, place int, rank int")
+    ]
+    prefixes = _list(spark, prefix_rows, "template int, label string, n int, need int, place int, rank int")
     members = _list(spark, [
-        (t, [rank[w] for w in words]) for t, (_, words) in enumerate(sets)
-    ], "template int, members array<int>")
+        (t, most, words) for t, (_, words, most) in enumerate(sets)
+    ], "template int, most int, members array<string>")
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    ranked = found.filter(F.size("words") >= min(needs)).select(
-        "key", F.array_sort(F.transform("words", lambda w: F.element_at(ranks, w))).alias("ranks")
+    ranked = found.filter(F.size("known") >= min(needs)).select(
+        "key", "words", F.array_sort(F.transform("known", lambda w: F.element_at(ranks, w))).alias("ranks")
     )
+    rare = F.array(*[F.lit(r) for r in sorted({row[-1] for row in prefix_rows})])
+    placed = F.transform("ranks", lambda r, i: F.struct(i.alias("at"), r.alias("rank")))
+    hits = F.filter(placed, lambda x: F.array_contains(rare, x["rank"]))
     candidates = (
-        ranked.select("key", "ranks", F.posexplode("ranks").alias("at", "rank"))
+        ranked.select("key", "words", F.size("ranks").alias("many"), F.explode(hits).alias("hit"))
+        .select("key", "words", "many", "hit.at", "hit.rank")
         .join(F.broadcast(prefixes), "rank")
-        .filter(F.size("ranks") >= F.col("need"))
-        .filter(F.least(F.col("n") - F.col("place"), F.size("ranks") - F.col("at")) >= F.col("need"))
-    )
-    held = candidates.join(F.broadcast(members), "template").withColumn(
-        "held", F.size(F.array_intersect("ranks", "members"))
+        .filter(F.col("many") >= F.col("need"))
+        .filter(F.least(F.col("n") - F.col("place"), F.col("many") - F.col("at")) >= F.col("need"))
     )
+    places = F.sequence(F.lit(1), F.size("words"))
+    held = candidates.join(F.broadcast(members), "template").withColumn("held", F.array_max(F.transform(
+        places, lambda i: F.size(F.array_intersect(F.slice("words", i, F.col("most")), F.col("members")))
+    )))
     return (
         held.filter(F.col("held") >= F.col("need"))
         .groupBy("key", "label").agg(F.max(F.col("held") / F.col("n")).alias("containment"))

@@ -1,6 +1,6 @@
 """Mixing sources to target weights.
 
-Sizes (words) are summed per source before any shuffle of documents. Every source has a target
+Sizes (words) are summed per source; texts are never shuffled. Every source has a target
 number of words; ``rate = target / size of the source``. A document is emitted ``floor(rate)``
 times and once more with probability ``rate - floor(rate)``, decided by a hash of its id and a
 seed. Of ``SEEDS`` seeds each source takes the one whose draw comes nearest its target; the sums
@@ -64,9 +64,9 @@ def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) -> DataF
     return weighed.select("source", "source_size", share_of.alias("target"))
 
 
-def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
-         share: float = SHARE, most: float = MOST) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, rate, copies, taken."""
+def rates(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+          share: float = SHARE, most: float = MOST) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size) per document, and (source, source_size, target, rate, part, seed) per source."""
     sized = materialise(
         docs.select(
             F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
@@ -89,7 +89,13 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     )
     far = F.transform("sums", lambda s: F.abs(s - F.col("target")))
     seeds = tried.select("source", (F.array_position(far, F.array_min(far)) - 1).alias("seed"))
-    chosen = materialise(_join(rated, seeds), "seeds")
+    return sized, materialise(_join(rated, seeds), "seeds")
+
+
+def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+         share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, rate, copies, taken."""
+    sized, chosen = rates(docs, doc_id, source, text, share, most)
     copies = F.floor("rate") + (draw("doc_id", F.col("seed")) < F.col("part")).cast("long")
     return _join(sized, chosen).select(
         "doc_id", "source", "size", "source_size", "target", "rate", copies.alias("copies"),
@@ -99,18 +105,17 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
         share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The documents with all their columns, each as often as the plan takes it."""
-    rates = plan(docs, doc_id, source, text, share, most)
-    mixed, of, copies, copy = unused(docs, "_mix_id", "_mix_source", "_mix_copies", "_mix_copy")
-    times = rates.groupBy(F.col("doc_id").alias(mixed), F.col("source").alias(of)).agg(
-        F.max("copies").cast("int").alias(copies)
-    )
-    kept = docs.join(
-        times.filter(F.col(copies) > 0),
-        docs[doc_id].eqNullSafe(F.col(mixed)) & docs[source].cast("string").eqNullSafe(F.col(of)),
+    """The documents with all their columns, each as often as the plan takes it. A row's copies follow from
+    its id and its source, so texts meet only the table of sources."""
+    _, chosen = rates(docs, doc_id, source, text, share, most)
+    of, rate, part, seed, copy = unused(docs, "_mix_source", "_mix_rate", "_mix_part", "_mix_seed", "_mix_copy")
+    small = chosen.select(
+        F.col("source").alias(of), F.col("rate").alias(rate), F.col("part").alias(part), F.col("seed").alias(seed)
     )
+    rated = docs.join(small, docs[source].cast("string").eqNullSafe(F.col(of)))
+    copies = (F.floor(rate) + (draw(doc_id, F.col(seed)) < F.col(part)).cast("long")).cast("int")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns, F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copy)).select(*columns)
+    return rated.select(*columns, F.explode(F.array_repeat(F.lit(1), copies)).alias(copy)).select(*columns)
 
 
 def _join(rows: DataFrame, sources: DataFrame) -> DataFrame:

@@ -56,7 +56,8 @@ _PHRASES = " UNION ALL ".join(
     f"SELECT '{p}' AS phrase, '{label}' AS label" for p, label in licenses.PHRASES.items()
 )
 _TEMPLATES = " UNION ALL ".join(
-    f"SELECT '{label}' AS label, list_distinct(string_split('{t}', ' ')) AS words" for label, t in licenses.TEMPLATES
+    f"SELECT '{label}' AS label, list_distinct(string_split('{t}', ' ')) AS words, {licenses.longest(t)} AS most"
+    for label, t in licenses.TEMPLATES
 )
 SQL["op9_licenses"] = f"""
 WITH d AS (
@@ -74,12 +75,13 @@ WITH d AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id
 ), l AS (
-  SELECT doc_id, list_distinct(string_split_regex(unnest(string_split(low, chr(10))), '{licenses.BETWEEN}')) AS words FROM d
+  SELECT doc_id, label, w.words, t.words AS members, most, len(t.words) AS n, ceil({licenses.THRESHOLD} * len(t.words) - 1e-9) AS need
+  FROM w, ({_TEMPLATES}) t WHERE len(list_intersect(w.words, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)
 ), m AS (
   SELECT doc_id, label, max(held / n) AS containment
-  FROM (SELECT doc_id, label, len(list_intersect(l.words, t.words))::DOUBLE AS held, len(t.words) AS n
-        FROM l, ({_TEMPLATES}) t)
-  WHERE held >= ceil({licenses.THRESHOLD} * n - 1e-9) GROUP BY doc_id, label
+  FROM (SELECT doc_id, label, n, need, len(list_intersect(words[i : i + most - 1], members))::DOUBLE AS held
+        FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM l))
+  WHERE held >= need GROUP BY doc_id, label
 ), labels AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM (SELECT doc_id, label FROM m UNION ALL SELECT doc_id, label FROM b) GROUP BY doc_id

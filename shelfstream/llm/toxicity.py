@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstream.llm.plain import plain_words
+from shelfstream.llm.text import first_by_hash
 from shelfstream.session import materialise
 
 TOXIC, CLEAN, CALIBRATE = 1024, 1024, 3000
@@ -136,13 +137,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         .filter(F.col("toxic").isin(0, 1) & F.col("_labelled").isNotNull() & (remainder("_labelled") != 2))
         .groupBy("_labelled").agg(F.max("toxic").alias("toxic"))  # an id labelled both ways is toxic
     )
-    order = [F.xxhash64("_labelled"), F.col("_labelled")]
+    known = materialise(known, "labels")
     part = [
-        known.filter(F.col("toxic") == value).orderBy(*order).limit(most).withColumn("use", F.lit(1))
+        first_by_hash(known.filter(F.col("toxic") == value), F.xxhash64("_labelled"), most, "_labelled")
+        .withColumn("use", F.lit(1))
         for value, most in ((1, TOXIC), (0, CLEAN))
     ]
-    later = [F.xxhash64("_labelled", F.lit(1)), F.col("_labelled")]
-    natural = known.orderBy(*later).limit(CALIBRATE).withColumn("use", F.lit(0))
+    natural = first_by_hash(known, F.xxhash64("_labelled", F.lit(1)), CALIBRATE, "_labelled").withColumn("use", F.lit(0))
     chosen = materialise(part[0].unionByName(part[1]).unionByName(natural), "labelled-sample")
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
     rows = (

@@ -4,6 +4,7 @@ columns, beside a brute-force version."""
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,12 +13,14 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfstream.llm import (
     containment, licenses, mixing, recompression, repeats, rule_forest, rule_stats, suffix_repeats, token_blocks, toxicity,
     warc, weighted_minhash,
 )
 from shelfstream.llm.plain import plain_words
+from shelfstream.llm.text import first_by_hash
 from shelfstream.llm.suffix_sorting import common_prefixes, suffix_array
 from shelfstream.session import fresh_path
 
@@ -270,6 +273,49 @@ def test_licenses(spark, docs, none, texts):
     assert (found[3].base_labels, found[3].first_word, found[3].last_word, found[3].n_base) == ("apache,mit", 0, 2, 2)
 
 
+def test_licenses_in_blocks_across_lines(spark):
+    rng = random.Random(12)
+    rows = [
+        (1, "# You may not use this file except in\n# compliance with the License."),
+        (2, prose(rng, 500) + "\nYou may not use this\nfile except in\ncompliance with\nthe License.\n" + prose(rng, 90)),
+        # the same words too far apart
+        (3, "\n".join(f"{w} {prose(rng, 3)}" for w in "you may not use this file except in compliance with the license".split())),
+    ]
+    labelled = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert labelled == {1: "apache", 2: "apache", 3: ""}
+
+    for i in range(60):  # templates at any place, with words changed, left out and put between
+        words = prose(rng, rng.randrange(0, 120)).split()
+        for _ in range(rng.randrange(0, 3)):
+            at, (_, text) = rng.randrange(0, len(words) + 1), rng.choice(licenses.TEMPLATES)
+            part = [w for w in text.split() if rng.random() > rng.choice([0, 0.1, 0.25])]
+            for _ in range(rng.randrange(0, 5)):
+                part.insert(rng.randrange(0, len(part) + 1), "zz")
+            words[at:at] = part
+        rows.append((10 + i, " ".join(w + rng.choice(["", "\n", ","]) for w in words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("low", F.lower("text"))
+    got = {(r.key, r.label): r.containment for r in licenses.similar(docs.select(F.col("doc_id").alias("key"), "low")).collect()}
+    want = {}
+    for i, text in rows:
+        words = re.findall(r"[a-z0-9é]+", text.lower())
+        for label, template in licenses.TEMPLATES:
+            members, most = set(template.split()), math.ceil(len(template.split()) / 0.8 - 1e-9)
+            held = max((len(members & set(words[k : k + most])) for k in range(len(words))), default=0)
+            if held >= math.ceil(0.8 * len(members) - 1e-9):
+                want[i, label] = max(want.get((i, label), 0), held / len(members))
+    assert got == want and len(want) > 20
+
+
+def test_first_by_hash_is_the_plain_order(spark):
+    rows = spark.range(5000).select((F.col("id") % 4000).alias("id"), F.col("id").alias("row"))
+    for most in (0, 1, 30, 3999, 6000):
+        plain = rows.orderBy(F.xxhash64("id"), "row").limit(most).collect()
+        assert first_by_hash(rows, F.xxhash64("id"), most, "row").collect() == plain
+    same = rows.withColumn("id", F.lit(7))  # one hash for all
+    assert [r.row for r in first_by_hash(same, F.xxhash64("id"), 5, "row").collect()] == [0, 1, 2, 3, 4]
+    assert first_by_hash(rows.limit(0), F.xxhash64("id"), 5, "row").count() == 0
+
+
 def test_rule_statistics():
     rng = random.Random(6)
     for _ in range(60):
