@@ -8,8 +8,9 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from shelfstream.llm import containment, mixing, toxicity, weighted_minhash
+from shelfstream.llm import containment, mixing, rule_forest, toxicity, weighted_minhash
 from shelfstream.llm.plain import plain_words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -137,3 +138,26 @@ def test_columns_that_clash(spark):
     docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {names}")
     for result in (mixing.mix(docs), weighted_minhash.deduplicate(docs)):
         assert result.columns == docs.columns and result.count() > 0
+
+
+def test_every_labelled_row_counts_in_the_forest(spark):
+    """Also of more than 20,000 rows: in the trees' counts and in the threshold."""
+    n = 24_000
+    stats = spark.range(n, numPartitions=5).select(
+        F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("n_words"), (500 + F.col("id") % 7).alias("word_chars"),
+        F.when(F.col("id") % 4 == 0, 60 + F.col("id") % 31).otherwise(F.col("id") % 41).alias("n_symbols"),
+        *[(F.col("id") % k).alias(c) for c, k in (("n_dup_lines", 3), ("n_repeat_words", 5), ("n_upper", 11), ("n_marks", 13))],
+        F.lit(10).cast("long").alias("n_lines"), (50 + F.col("id") % 17).alias("n_distinct"),
+    )
+    labels = stats.select("doc_id", (F.col("doc_id") % 4 > 0).cast("int").alias("quality"))
+    forest = rule_forest.fit(stats, labels)
+    half = {r.doc_id for r in stats.filter(F.xxhash64("doc_id", F.lit(0)) % 2 == 0).select("doc_id").collect()}
+    assert set(forest["held"][forest["roots"]]) == {sum(i % 4 > 0 for i in half)}
+    judged = rule_forest.judge(stats, forest).select("doc_id", "score").toPandas()
+    rest = judged[~judged["doc_id"].isin(half)].sort_values("score", kind="stable")
+    bad = (rest["doc_id"] % 4 == 0).to_numpy()
+    worth = (bad.sum() - np.r_[0, np.cumsum(bad)]) / bad.sum() + np.r_[0, np.cumsum(~bad)] / (~bad).sum()
+    s = rest["score"].to_numpy()
+    ends = np.r_[True, s[1:] > s[:-1], True]  # equal scores fall on one side
+    passed = s <= forest["threshold"]
+    assert abs((~passed & bad).sum() / bad.sum() + (passed & ~bad).sum() / (~bad).sum() - worth[ends].max()) < 1e-9
