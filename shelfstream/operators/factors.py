@@ -1,20 +1,19 @@
 """Alternating least squares that splits hot users and items.
 
-Spark ML's solver gathers all ratings of one user (or item) in one task. Where a single one
-has too many for that, each half step here is a join and an aggregation instead: the normal
-equations of an entity are sums over its ratings, so every task sends one partial row per
-entity, whatever the entity's share of the table. Only the small systems are solved in
-Python, in Arrow batches."""
+Spark ML's solver gathers all ratings of one user (or item) in one task. Here a task adds up the
+normal equations of a block of ids, reads its packed ratings slice by slice, and a single user or
+item with too many ratings lies in all blocks (``operators.factor_blocks``). Each half step sends
+the packed ratings and one copy of a vector per block that needs it."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
+from shelfstream.operators import factor_blocks
 from shelfstream.session import materialise
 
 FACTOR_SCHEMA = "id long, features array<float>"
@@ -41,12 +40,6 @@ def _spread_out(factors: DataFrame, rank: int) -> DataFrame:
     ])
 
 
-def _sums(values: list[Column], weight: Column, target: Column) -> list[Column]:
-    gram = [F.sum(weight * values[i] * values[j]) for i, j in _pairs(len(values))]
-    right = [F.sum(target * v) for v in values]
-    return [c.alias(f"_s{k}") for k, c in enumerate(gram + right)]
-
-
 def _whole_gram(factors: DataFrame, rank: int) -> np.ndarray:
     """Sum of all outer products: one row of rank * (rank + 1) / 2 numbers."""
     values = [F.col(f"_v{i}") for i in range(rank)]
@@ -69,24 +62,64 @@ def _solved(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _solver(rank: int, reg: float, shared: np.ndarray | None):
     upper = tuple(zip(*_pairs(rank)))
-    n_gram = len(upper[0])
-    names = [f"_s{k}" for k in range(n_gram + rank)]
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def solve(products: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> np.ndarray:
+        gram = np.zeros((len(products), rank, rank))
+        gram[:, upper[0], upper[1]] = products
+        gram[:, upper[1], upper[0]] = products
+        if shared is not None:
+            gram += shared
+        gram += reg * counted[:, None, None] * np.eye(rank)
+        return _solved(gram, targets).astype(np.float32)
+
+    return solve
+
+
+def _terms(implicit: bool, alpha: float):
+    """Weights of the products, targets and counts of ratings."""
+    if not implicit:
+        return lambda rating: (None, rating, 1)
+
+    def terms(rating: np.ndarray):
+        weight = alpha * np.abs(rating)
+        return weight, np.where(rating > 0, 1.0 + weight, 0.0), rating > 0
+
+    return terms
+
+
+def _joined(found: DataFrame, rank: int, solve) -> DataFrame:
+    """Vectors of ids whose sums lie in several blocks."""
+    width = len(_pairs(rank))
+    parts = found.filter("sums is not null").groupBy("id").agg(
+        F.sum("n").alias("n"),
+        F.array(*[F.sum(F.get("sums", F.lit(k))) for k in range(width + rank)]).alias("sums"),
+    )
+
+    def run(batches):
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            sums = batch[names].to_numpy(np.float64)
-            gram = np.zeros((len(batch), rank, rank))
-            gram[:, upper[0], upper[1]] = sums[:, :n_gram]
-            gram[:, upper[1], upper[0]] = sums[:, :n_gram]
-            if shared is not None:
-                gram += shared
-            gram += reg * batch["_n"].to_numpy()[:, None, None] * np.eye(rank)
-            solved = _solved(gram, sums[:, n_gram:])
-            yield pd.DataFrame({"id": batch["id"], "features": list(solved.astype(np.float32))})
+            sums = np.array(batch.column("sums").to_pylist())
+            solved = solve(sums[:, :width], sums[:, width:], batch.column("n").to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(list(solved), pa.list_(pa.float32()))], ["id", "features"]
+            )
 
-    return solve
+    return found.filter("sums is null").select("id", "features").unionByName(parts.mapInArrow(run, FACTOR_SCHEMA))
+
+
+def _plain(ratings: DataFrame, *ids: str) -> DataFrame:
+    """Two long ids and a double; a null rating adds to the sums what 0 does."""
+    rating = F.coalesce(F.col("rating").cast("double"), F.lit(0.0)).alias("rating")
+    return ratings.select(*[F.col(c).cast("long").alias(c) for c in ids], rating).dropna(subset=list(ids))
+
+
+def _step(side: factor_blocks.Side, fixed: DataFrame, rank: int, reg: float, implicit: bool, alpha: float) -> DataFrame:
+    solve = _solver(rank, reg, _whole_gram(fixed, rank) if implicit else None)
+    found = factor_blocks.step(side, fixed, rank, _terms(implicit, alpha), solve)
+    if not side.hot:
+        return found.select("id", "features")
+    return _joined(materialise(found, "als-sums"), rank, solve)
 
 
 def half_step(
@@ -94,20 +127,12 @@ def half_step(
     implicit: bool = False, alpha: float = 1.0,
 ) -> DataFrame:
     """Factors of every ``solve_for`` id, given the factors of the ``given`` ids."""
-    values = [F.col(f"_v{i}") for i in range(rank)]
-    rating, shared = F.col("rating"), None
-    if implicit:
-        weight = F.lit(alpha) * F.abs(rating)
-        target = F.when(rating > 0, 1.0 + weight).otherwise(0.0)
-        counted = F.count_if(rating > 0)
-        shared = _whole_gram(fixed, rank)
-    else:
-        weight, target, counted = F.lit(1.0), rating, F.count(F.lit(1))
-    joined = ratings.join(_spread_out(fixed, rank).withColumnRenamed("id", given), given).select(
-        F.col(solve_for).alias("id"), rating.cast("double").alias("rating"), *values
-    )
-    sums = joined.groupBy("id").agg(*_sums(values, weight, target), counted.alias("_n"))
-    return sums.mapInPandas(_solver(rank, reg, shared), FACTOR_SCHEMA)
+    side = factor_blocks.lay_out(_plain(ratings, solve_for, given), solve_for, given, _width(rank))
+    return _step(side, fixed, rank, reg, implicit, alpha)
+
+
+def _width(rank: int) -> int:
+    return len(_pairs(rank)) + rank + 2
 
 
 def alternate(
@@ -116,19 +141,17 @@ def alternate(
 ) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors), both (id, features). Each half step is written to the
     shared folder, so neither plans nor lost executors reach back further than one step."""
-    ids = [F.col(c).cast("long").alias(c) for c in (user, item)]
-    ratings = materialise(ratings.select(*ids, "rating"), "als-ratings")
+    ratings = materialise(_plain(ratings, user, item), "als-ratings")
     if start is None:
         start = starting_factors(ratings.select(F.col(user).alias("id")).distinct(), rank, seed)
     users = materialise(start, "als")
     items = users
+    sides = [factor_blocks.lay_out(ratings, a, b, _width(rank)) for a, b in ((item, user), (user, item))] if iterations else []
     for _ in range(iterations):
-        for solve_for, given in ((item, user), (user, item)):
-            fixed = users if given == user else items
-            solved = materialise(
-                half_step(ratings, fixed, solve_for, given, rank, reg, implicit, alpha), "als"
-            )
-            if solve_for == user:
+        for side in sides:
+            fixed = users if side.given == user else items
+            solved = materialise(_step(side, fixed, rank, reg, implicit, alpha), "als")
+            if side.solve_for == user:
                 users = solved
             else:
                 items = solved

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstream.operators import aggregates, factors as split, top_products
+from shelfstream.operators import aggregates, factor_blocks as blocks, factors as split, top_products
 from shelfstream.plans import names, recommend as rec
 
 
@@ -247,3 +247,52 @@ def test_a_saved_model_goes_on(spark, tmp_path, planted):
     assert refitted.users.count() == 42 and refitted.items.count() == 31
     again = rec.encode_more(grown, more.limit(0), "user_id", "isbn")
     assert {r.user_id: r[rec.USER] for r in again.users.collect()} == after
+
+
+def test_half_steps_send_packed_ratings(spark):
+    """No row of sums per task and id is sent: the only exchange deals packed ratings and vectors to blocks."""
+    rng = np.random.default_rng(3)
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(*rng.integers(0, 300, (2, 4000)), rng.integers(0, 9, 4000))]
+    ratings = spark.createDataFrame(rows, "user_num long, item_num long, rating double")
+    fixed = split.starting_factors(ratings.select(F.col("item_num").alias("id")).distinct(), 10, 5)
+    fixed = spark.createDataFrame(fixed.collect(), split.FACTOR_SCHEMA)
+    found = split.half_step(ratings, fixed, rec.USER, rec.ITEM, 10, 0.1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_blocks_slices_and_hot_ids(spark, monkeypatch, implicit):
+    """Many small blocks and slices, lists of who needs a vector, one user with half of all ratings."""
+    for name, value in (("BLOCK_BYTES", 400), ("SLICE_IDS", 20), ("PIECE", 50), ("BUFFER", 300)):
+        monkeypatch.setattr(blocks, name, value)
+    rng = np.random.default_rng(8)
+    rows = [(-7 if k % 2 else int(u) - 40, int(i) * 10**12, None if k == 5 else float(r))
+            for k, (u, i, r) in enumerate(zip(*rng.integers(0, 90, (2, 5000)), rng.integers(-2, 5, 5000)))]
+    rows += [(None, 1, 2.0), (1, None, 2.0), (2, 77, 3.0)]  # no user, no item, an item without a vector
+    ratings = spark.createDataFrame(rows, "user_num long, item_num long, rating double").repartition(5)
+    vectors = {int(i) * 10**12: rng.normal(size=3).astype(np.float32) for i in range(90)}
+    fixed = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], split.FACTOR_SCHEMA)
+    side = blocks.lay_out(split._plain(ratings, rec.USER, rec.ITEM), rec.USER, rec.ITEM, split._width(3))
+    assert side.hot == (-7,) and side.blocks > blocks.ALL_BLOCKS and side.needs is not None and side.slices > 1
+    got = {r.id: r.features for r in split.half_step(ratings, fixed, rec.USER, rec.ITEM, 3, 0.1, implicit, 0.5).collect()}
+    seen = {}
+    for u, i, r in rows:
+        if u is not None and i in vectors:
+            seen.setdefault(u, []).append((vectors[i].astype(float), 0.0 if r is None else r))
+    assert got.keys() == seen.keys()
+    whole = sum(np.outer(v, v) for v in (x.astype(float) for x in vectors.values()))
+    for user, rated in seen.items():
+        weight = [0.5 * abs(r) if implicit else 1.0 for _, r in rated]
+        target = [(1 + 0.5 * r if r > 0 else 0.0) if implicit else r for _, r in rated]
+        n = sum(r > 0 for _, r in rated) if implicit else len(rated)
+        gram = sum(w * np.outer(v, v) for w, (v, _) in zip(weight, rated)) + 0.1 * n * np.eye(3) + (whole if implicit else 0)
+        assert np.allclose(np.linalg.solve(gram, sum(t * v for t, (v, _) in zip(target, rated))), got[user], rtol=1e-4, atol=1e-5)
+
+
+def test_chunks_are_read_back():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 700):
+        solved, given, rating = rng.integers(-2**62, 2**62, n), rng.integers(-50, 50, n), rng.normal(size=n)
+        back = blocks.unpack(blocks.pack(solved, given, rating))
+        assert sorted(zip(back[0], back[1][back[2]], back[3])) == sorted(zip(solved, given, rating))
