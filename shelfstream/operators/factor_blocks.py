@@ -239,6 +239,52 @@ class Sums:
         return self.slot[at]
 
 
+Vectors = tuple[np.ndarray, np.ndarray]  # rising ids, one row each
+
+
+def _vectors_of(body: bytes, rank: int) -> Vectors:
+    n = int(np.frombuffer(body, np.int64, 1)[0])
+    ids, at = _risen(body, 8, n)
+    return ids, np.frombuffer(body, np.float32, n * rank, at).reshape(n, rank)
+
+
+def _together(parts: list[Vectors], rank: int) -> Vectors:
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros((0, rank))
+    ids = np.concatenate([x for x, _ in parts])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], np.concatenate([v for _, v in parts])[order].astype(np.float64)
+
+
+def _read(batches: Iterator[pa.RecordBatch], rank: int) -> Iterator[tuple[int, Vectors, Vectors, bytes]]:
+    """Chunks of rows sorted by block, slice and kind, with their block, its own vectors (slice -1) and those of
+    their slice."""
+    block, part = None, None
+    own, given, held = _together([], rank), _together([], rank), []
+    for batch in batches:
+        for b, s, kind, data in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+            if b != block:
+                own = _together([], rank)
+            elif s != part and part == -1:
+                own = _together(held, rank)
+            if (b, s) != (block, part):
+                block, part, held, given = b, s, [], _together([], rank)
+            if kind == 0:
+                held.append(_vectors_of(data, rank))
+                continue
+            if held:
+                given, held = _together(held, rank), []
+            yield b, own, given, data
+
+
+def _found(vectors: Vectors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ids have a vector, and its place."""
+    if not len(vectors[0]):
+        return np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+    at = np.minimum(np.searchsorted(vectors[0], ids), len(vectors[0]) - 1)
+    return vectors[0][at] == ids, at
+
+
 def _added(side: Side, rank: int, terms, solve):
     """Adds up the rows of sorted (block, slice, kind) and solves a block's equations at its end."""
     first, second = (np.array(x) for x in zip(*[(i, j) for i in range(rank) for j in range(i, rank)]))
@@ -260,38 +306,20 @@ def _added(side: Side, rank: int, terms, solve):
             ], ["id", "features", "sums", "n"])
 
     def run(batches):
-        block, part, sums = None, None, None
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        ids, vectors = np.zeros(0, np.int64), np.zeros((0, rank))
-        for batch in batches:
-            for b, s, kind, data in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                if b != block:
-                    if sums is not None:
-                        yield from ended(sums)
-                    block, part, sums = b, None, Sums(n_gram + rank + 2)
-                if s != part:
-                    part, held = s, []
-                    ids, vectors = np.zeros(0, np.int64), np.zeros((0, rank))
-                if kind == 0:
-                    n = int(np.frombuffer(data, np.int64, 1)[0])
-                    rising, at = _risen(data, 8, n)
-                    held.append((rising, np.frombuffer(data, np.float32, n * rank, at).reshape(n, rank)))
-                    continue
-                if held:
-                    ids = np.concatenate([x for x, _ in held])
-                    order = np.argsort(ids, kind="stable")
-                    ids, vectors = ids[order], np.concatenate([v for _, v in held])[order].astype(np.float64)
-                    held = []
-                _add(sums, data, ids, vectors)
+        block, sums = None, None
+        for b, _, given, data in _read(batches, rank):
+            if b != block:
+                if sums is not None:
+                    yield from ended(sums)
+                block, sums = b, Sums(n_gram + rank + 2)
+            _add(sums, data, *given)
         if sums is not None:
             yield from ended(sums)
 
     def _add(sums: Sums, data: bytes, ids: np.ndarray, vectors: np.ndarray) -> None:
         solved, given, place, rating = unpack(data)
-        if not len(ids):
-            return
-        at = np.minimum(np.searchsorted(ids, given), len(ids) - 1)
-        known = (ids[at] == given)[place]
+        known, at = _found((ids, vectors), given)
+        known = known[place]
         if not known.all():  # ratings of ids without a vector
             solved, place, rating = solved[known], place[known], rating[known]
             if not len(solved):
@@ -311,13 +339,64 @@ def _added(side: Side, rank: int, terms, solve):
     return run
 
 
-def step(side: Side, fixed: DataFrame, rank: int, terms, solve) -> DataFrame:
-    """(id, features, sums, n) of the side's ids, the vectors of hot ids null and their sums one row per block.
-    ``terms`` gives weights, targets and counts of ratings; ``solve`` solves (products, targets, counts)."""
-    sent = fixed.select(F.col("id").cast("long").alias("id"), "features")
+def _dealt(side: Side, given: DataFrame, rank: int, own: DataFrame | None = None) -> tuple[Side, DataFrame]:
+    """The side without tables, and chunks and vectors dealt to blocks: those of given ids to every block that needs
+    them, and those of the block's own ids."""
+    sent = given.select(F.col("id").cast("long").alias("id"), "features")
     if side.needs is not None:
         sent = sent.join(side.needs, "id")
     plain = replace(side, chunks=None, needs=None)  # tasks get no tables
     rows = sent.mapInArrow(_vectors(plain, rank, side.needs is not None), PACKED).unionByName(side.chunks)
-    dealt = rows.repartitionById(side.blocks, F.col("_block")).sortWithinPartitions("_block", "_slice", "_kind")
+    if own is not None:
+        rows = rows.unionByName(own.select(F.col("id").cast("long").alias("id"), "features").mapInArrow(_own(plain, rank), PACKED))
+    return plain, rows.repartitionById(side.blocks, F.col("_block")).sortWithinPartitions("_block", "_slice", "_kind")
+
+
+def step(side: Side, fixed: DataFrame, rank: int, terms, solve) -> DataFrame:
+    """(id, features, sums, n) of the side's ids, the vectors of hot ids null and their sums one row per block.
+    ``terms`` gives weights, targets and counts of ratings; ``solve`` solves (products, targets, counts)."""
+    plain, dealt = _dealt(side, fixed, rank)
     return dealt.mapInArrow(_added(plain, rank, terms, solve), SUMMED)
+
+
+def _own(side: Side, rank: int):
+    """Vectors of the ids to solve for, sent to their block; those of hot ids to all."""
+    def run(batches):
+        for rows in _buffered(batches, BUFFER):
+            ids = rows.column("id").to_numpy()
+            features = rows.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+            features = features.reshape(-1, rank)
+            hot = np.isin(ids, side.hot)
+            block = np.where(hot, -1, (mixed(ids) % np.uint64(side.blocks)).astype(np.int64))
+            for (b,), at in _groups(block):
+                at = at[np.argsort(ids[at], kind="stable")]
+                body = np.int64(len(at)).tobytes() + _rising(ids[at]) + features[at].tobytes()
+                yield _packed([(k, -1, 0, body) for k in (range(side.blocks) if b < 0 else (b,))])
+
+    return run
+
+
+def products(ratings: DataFrame, left: DataFrame, right: DataFrame, left_id: str, right_id: str, rank: int) -> DataFrame:
+    """(left_id, right_id, rating, prediction) of the rows whose ids both have vectors. Rows are packed as for half
+    steps (two long ids and a double, no nulls) and meet the vectors in blocks of right ids."""
+    side = lay_out(ratings, right_id, left_id, rank)
+    _, dealt = _dealt(side, left, rank, right)
+
+    def run(batches):
+        for _, own, given, data in _read(batches, rank):
+            solved, ids, place, rating = unpack(data)
+            known, at = _found(given, ids)
+            mine, own_at = _found(own, solved)
+            keep = known[place] & mine
+            if not keep.any():
+                continue
+            a, b = given[1][at[place[keep]]], own[1][own_at[keep]]
+            product = a[:, 0] * b[:, 0]
+            for i in range(1, rank):
+                product = product + a[:, i] * b[:, i]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[place[keep]]), pa.array(solved[keep]), pa.array(rating[keep]), pa.array(product.astype(np.float32))],
+                [left_id, right_id, "rating", "prediction"],
+            )
+
+    return dealt.mapInArrow(run, f"{left_id} long, {right_id} long, rating double, prediction float")

@@ -11,6 +11,7 @@ from operator import add
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfstream.operators import factor_blocks
 from shelfstream.operators.aggregates import group_count
 from shelfstream.operators.factors import alternate, starting_factors
 from shelfstream.operators.joins import join_few
@@ -173,7 +174,21 @@ def _dot(left: str, right: str, rank: int):
 
 
 def score(factors: Factors, rows: DataFrame) -> DataFrame:
-    """Add ``prediction``; rows of users or items never trained on are dropped."""
+    """Add ``prediction``; rows of users or items never trained on are dropped. Rows of nothing but two ids and a
+    rating are packed, so that vectors are sent once per block and not once per row."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    if set(kinds) == {USER, ITEM, "rating"} and kinds["rating"] in ("int", "double") and {kinds[USER], kinds[ITEM]} <= {"int", "bigint"}:
+        narrow = rows.select(
+            *[F.col(c).cast("long").alias(c) for c in (USER, ITEM)], F.col("rating").cast("double").alias("rating")
+        ).dropna()
+        packed = factor_blocks.products(narrow, factors.users, factors.items, USER, ITEM, factors.rank)
+        packed = packed.select(*[F.col(c).cast(kinds[c]).alias(c) for c in rows.columns], "prediction")
+        unrated = rows.filter("rating is null")
+        return packed if unrated.isEmpty() else packed.unionByName(_joined_scores(factors, unrated))
+    return _joined_scores(factors, rows)
+
+
+def _joined_scores(factors: Factors, rows: DataFrame) -> DataFrame:
     users = factors.users.select(F.col("id").alias(USER), F.col("features").alias("_u"))
     items = factors.items.select(F.col("id").alias(ITEM), F.col("features").alias("_i"))
     return (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -1039,7 +1040,11 @@ def _errors(spark, sf_dir, **settings):
     encoded = _encoded(spark, sf_dir)
     ratings = encoded.ratings.withColumn("trained", sampling.in_share(F.col("row_key"), 0.8))
     factors = recommend.fit(ratings.filter("trained").select(recommend.USER, recommend.ITEM, "rating"), seed=7, **settings)
-    scored = recommend.score(factors, ratings.select(recommend.USER, recommend.ITEM, "rating", "trained"))
+    scored = reduce(DataFrame.unionByName, [
+        recommend.score(factors, ratings.filter(F.col("trained") == part).select(recommend.USER, recommend.ITEM, "rating"))
+        .withColumn("trained", F.lit(part))
+        for part in (True, False)
+    ])
     missed = F.pow(F.col("prediction").cast("double") - F.col("rating"), 2)
     trained = F.col("trained")
     error = F.sqrt(F.avg(F.when(~trained, missed)))

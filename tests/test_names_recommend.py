@@ -296,3 +296,18 @@ def test_chunks_are_read_back():
         solved, given, rating = rng.integers(-2**62, 2**62, n), rng.integers(-50, 50, n), rng.normal(size=n)
         back = blocks.unpack(blocks.pack(solved, given, rating))
         assert sorted(zip(back[0], back[1][back[2]], back[3])) == sorted(zip(solved, given, rating))
+
+
+def test_narrow_rows_are_scored_in_blocks(spark, monkeypatch):
+    """The same rows and scores as by joins, with many blocks, an item with half of the rows and null ratings."""
+    for name, value in (("BLOCK_BYTES", 100), ("SLICE_IDS", 20), ("PIECE", 50), ("BUFFER", 300)):
+        monkeypatch.setattr(blocks, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(int(u), 3 if k % 2 else int(i), None if k % 50 == 0 else int(k % 7)) for k, (u, i) in enumerate(rng.integers(0, 70, (5000, 2)))]
+    rows += [(None, 1, 2), (1, None, 2), (999, 1, 2), (1, 999, 2)]
+    table = spark.createDataFrame(rows, "user_num long, item_num int, rating int").repartition(4)
+    sides = [spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(70)], split.FACTOR_SCHEMA) for _ in range(2)]
+    factors = rec.Factors(*sides, 3)
+    found = rec.score(factors, table)
+    assert found.columns == ["user_num", "item_num", "rating", "prediction"]
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, rec._joined_scores(factors, table).collect()))
