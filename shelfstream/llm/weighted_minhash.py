@@ -207,8 +207,8 @@ def text_digest(words: list[bytes]) -> bytes:
 
 
 def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(node, shingles, weights, cells) of rows (node, same, text) whose text is the node's; ``cells`` sums the
-    weights of each cell."""
+    """(node, shingles, weights, cells) of rows (node, same, text) whose text is the node's, one row for each;
+    ``cells`` sums the weights of each cell."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
@@ -226,7 +226,7 @@ def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
                 ["node", "shingles", "weights", "cells"],
             )
 
-    return docs.mapInArrow(run, "node long, shingles binary, weights binary, cells array<float>").dropDuplicates(["node"])
+    return docs.mapInArrow(run, "node long, shingles binary, weights binary, cells array<float>")
 
 
 def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -312,6 +312,8 @@ def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARI
         .select(F.col("first_id").alias("doc_id"), "node", "same"), "members",
     )
     known = materialise(vectors(rows.join(asked, "doc_id").select("node", "same", "text"), idf, most), "vectors")
+    if known.count() > asked.count():  # rows that share id and text; vectors are sent only if there are such
+        known = materialise(known.dropDuplicates(["node"]), "vectors-once")
     measured, open_members = pivoted(members, known, threshold)
     links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
     labels = None if links.isEmpty() else components(links)

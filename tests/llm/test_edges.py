@@ -161,3 +161,27 @@ def test_every_labelled_row_counts_in_the_forest(spark):
     ends = np.r_[True, s[1:] > s[:-1], True]  # equal scores fall on one side
     passed = s <= forest["threshold"]
     assert abs((~passed & bad).sum() / bad.sum() + (passed & ~bad).sum() / (~bad).sum() - worth[ends].max()) < 1e-9
+
+
+def test_vectors_are_dealt_again_only_for_repeated_rows(spark, monkeypatch):
+    """A row that comes twice has one vector; without such rows no vector is sent to find them."""
+    rng = random.Random(4)
+    base = [prose(rng, 60) for _ in range(30)]
+    texts = [t for b in base for t in (b, changed(b, rng, 1), b)]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (1, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sizes, write = [], weighted_minhash.materialise
+
+    def counted(df, label):
+        out = write(df, label)
+        if label.startswith("vectors"):
+            sizes.append((label, out.count(), out.select("node").distinct().count()))
+        return out
+
+    monkeypatch.setattr(weighted_minhash, "materialise", counted)
+    got = {r.doc_id: r.class_id for r in weighted_minhash.classes(docs).collect()}
+    assert all(got[i] == i - i % 3 for i in got if i % 3 == 2)
+    assert [s[0] for s in sizes] == ["vectors", "vectors-once"] and sizes[0][1] > sizes[0][2] == sizes[1][1] == sizes[1][2]
+    sizes.clear()
+    weighted_minhash.classes(docs.distinct()).collect()
+    assert "vectors-once" not in [s[0] for s in sizes]
