@@ -38,6 +38,7 @@ PERCENTILE = 0.95
 END_ID = 2
 FILE_IDS = 1 << 22
 RUN = 256
+SLAB_BYTES = 2 << 20  # of texts encoded at once; workers that are used again keep what the largest slab took
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -155,7 +156,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, doc_id: str = "do
 
         for batch in batches:
             keys, done = batch.column("doc_id").to_pylist(), 0
-            for slab in word_ids.text_slabs(batch.column("text")):
+            for slab in word_ids.text_slabs(batch.column("text"), SLAB_BYTES):
                 ids, counts = encoder.encode(slab)
                 held_ids.append(np.insert(ids, np.cumsum(counts), np.uint32(END_ID)))
                 held_docs += keys[done : done + len(slab)]

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstream.llm.plain import plain_words
 from shelfstream.llm.text import first_by_hash
+from shelfstream.llm.word_ids import text_slabs
 from shelfstream.session import materialise
 
 TOXIC, CLEAN, CALIBRATE = 1024, 1024, 3000
@@ -28,6 +29,7 @@ TOXIC, CLEAN, CALIBRATE = 1024, 1024, 3000
 PREFIX, RARE, COMMON = 7, 0.002, 0.2
 BLOCK, K = 64, 15
 CUT = 0.3
+SLAB_BYTES = 1 << 20  # of texts that are Python strings at once
 POWER = 2.0
 
 
@@ -180,9 +182,10 @@ def document_frequencies(docs: DataFrame, terms: dict[bytes, int], text: str = "
         known = shared.value
         held, rows = np.zeros(len(known), np.int64), 0
         for batch in batches:
-            for t in batch.column("text").to_pylist():
-                held[counts(t, known)[0]] += 1
-                rows += 1
+            for slab in text_slabs(batch.column("text"), SLAB_BYTES):
+                for t in slab.to_pylist():
+                    held[counts(t, known)[0]] += 1
+                rows += len(slab)
         seen = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(seen, -1)), pa.array(np.append(held[seen], rows))], ["term", "n"]
@@ -242,7 +245,8 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     def run(batches):
         made = shared.value
         for batch in batches:
-            v = np.array([made.vote(t)[0] for t in batch.column(place).cast(pa.string()).to_pylist()])
+            slabs = text_slabs(batch.column(place).cast(pa.string()), SLAB_BYTES)
+            v = np.array([made.vote(t)[0] for slab in slabs for t in slab.to_pylist()])
             yield batch.filter(pa.array(made.score(v) < CUT))
 
     return docs.mapInArrow(run, kind)

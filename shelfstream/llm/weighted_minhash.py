@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfstream.llm.components import components
 from shelfstream.llm.plain import plain_words
-from shelfstream.llm.text import row_key, unused
+from shelfstream.llm.text import possible, row_key, unused
+from shelfstream.llm.word_ids import text_slabs
 from shelfstream.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -42,55 +45,76 @@ RARE = 0.01
 GROWTH = 32  # leaders of a bucket in a round, times those of the round before
 SLACK = 1e-5  # for rounding
 CELLS = 128
+SLAB_BYTES = 1 << 17  # of texts that are cut into words at once
+REMEMBERED = 200_000  # words that a task remembers
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _M1
+    x ^= x >> np.uint64(27)
+    x *= _M2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-class Words:
-    """Hashes and idf of words, remembered by a task."""
+class Words(dict):
+    """Places of words, remembered by a task, and their hashes and idf."""
 
-    def __init__(self, idf: dict[int, float], most: float, limit: int = 300_000):
+    def __init__(self, idf: dict[int, float], most: float, limit: int = REMEMBERED):
         self.idf, self.most, self.limit = idf, most, limit
-        self.known, self.hashes, self.weights = {}, array("Q"), array("d")
+        self.hashes, self.weights = array("Q"), array("d")
+
+    def __missing__(self, word: bytes) -> int:
+        h = word_hash(word)
+        place = self[word] = len(self)
+        self.hashes.append(h)
+        self.weights.append(self.idf.get(h, self.most))
+        return place
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.limit:
-            self.known, self.hashes, self.weights = {}, array("Q"), array("d")
-        known = self.known
-        for w in words:
-            if w not in known:
-                h = word_hash(w)
-                known[w] = len(known)
-                self.hashes.append(h)
-                self.weights.append(self.idf.get(h, self.most))
-        places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        if len(self) > self.limit:
+            self.clear()
+            self.hashes, self.weights = array("Q"), array("d")
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return np.frombuffer(self.hashes, np.uint64)[places], np.frombuffer(self.weights, np.float64)[places]
 
 
 def weighted(words: list[bytes], of: Words) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingle hashes and weights of a text."""
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    hashes, idf = of(words)
-    k = min(SHINGLE, len(words))
-    n = len(words) - k + 1
-    shingle, weight = np.zeros(n, np.uint64), np.zeros(n)
-    for i in range(k):
-        shingle = mix(shingle + hashes[i : i + n] + np.uint64(i + 1))
-        weight += idf[i : i + n]
-    shingle, first, times = np.unique(shingle, return_index=True, return_counts=True)
-    return shingle, weight[first] * times
+    return weighted_all([words], of)[0]
+
+
+def weighted_all(texts: list[list[bytes]], of: Words) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same of many texts; those with SHINGLE words or more are hashed at once."""
+    out = [(np.zeros(0, np.uint64), np.zeros(0))] * len(texts)
+    for k in range(1, SHINGLE + 1):
+        chosen = [i for i, t in enumerate(texts) if min(len(t), SHINGLE) == k]
+        if not chosen:
+            continue
+        hashes, idf = of(list(chain.from_iterable(texts[i] for i in chosen)))
+        n = len(hashes) - k + 1
+        shingle, weight = np.zeros(n, np.uint64), np.zeros(n)
+        for i in range(k):  # over the ends of texts as well; those are not taken
+            shingle = mix(shingle + hashes[i : i + n] + np.uint64(i + 1))
+            weight += idf[i : i + n]
+        at = 0
+        for i in chosen:
+            end = at + len(texts[i]) - k + 1
+            order = np.argsort(shingle[at:end])
+            own = shingle[at:end][order]
+            opens = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            times = np.diff(opens, append=len(own))
+            out[i] = own[opens], weight[at:end][order[opens]] * times
+            at = end + k - 1
+    return out
 
 
 def samples(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -103,14 +127,29 @@ def samples(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     out = np.zeros((len(texts), BANDS), np.uint64)
     log_weight = np.log(weight)
     unit, low, half = 1.0 / 2**32, np.uint64(0xFFFFFFFF), np.uint64(32)
+    bits, part = np.empty(len(shingle), np.uint64), np.empty(len(shingle))  # used again, as new arrays cost more than sums
+
+    def minus_log(x: np.ndarray) -> np.ndarray:
+        out = np.add(np.bitwise_and(x, low, out=bits), 0.5)
+        out *= np.add(np.right_shift(x, half, out=bits), 0.5, out=part)
+        out *= unit**2
+        return np.negative(np.log(out, out=out), out=out)
+
     for k in range(BANDS * ROWS):
         a = mix(shingle + np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64))
-        b, c = mix(a + _M1), (a ^ _M1) * _M2
-        r = -np.log(((a & low) + 0.5) * ((a >> half) + 0.5) * unit**2)
-        gamma = -np.log(((b & low) + 0.5) * ((b >> half) + 0.5) * unit**2)
-        shift = (c >> half) * unit
-        level = np.floor(log_weight / r + shift)
-        drawn = np.log(gamma) - r * (level - shift + 1)
+        b = mix(a + _M1)
+        r, drawn = minus_log(a), minus_log(b)
+        a ^= _M1
+        a *= _M2
+        shift = np.multiply(np.right_shift(a, half, out=a), unit)
+        level = log_weight / r
+        level += shift
+        np.floor(level, out=level)
+        shift = np.subtract(level, shift, out=shift)
+        shift += 1
+        shift *= r
+        np.log(drawn, out=drawn)
+        drawn -= shift
         least = np.flatnonzero(drawn == np.repeat(np.minimum.reduceat(drawn, starts), lengths))
         at = least[np.unique(owner[least], return_index=True)[1]]
         out[:, k // ROWS] = mix(out[:, k // ROWS] + shingle[at] + mix(level[at].astype(np.int64).view(np.uint64)))
@@ -119,8 +158,9 @@ def samples(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of sorted shingles."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    least = np.minimum(a[1][i], b[1][j]).sum()
+    at = np.minimum(np.searchsorted(a[0], b[0]), max(len(a[0]) - 1, 0))
+    both = np.flatnonzero(a[0][at] == b[0]) if len(a[0]) else np.zeros(0, np.int64)
+    least = np.minimum(a[1][at[both]], b[1][both]).sum()
     most = a[1].sum() + b[1].sum() - least
     return float(least / most) if most > 0 else 1.0
 
@@ -130,27 +170,23 @@ def word_weights(docs: DataFrame, rare: float = RARE) -> tuple[dict[int, float],
     Tasks count before the shuffle; the list is bounded by the mean number of distinct words / rare."""
 
     def run(batches):
-        held: dict[int, int] = {}
-        known: dict[bytes, int] = {}
+        held: Counter[bytes] = Counter()
         rows = 0
 
         def out():
+            hashes = np.fromiter(map(word_hash, held), np.uint64, len(held)).view(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([*held, None], pa.uint64()).view(pa.int64()), pa.array([*held.values(), rows], pa.int64())],
-                ["word", "n"],
+                [pa.array([*hashes.tolist(), None], pa.int64()), pa.array([*held.values(), rows], pa.int64())], ["word", "n"]
             )
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                rows += 1
-                for w in set(plain_words(t)):
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = word_hash(w)
-                    held[h] = held.get(h, 0) + 1
-                if len(held) > 300_000:
+            for slab in text_slabs(batch.column("text"), SLAB_BYTES):
+                for t in slab.to_pylist():
+                    held.update(set(plain_words(t)))
+                rows += len(slab)
+                if len(held) > REMEMBERED:
                     yield out()
-                    held, known, rows = {}, {}, 0
+                    held, rows = Counter(), 0
         yield out()
 
     counted = materialise(
@@ -172,27 +208,14 @@ def nodes(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
     def run(batches):
         of = Words(shared.value, most)
         for batch in batches:
-            same, total, bands, held, size = [], [], [], [], 0
-
-            def draw():
-                for i, row in zip([i for i, _ in held], samples([x for _, x in held]).view(np.int64).tolist()):
-                    bands[i] = row
-                held.clear()
-
-            for t in batch.column("text").to_pylist():
-                words = plain_words(t)
-                same.append(text_digest(words))
-                bands.append([])
-                total.append(0.0)
-                if words:
-                    held.append((len(bands) - 1, weighted(words, of)))
-                    total[-1] = float(held[-1][1][1].sum())
-                    size += len(words)
-                    if size > 20_000:
-                        draw()
-                        size = 0
-            if held:
-                draw()
+            same, total, bands = [], [], []
+            for slab in text_slabs(batch.column("text"), SLAB_BYTES):
+                split = [plain_words(t) for t in slab.to_pylist()]
+                found = weighted_all(split, of)
+                drawn = iter(samples([x for x in found if len(x[0])]).view(np.int64).tolist() if any(split) else [])
+                same += map(text_digest, split)
+                total += [float(x[1].sum()) for x in found]
+                bands += [next(drawn) if len(x[0]) else [] for x in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(same, pa.binary()), pa.array(total, pa.float64()),
                  pa.array(bands, pa.list_(pa.int64()))],
@@ -207,33 +230,43 @@ def text_digest(words: list[bytes]) -> bytes:
 
 
 def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(node, shingles, weights, cells) of rows (node, same, text) whose text is the node's, one row for each;
-    ``cells`` sums the weights of each cell."""
+    """(node, pivots, shingles, weights, cells) of rows (node, same, pivots, text) whose text is the node's, one
+    row for each; ``cells`` sums the weights of each cell."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
         of = Words(shared.value, most)
         for batch in batches:
-            split = [plain_words(t) for t in batch.column("text").to_pylist()]
-            own = [text_digest(w) == same for w, same in zip(split, batch.column("same").to_pylist())]
-            found = [weighted(w, of) for w, use in zip(split, own) if use]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").filter(pa.array(own, pa.bool_())), pa.array([s.tobytes() for s, _ in found], pa.binary()),
-                 pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary()),
-                 pa.array([
-                     np.bincount((s % np.uint64(CELLS)).astype(np.int64), w, CELLS).astype(np.float32) for s, w in found
-                 ], pa.list_(pa.float32()))],
-                ["node", "shingles", "weights", "cells"],
-            )
-
-    return docs.mapInArrow(run, "node long, shingles binary, weights binary, cells array<float>")
+            done = 0
+            for slab in text_slabs(batch.column("text"), SLAB_BYTES):
+                rows, done = batch.slice(done, len(slab)), done + len(slab)
+                split = [plain_words(t) for t in slab.to_pylist()]
+                own = [text_digest(w) == same for w, same in zip(split, rows.column("same").to_pylist())]
+                found = weighted_all([w for w, use in zip(split, own) if use], of)
+                rows = rows.filter(pa.array(own, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("node"), rows.column("pivots"), pa.array([s.tobytes() for s, _ in found], pa.binary()),
+                     pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary()),
+                     pa.array([
+                         np.bincount((s % np.uint64(CELLS)).astype(np.int64), w, CELLS).astype(np.float32) for s, w in found
+                     ], pa.list_(pa.float32()))],
+                    ["node", "pivots", "shingles", "weights", "cells"],
+                )
+
+    return docs.mapInArrow(run, "node long, pivots array<long>, shingles binary, weights binary, cells array<float>")
 
 
 def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b, similarity) of pairs (a, b): their weighted Jaccard similarity."""
-    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
-    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "wa", "sb", "wb")
+    """(a, b, similarity) of written pairs (a, b): their weighted Jaccard similarity. Vectors of other texts
+    are left where they are."""
+    right = possible(known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb")), pairs, "b")
+    return compared(pairs.join(right, "b"), known, pairs)
+
+
+def compared(sent: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, similarity) of rows (a, b, sb, wb), which hold the vector of b; ``pairs`` are written and name all a."""
+    left = possible(known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa")), pairs, "a")
+    joined = sent.join(left, "a").select("a", "b", "sa", "wa", "sb", "wb")
 
     def run(batches):
         def vector(s, w):
@@ -241,8 +274,8 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
         for batch in batches:
             found = [
-                similarity(vector(*x[:2]), vector(*x[2:]))
-                for x in zip(*(batch.column(c).to_pylist() for c in ("sa", "wa", "sb", "wb")))
+                similarity(vector(*(x.as_py() for x in row[:2])), vector(*(x.as_py() for x in row[2:])))
+                for row in zip(*(batch.column(c) for c in ("sa", "wa", "sb", "wb")))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"]
@@ -261,16 +294,22 @@ def shareable(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0.0), lambda all_, x: all_ + x)
 
 
-def pivoted(members: DataFrame, known: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Similarities (a, b, similarity) of the first member of each bucket and the others, and these
-    others with ``low`` and ``high``, between which their distance from it lies."""
+def beside_pivots(members: DataFrame) -> DataFrame:
+    """(bucket, node, total, pivot, most) of all members of a bucket but its first, the pivot; no similarity with
+    it exceeds ``most``."""
     firsts = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.min_by("total", "node").alias("weight"))
-    near = materialise(
+    return materialise(
         members.join(firsts, "bucket").filter("node != pivot")
         .select("bucket", "node", "total", "pivot", ratio("total", "weight").alias("most")), "pivots",
     )
-    asked = near.filter(F.col("most") >= threshold - SLACK).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    measured = materialise(verified(asked, known), "measured")
+
+
+def pivoted(near: DataFrame, asked: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Similarities (a, b, similarity) of pivots and the members asked for, and all members beside pivots with
+    ``low`` and ``high``, between which their distance from it lies. A vector goes to its pivots straight away."""
+    sent = known.select(F.explode("pivots").alias("a"), F.col("node").alias("b"), F.col("shingles").alias("sb"),
+                        F.col("weights").alias("wb"))
+    measured = materialise(compared(sent, known, asked), "measured")
     far = near.join(
         measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"), ["pivot", "node"], "left"
     )
@@ -302,19 +341,28 @@ def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARI
         .agg(F.min("doc_id").alias("first_id"), F.first("total").alias("total"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "texts",
     )
-    banded = texts.select("node", "total", F.posexplode("bands").alias("band", "key")).select(
-        "node", "total", F.xxhash64("band", "key").alias("bucket")
-    ).distinct()
-    full = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = materialise(banded.join(full, "bucket"), "buckets")
+    buckets = F.array_distinct(F.transform("bands", lambda key, band: F.xxhash64(band, key)))
+    banded = texts.select("node", "total", F.explode(buckets).alias("bucket"))
+    full = materialise(
+        banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "full-buckets"
+    )
+    members = materialise(possible(banded, full, "bucket").join(full, "bucket"), "buckets")
+    near = beside_pivots(members)
     asked = materialise(
-        texts.join(members.select("node").distinct(), "node", "left_semi")
-        .select(F.col("first_id").alias("doc_id"), "node", "same"), "members",
+        near.filter(F.col("most") >= threshold - SLACK).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(),
+        "asked-of-pivots",
+    )
+    pivots = asked.groupBy(F.col("b").alias("node")).agg(F.collect_list("a").alias("pivots"))
+    meant = materialise(
+        texts.select(F.col("first_id").alias("doc_id"), "node", "same")
+        .join(members.select("node").distinct(), "node", "left_semi").join(pivots, "node", "left"), "members",
     )
-    known = materialise(vectors(rows.join(asked, "doc_id").select("node", "same", "text"), idf, most), "vectors")
-    if known.count() > asked.count():  # rows that share id and text; vectors are sent only if there are such
+    # texts that are in no bucket with another stay where they are
+    sent = possible(rows, meant, "doc_id").join(meant, "doc_id")
+    known = materialise(vectors(sent.select("node", "same", "pivots", "text"), idf, most), "vectors")
+    if known.count() > meant.count():  # rows that share id and text; vectors are sent only if there are such
         known = materialise(known.dropDuplicates(["node"]), "vectors-once")
-    measured, open_members = pivoted(members, known, threshold)
+    measured, open_members = pivoted(near, asked, known)
     links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
     labels = None if links.isEmpty() else components(links)
     leaders_each = GROWTH
@@ -348,9 +396,11 @@ def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARI
         # by the triangle inequality, as 1 - similarity is a distance
         apart = F.greatest(F.col("low") - F.col("of_high"), F.col("of_low") - F.col("high"))
         enough = threshold / (1 + threshold) * (F.col("total") + F.col("weight")) * (1 - SLACK)
-        pairs = pairs.filter(apart <= 1 - threshold + SLACK).filter(shareable("cells", "of_cells") >= enough).select(
-            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
-        ).distinct()
+        pairs = materialise(
+            pairs.filter(apart <= 1 - threshold + SLACK).filter(shareable("cells", "of_cells") >= enough).select(
+                F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
+            ).distinct(), "pairs",
+        )
         found = materialise(
             verified(pairs, known).filter(F.col("similarity") >= threshold).select("a", "b"), "verified"
         )

@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import functions as F
 
-from shelfstream.llm import containment, mixing, rule_forest, toxicity, weighted_minhash
+from shelfstream.llm import containment, mixing, rule_forest, text as shared_text, toxicity, weighted_minhash
 from shelfstream.llm.plain import plain_words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -185,3 +185,56 @@ def test_vectors_are_dealt_again_only_for_repeated_rows(spark, monkeypatch):
     sizes.clear()
     weighted_minhash.classes(docs.distinct()).collect()
     assert "vectors-once" not in [s[0] for s in sizes]
+
+
+def test_texts_without_near_copies_are_not_sent(spark, monkeypatch):
+    """Only texts that share a bucket, and vectors of pairs asked for, are given to the joins."""
+    rng = random.Random(6)
+    base = [prose(rng, 60) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(base + [changed(base[0], rng, 1)])), "doc_id long, text string")
+    sent, narrow = {}, weighted_minhash.possible
+
+    def counted(rows, wanted, key):
+        out = narrow(rows, wanted, key)
+        sent.setdefault(key, []).append((rows.count(), out.count(), wanted.select(key).distinct().count()))
+        return out
+
+    monkeypatch.setattr(weighted_minhash, "possible", counted)
+    got = {r.doc_id: r.class_id for r in weighted_minhash.classes(docs).collect()}
+    assert got[600] == 0 and all(got[i] == i for i in range(600))
+    assert sent["doc_id"][0][0] == 601 and all(w <= some < w + 60 for x in sent.values() for _, some, w in x)
+
+
+def test_possible_rows_hold_all_wanted(spark, monkeypatch):
+    rows = spark.createDataFrame([(i if i % 10 else None, i) for i in range(-2000, 2000)], "k long, _place int")
+    for marks, keys in ((1 << 18, [-7, 5, 5, None, 1999, 9999]), (2, list(range(1, 900))), (2, [])):
+        monkeypatch.setattr(shared_text, "MARKS", marks)
+        wanted = spark.createDataFrame([(k,) for k in keys], "k long")
+        out = shared_text.possible(rows, wanted, "k")
+        found = {r.k for r in out.collect()}
+        assert out.columns == rows.columns and found >= {k for k in keys if k != 9999} and (keys or not found)
+        assert len(keys) > 6 or len(found) < 400
+
+
+def test_vectors_of_many_texts_are_those_of_each():
+    rng = random.Random(7)
+    texts = [plain_words(t) for t in ("", "a", "a a b", "a a a a a a a a", *(prose(rng, n) for n in (4, 5, 6, 300)), "")]
+    texts.append(texts[-2] + texts[-2])
+    of = weighted_minhash.Words({weighted_minhash.word_hash(b"a"): 0.5}, 4.6, limit=3)
+    for words, (shingle, weight) in zip(texts, weighted_minhash.weighted_all(texts, of)):
+        k = min(5, len(words))
+        want = Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if words else Counter()
+        assert len(shingle) == len(want) and (shingle[1:] > shingle[:-1]).all()
+        assert np.allclose(sorted(weight), sorted(n * sum(0.5 if w == b"a" else 4.6 for w in s) for s, n in want.items()))
+        alone = weighted_minhash.weighted(words, of)
+        assert np.array_equal(alone[0], shingle) and np.array_equal(alone[1], weight)
+
+
+def test_similarity_of_sorted_shingles():
+    def vector(*pairs):
+        return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.float64)
+
+    a, b = vector((1, 2.0), (5, 1.0), (9, 4.0)), vector((5, 3.0), (9, 1.0), (12, 1.0))
+    assert weighted_minhash.similarity(a, b) == weighted_minhash.similarity(b, a) == 2.0 / 10.0
+    assert weighted_minhash.similarity(a, vector()) == weighted_minhash.similarity(vector(), a) == 0.0
+    assert weighted_minhash.similarity(a, a) == weighted_minhash.similarity(vector(), vector()) == 1.0
