@@ -94,6 +94,12 @@ def stretch(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
     return mix((sums[last] - sums[first]) * _tables(len(sums))[1][first] + (last - first).astype(np.uint64))
 
 
+def stretches(sums: np.ndarray, width: int) -> np.ndarray:
+    """The same of all stretches of one width, without looking up places that follow each other."""
+    n = max(0, len(sums) - width)
+    return mix((sums[width:] - sums[:n]) * _tables(len(sums))[1][:n] + np.uint64(width))
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     out, size = values, 1
     while size * 2 <= width:

@@ -8,10 +8,15 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfstream.llm import containment, mixing, rule_forest, text as shared_text, toxicity, weighted_minhash
+from shelfstream.llm import (
+    containment, mixing, repeats, rule_forest, suffix_repeats, text as shared_text, token_blocks, toxicity, weighted_minhash,
+    word_ids,
+)
 from shelfstream.llm.plain import plain_words
+from shelfstream.llm.word_ids import text_slabs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -202,12 +207,12 @@ def test_texts_without_near_copies_are_not_sent(spark, monkeypatch):
     monkeypatch.setattr(weighted_minhash, "possible", counted)
     got = {r.doc_id: r.class_id for r in weighted_minhash.classes(docs).collect()}
     assert got[600] == 0 and all(got[i] == i for i in range(600))
-    assert sent["doc_id"][0][0] == 601 and all(w <= some < w + 60 for x in sent.values() for _, some, w in x)
+    assert sent["doc_id"][0][0] == 601 and all(w <= some <= 2 * w + n // 20 for x in sent.values() for n, some, w in x)
 
 
 def test_possible_rows_hold_all_wanted(spark, monkeypatch):
     rows = spark.createDataFrame([(i if i % 10 else None, i) for i in range(-2000, 2000)], "k long, _place int")
-    for marks, keys in ((1 << 18, [-7, 5, 5, None, 1999, 9999]), (2, list(range(1, 900))), (2, [])):
+    for marks, keys in ((1 << 18, [-7, 5, 5, None, 1999, 9999]), (2, [k for k in range(1, 900) if k % 10]), (2, [])):
         monkeypatch.setattr(shared_text, "MARKS", marks)
         wanted = spark.createDataFrame([(k,) for k in keys], "k long")
         out = shared_text.possible(rows, wanted, "k")
@@ -238,3 +243,50 @@ def test_similarity_of_sorted_shingles():
     assert weighted_minhash.similarity(a, b) == weighted_minhash.similarity(b, a) == 2.0 / 10.0
     assert weighted_minhash.similarity(a, vector()) == weighted_minhash.similarity(vector(), a) == 0.0
     assert weighted_minhash.similarity(a, a) == weighted_minhash.similarity(vector(), vector()) == 1.0
+
+
+def test_stretches_of_one_width_and_small_slabs():
+    rng = random.Random(8)
+    texts = pa.array([prose(rng, rng.randrange(120)) for _ in range(80)] + ["", prose(rng, 900)])
+    units, _ = suffix_repeats.byte_units(texts)
+    for n in (0, 79, 80, len(units)):
+        sums = repeats.prefix(units[:n])
+        starts = np.arange(max(0, n - 79))
+        assert np.array_equal(repeats.stretches(sums, 80), repeats.stretch(sums, starts, starts + 80))
+    whole = repeats.find(suffix_repeats.BYTES, texts)
+    assert suffix_repeats.BYTES.slab_bytes * 8 <= 2 << 20
+    at, places = 0, []
+    for slab in text_slabs(texts, 2000):
+        found = repeats.find(suffix_repeats.BYTES, slab)
+        if found is not None:
+            places += zip((found.text + at).tolist(), found.first.tolist(), found.last.tolist(), found.place.tolist(), found.symbol.tolist())
+        at += len(slab)
+    assert places == list(zip(*(getattr(whole, c).tolist() for c in ("text", "first", "last", "place", "symbol"))))
+
+
+def test_passes_over_texts_hold_few_of_them_at_once(spark, monkeypatch):
+    """Near copies, toxicity and token files cut the texts of a batch into slabs of bounded size."""
+    for module in (weighted_minhash, toxicity, token_blocks):
+        assert module.SLAB_BYTES <= 2 << 20
+    held = []
+
+    def counted(texts, most=word_ids.SLAB_BYTES):
+        for slab in text_slabs(texts, most):
+            held.append((slab.nbytes, most))
+            yield slab
+
+    monkeypatch.setattr(weighted_minhash, "text_slabs", counted)
+    monkeypatch.setattr(weighted_minhash, "SLAB_BYTES", 500)
+    rng = random.Random(9)
+    batch = pa.RecordBatch.from_pydict({"text": [prose(rng, 20) for _ in range(50)] + [None, ""]})
+    runs = []
+    frame = type("Frame", (), {"select": lambda self, *_: self, "mapInArrow": lambda self, run, _: runs.append(run) or self,
+                               "groupBy": lambda self, _: self, "agg": lambda self, _: self})()
+    monkeypatch.setattr(weighted_minhash, "materialise", lambda df, _: (_ for _ in ()).throw(StopAsyncIteration))
+    try:
+        weighted_minhash.word_weights(frame)
+    except StopAsyncIteration:
+        pass
+    out = list(runs[0](iter([batch])))
+    assert len(held) > 10 and {m for _, m in held} == {500}
+    assert sum(n for b in out for w, n in zip(b["word"].to_pylist(), b["n"].to_pylist()) if w is None) == 52
