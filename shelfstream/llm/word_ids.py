@@ -1,8 +1,9 @@
 """Token ids and token counts of texts in Arrow batches, with the tokenizers and sentencepiece libraries.
 
 Where a tokenizer's own rules drop white space and never look across it, each distinct word of a
-slab of texts is encoded once, many to a line; words that stand more than once in a slab are
-remembered for the next ones. Other tokenizers get whole texts."""
+slab of texts is encoded once, many to a line; ASCII punctuation at its end is a word of its own if a
+letter or digit stands before, as the rules always cut there. Words that are met again, in a slab or
+in a later one, are remembered. Other tokenizers get whole texts."""
 
 from __future__ import annotations
 
@@ -19,8 +20,12 @@ APART_NORMALIZERS = ("NFC", "Lowercase", "Replace")
 APART_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 SLAB_BYTES = 8 << 20
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+SEEN = 1 << 22  # marks of words met before
 LINE_WORDS = 500
+# cut off the end of a word; not the apostrophe, which may begin a contraction
+PUNCTUATION = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
 
 
 def slabs(lengths: np.ndarray, most: int = SLAB_BYTES) -> Iterator[tuple[int, int]]:
@@ -57,25 +62,56 @@ def words_apart(path: str) -> bool:
     )
 
 
-def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+def added_tokens(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file).get("added_tokens", [])]
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """The words between ASCII white space, as (place of each text's first word and the end, word
     numbers, distinct words, how often each stands). An empty word may be among them."""
     split = pc.ascii_split_whitespace(texts)
     bounds = split.offsets.to_numpy().astype(np.int64)
     coded = split.flatten().dictionary_encode()
     numbers = coded.indices.to_numpy(zero_copy_only=False)
-    return bounds - bounds[0], numbers, coded.dictionary.to_pylist(), np.bincount(numbers, minlength=len(coded.dictionary))
+    return bounds - bounds[0], numbers, coded.dictionary, np.bincount(numbers, minlength=len(coded.dictionary))
+
+
+def cut_words(words: pa.Array, kept: list[str]) -> tuple[np.ndarray, list[str]]:
+    """(numbers of each word's two parts, distinct parts): what is before the ASCII punctuation at its end, and that
+    punctuation, if an ASCII letter or digit or one of U+00C0 to U+00FF stands before it; else the word and
+    nothing. Words that hold one of ``kept`` are not cut."""
+    words = words.cast(pa.large_string())
+    _, offsets, data = words.buffers()
+    raw = np.frombuffer(data or b"", np.uint8)
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    first, length = ends[:-1], np.diff(ends)
+    stem = pc.binary_length(pc.ascii_rtrim(words, PUNCTUATION)).to_numpy(zero_copy_only=False)
+    last = raw[np.maximum(first + stem - 1, 0)] if len(raw) else np.zeros(len(words), np.uint8)
+    lead = raw[np.maximum(first + stem - 2, 0)] if len(raw) else last
+    latin = (stem > 1) & (lead == 0xC3) & (last != 0x97) & (last != 0xB7)  # but the signs of multiplying and dividing
+    cut = (stem > 0) & (ALNUM[last] | latin) if all(map(str.isascii, kept)) else np.zeros(len(words), bool)
+    for token in kept:
+        cut &= ~pc.match_substring(words, token, ignore_case=True).to_numpy(zero_copy_only=False)
+    stem = np.where(cut, stem, length)
+    number = np.column_stack([stem, length - stem]).ravel()
+    parts = gather(raw, np.column_stack([first, first + stem]).ravel(), number)
+    bounds = np.concatenate([[0], np.cumsum(number)])
+    parts = pa.Array.from_buffers(pa.large_string(), len(number), [None, pa.py_buffer(bounds), pa.py_buffer(parts)])
+    coded = parts.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).reshape(-1, 2), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordIds:
     """Ids of single words, joined to lines for the tokenizer and told apart by their offsets."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, kept: list[str]):
+        self.tokenizer, self.kept = tokenizer, kept
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.seen = np.zeros(SEEN, bool)
         self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +126,28 @@ class WordIds:
                 counts.append(np.bincount(np.searchsorted(starts, first, "right") - 1, minlength=len(line)))
         return np.concatenate(flat) if flat else np.zeros(0, np.uint32), np.concatenate(counts) if counts else np.zeros(0, np.int64)
 
-    def look_up(self, words: list[str], times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, words: pa.Array, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first place, number of ids) for distinct words that stand so often."""
+        numbers, parts = cut_words(words, self.kept)
+        ids, first, number = self._look_up(parts, np.bincount(numbers.ravel(), np.repeat(times, 2), len(parts)))
+        both = number[numbers].sum(1)
+        return gather(ids, first[numbers].ravel(), number[numbers].ravel()), np.cumsum(both) - both, both
+
+    def _look_up(self, words: list[str], times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.known) > REMEMBERED:
             self._forget()
         place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
         new = np.flatnonzero(place < 0)
-        ids, counts = self.encode([words[i] for i in new])
+        fresh = [words[i] for i in new]
+        ids, counts = self.encode(fresh)
         place[new] = len(self.counts) + np.arange(len(new))
         all_ids, all_counts = np.concatenate([self.flat, ids]), np.concatenate([self.counts, counts])
         starts = np.cumsum(all_counts) - all_counts
-        again = np.flatnonzero(times[new] > 1)
+        marks = np.fromiter(map(hash, fresh), np.int64, len(fresh)) % SEEN
+        again = np.flatnonzero((times[new] > 1) | self.seen[marks])
+        self.seen[marks] = True
         for i in again:
-            self.known[words[new[i]]] = len(self.known)
+            self.known[fresh[i]] = len(self.known)
         own = starts[len(self.counts) :]
         self.flat = np.concatenate([self.flat, gather(ids, own[again] - len(self.flat), counts[again])])
         self.counts = np.concatenate([self.counts, counts[again]])
@@ -135,7 +180,7 @@ class Encoder:
             known.no_truncation()
             known.no_padding()
             self.whole = lambda texts: [x.ids for x in known.encode_batch_fast(texts, add_special_tokens=False)]
-            self.words = WordIds(known) if words_apart(path) else None
+            self.words = WordIds(known, added_tokens(path)) if words_apart(path) else None
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of each text's ids) of one slab."""

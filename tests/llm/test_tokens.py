@@ -50,6 +50,28 @@ def test_words_apart_give_the_ids_of_whole_texts():
             assert encoder.count(slab).tolist() == counts.tolist()
 
 
+def test_words_that_come_again_with_other_punctuation_are_not_encoded_again():
+    encoder, encoded = word_ids.Encoder(WORDS), []
+    encode = encoder.words.encode
+    encoder.words.encode = lambda words: encoded.extend(words) or encode(words)
+    for text in ("Harbour, größe. straßé", "größe; Harbour! straßé###", "größe... Harbour### straßé."):
+        encoded.clear()
+        encoder.encode(pa.array([text]))
+    assert not {"Harbour", "größe", "straßé"} & {w.rstrip("#.") for w in encoded}
+
+
+def test_punctuation_at_the_end_of_words_is_cut_as_whole_texts_are():
+    encoder, known = word_ids.Encoder(WORDS), Tokenizer.from_file(WORDS)
+    stems = ["", "a", "Z", "7", "é", "É", "×", "÷", "İ", "ÿ", "e\u0301", "'", "x's", "x'", "²", "漢", "—", "a—", "Σ", "a<|endoftext", "<|EndOfText"]
+    tails = ["", ".", "###", "'", ".'", "'.", "'s.", "|>", "|>.", "=\u0338", "_", "\x7f", "\x00.", "<|endoftext|>", "!é?"]
+    words = [a + b for a in stems for b in tails]
+    texts = pa.array([" ".join(words), *words, *(f"{w} {w}" for w in words)])
+    want = [x.ids for x in known.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+    for at in (0, 1, 5, 40):
+        ids, counts = encoder.encode(texts.slice(at))
+        assert ids.tolist() == [i for x in want[at:] for i in x] and counts.tolist() == [len(x) for x in want[at:]]
+
+
 def test_slabs_cover_all_texts_in_order():
     texts = pa.array(["ab", None, "c" * 50, "", "d"])
     assert [x.to_pylist() for x in word_ids.text_slabs(texts, 3)] == [["ab", ""], ["c" * 50], ["", "d"]]
