@@ -37,7 +37,7 @@ from shelfstream.llm.components import components
 from shelfstream.llm.plain import plain_words
 from shelfstream.llm.text import possible, row_key, unused
 from shelfstream.llm.word_ids import text_slabs
-from shelfstream.session import materialise
+from shelfstream.session import materialise, small_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 9, 2
@@ -330,7 +330,13 @@ def keyed(doc_id: str, text: str) -> Column:
 
 
 def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, key, leads) of every row; of each group the rows of one id and text lead."""
+    """(doc_id, class_id, key, leads) of every row; of each group the rows of one id and text lead. Whole texts and
+    pairs of vectors go to Python, in small batches."""
+    with small_batches(docs.sparkSession):
+        return _grouped(docs, doc_id, text, threshold)
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), keyed(doc_id, text).alias("key")
     )

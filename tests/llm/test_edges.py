@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from shelfstream import session
 from shelfstream.llm import (
     containment, mixing, repeats, rule_forest, suffix_repeats, text as shared_text, token_blocks, toxicity, weighted_minhash,
     word_ids,
@@ -290,3 +291,22 @@ def test_passes_over_texts_hold_few_of_them_at_once(spark, monkeypatch):
     out = list(runs[0](iter([batch])))
     assert len(held) > 10 and {m for _, m in held} == {500}
     assert sum(n for b in out for w, n in zip(b["word"].to_pylist(), b["n"].to_pylist()) if w is None) == 52
+
+
+def test_near_copies_take_texts_in_small_batches(spark, monkeypatch):
+    setting, seen = session.BATCH_SETTING, []
+    written = weighted_minhash.materialise
+    monkeypatch.setattr(
+        weighted_minhash, "materialise", lambda df, label: seen.append(int(spark.conf.get(setting))) or written(df, label)
+    )
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    before = spark.conf.get(setting)
+    assert weighted_minhash.classes(docs).count() == 2
+    assert seen and set(seen) == {session.BATCH_ROWS} and spark.conf.get(setting) == before
+    spark.conf.set(setting, 10)
+    try:
+        with session.small_batches(spark):
+            assert spark.conf.get(setting) == "10"
+        assert spark.conf.get(setting) == "10"
+    finally:
+        spark.conf.set(setting, before)
