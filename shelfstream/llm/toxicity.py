@@ -4,7 +4,9 @@ Examples are a sample of the labelled rows of at most ``TOXIC`` toxic and ``CLEA
 with the smallest hash of their id; up to ``CALIBRATE`` further labelled rows calibrate. Terms are the
 examples' words and beginnings of words; their document frequencies are counted over all documents,
 and terms outside ``RARE`` to ``COMMON`` are left out. Texts are vectors of
-``(1 + ln tf) * idf`` of length 1. The inverted index keeps its postings in blocks of ``BLOCK`` examples
+``(1 + ln tf) * idf * told`` of length 1, ``told`` being how far the shares of toxic and of clean examples
+with the term lie apart, in standard errors: the nearest examples are alike in what tells the labels
+apart, not in language or subject. The inverted index keeps its postings in blocks of ``BLOCK`` examples
 and, per term and block, the largest weight. A query adds up these maxima to bound each block, reads
 blocks from the highest bound on, and stops when no block left can reach its k-th best: the cosines of
 the ``K`` nearest are exact. Their labels, weighted by the squared cosine, give a vote, and a logistic
@@ -50,16 +52,30 @@ def counts(text: str | None, terms: dict[bytes, int]) -> tuple[np.ndarray, np.nd
     return np.unique(np.array(found, np.int64), return_counts=True)
 
 
+def told(found: list[np.ndarray], labels: np.ndarray, terms: int) -> np.ndarray:
+    """Of each term, how many standard errors the shares of toxic and of clean examples that have it differ by."""
+    shares, errors = [], 0.0
+    for value in (0, 1):
+        own = [t for t, label in zip(found, labels) if label == value]
+        held = np.bincount(np.concatenate([np.zeros(0, np.int64), *own]), minlength=terms)
+        share = (held + 0.5) / (len(own) + 1)
+        shares.append(share)
+        errors = errors + share * (1 - share) / max(len(own), 1)
+    return np.abs(shares[1] - shares[0]) / np.sqrt(errors)
+
+
 class Index:
     """Block-max inverted index over the examples."""
 
     def __init__(self, texts: list[str], labels: np.ndarray, terms: dict[bytes, int], idf: np.ndarray):
+        found = [counts(t, terms) for t in texts]
+        idf = idf * told([t for t, _ in found], labels, len(terms))
         self.terms, self.idf, self.labels = terms, idf.astype(np.float32), labels.astype(np.float32)
         n, v = len(texts), len(terms)
         self.blocks = max(1, -(-n // BLOCK))
         term, example, weight = [], [], []
-        for i, text in enumerate(texts):
-            t, w = self.vector(*counts(text, terms))
+        for i, known in enumerate(found):
+            t, w = self.vector(*known)
             term.append(t)
             example.append(np.full(len(t), i))
             weight.append(w)

@@ -310,3 +310,18 @@ def test_near_copies_take_texts_in_small_batches(spark, monkeypatch):
         assert spark.conf.get(setting) == "10"
     finally:
         spark.conf.set(setting, before)
+
+
+def test_toxic_words_outweigh_language_and_subject():
+    """Toxic texts of many subjects, told from clean ones by a single word, have toxic neighbours."""
+    rng = random.Random(21)
+    subjects = [prose(rng, 60).split() for _ in range(12)]
+
+    def text(i: int, toxic: bool) -> str:
+        return " ".join(rng.choices(subjects[i % 12], k=40) + ["vile"] * toxic)
+
+    texts, labels = [text(i, i // 12 % 2 == 1) for i in range(240)], np.arange(240) // 12 % 2
+    terms = {w: i for i, w in enumerate(sorted({w for t in texts for w in toxicity.features(t)}))}
+    index = toxicity.Index(texts, labels, terms, np.ones(len(terms)))
+    votes = [(index.vote(text(i, False))[0], index.vote(text(i, True))[0]) for i in range(60)]
+    assert all(clean < 0.5 < toxic for clean, toxic in votes)
