@@ -229,9 +229,9 @@ def text_digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
-    """(node, pivots, shingles, weights, cells) of rows (node, same, pivots, text) whose text is the node's, one
-    row for each; ``cells`` sums the weights of each cell."""
+def cells_of(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
+    """(node, pivots, text, cells) of rows (node, same, pivots, text) whose text is the node's, one row for each;
+    ``cells`` sums the weights of each cell."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
@@ -245,38 +245,41 @@ def vectors(docs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
                 found = weighted_all([w for w, use in zip(split, own) if use], of)
                 rows = rows.filter(pa.array(own, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("node"), rows.column("pivots"), pa.array([s.tobytes() for s, _ in found], pa.binary()),
-                     pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary()),
+                    [rows.column("node"), rows.column("pivots"), rows.column("text"),
                      pa.array([
                          np.bincount((s % np.uint64(CELLS)).astype(np.int64), w, CELLS).astype(np.float32) for s, w in found
                      ], pa.list_(pa.float32()))],
-                    ["node", "pivots", "shingles", "weights", "cells"],
+                    ["node", "pivots", "text", "cells"],
                 )
 
-    return docs.mapInArrow(run, "node long, pivots array<long>, shingles binary, weights binary, cells array<float>")
+    return docs.mapInArrow(run, "node long, pivots array<long>, text string, cells array<float>")
 
 
-def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b, similarity) of written pairs (a, b): their weighted Jaccard similarity. Vectors of other texts
-    are left where they are."""
-    right = possible(known.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb")), pairs, "b")
-    return compared(pairs.join(right, "b"), known, pairs)
+def verified(pairs: DataFrame, known: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
+    """(a, b, similarity) of written pairs (a, b): their weighted Jaccard similarity. Other texts are left where
+    they are."""
+    right = possible(known.select(F.col("node").alias("b"), F.col("text").alias("tb")), pairs, "b")
+    return compared(pairs.join(right, "b"), known, pairs, idf, most)
 
 
-def compared(sent: DataFrame, known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity) of rows (a, b, sb, wb), which hold the vector of b; ``pairs`` are written and name all a."""
-    left = possible(known.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa")), pairs, "a")
-    joined = sent.join(left, "a").select("a", "b", "sa", "wa", "sb", "wb")
+def compared(sent: DataFrame, known: DataFrame, pairs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
+    """(a, b, similarity) of rows (a, b, tb), which hold the text of b; ``pairs`` are written and name all a. Texts
+    move, as they take a third of their shingles and weights; each is cut once per slab."""
+    left = possible(known.select(F.col("node").alias("a"), F.col("text").alias("ta")), pairs, "a")
+    joined = sent.join(left, "a").select("a", "b", "ta", "tb")
+    shared = sent.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
-        def vector(s, w):
-            return np.frombuffer(s, np.uint64), np.frombuffer(w, np.float32).astype(np.float64)
-
+        of = Words(shared.value, most)
         for batch in batches:
-            found = [
-                similarity(vector(*(x.as_py() for x in row[:2])), vector(*(x.as_py() for x in row[2:])))
-                for row in zip(*(batch.column(c) for c in ("sa", "wa", "sb", "wb")))
-            ]
+            found, done = [], 0
+            for slab in text_slabs(batch.column("tb"), SLAB_BYTES):
+                left, right = batch.column("ta").slice(done, len(slab)).to_pylist(), slab.to_pylist()
+                done += len(slab)
+                texts = list(dict.fromkeys(t or "" for t in left + right))
+                vectors = [(s, w.astype(np.float32).astype(np.float64)) for s, w in weighted_all(list(map(plain_words, texts)), of)]
+                at = dict(zip(texts, vectors))
+                found += [similarity(at[a or ""], at[b or ""]) for a, b in zip(left, right)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"]
             )
@@ -304,12 +307,12 @@ def beside_pivots(members: DataFrame) -> DataFrame:
     )
 
 
-def pivoted(near: DataFrame, asked: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pivoted(near: DataFrame, asked: DataFrame, known: DataFrame, idf: dict[int, float],
+            most: float) -> tuple[DataFrame, DataFrame]:
     """Similarities (a, b, similarity) of pivots and the members asked for, and all members beside pivots with
-    ``low`` and ``high``, between which their distance from it lies. A vector goes to its pivots straight away."""
-    sent = known.select(F.explode("pivots").alias("a"), F.col("node").alias("b"), F.col("shingles").alias("sb"),
-                        F.col("weights").alias("wb"))
-    measured = materialise(compared(sent, known, asked), "measured")
+    ``low`` and ``high``, between which their distance from it lies. A text goes to its pivots straight away."""
+    sent = known.select(F.explode("pivots").alias("a"), F.col("node").alias("b"), F.col("text").alias("tb"))
+    measured = materialise(compared(sent, known, asked, idf, most), "measured")
     far = near.join(
         measured.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"), ["pivot", "node"], "left"
     )
@@ -331,7 +334,7 @@ def keyed(doc_id: str, text: str) -> Column:
 
 def grouped(docs: DataFrame, doc_id: str, text: str, threshold: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, key, leads) of every row; of each group the rows of one id and text lead. Whole texts and
-    pairs of vectors go to Python, in small batches."""
+    pairs of texts go to Python, in small batches."""
     with small_batches(docs.sparkSession):
         return _grouped(docs, doc_id, text, threshold)
 
@@ -365,10 +368,10 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataF
     )
     # texts that are in no bucket with another stay where they are
     sent = possible(rows, meant, "doc_id").join(meant, "doc_id")
-    known = materialise(vectors(sent.select("node", "same", "pivots", "text"), idf, most), "vectors")
-    if known.count() > meant.count():  # rows that share id and text; vectors are sent only if there are such
-        known = materialise(known.dropDuplicates(["node"]), "vectors-once")
-    measured, open_members = pivoted(near, asked, known)
+    known = materialise(cells_of(sent.select("node", "same", "pivots", "text"), idf, most), "cells")
+    if known.count() > meant.count():  # rows that share id and text; these are sent again only if there are such
+        known = materialise(known.dropDuplicates(["node"]), "cells-once")
+    measured, open_members = pivoted(near, asked, known, idf, most)
     links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
     labels = None if links.isEmpty() else components(links)
     leaders_each = GROWTH
@@ -408,7 +411,7 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataF
             ).distinct(), "pairs",
         )
         found = materialise(
-            verified(pairs, known).filter(F.col("similarity") >= threshold).select("a", "b"), "verified"
+            verified(pairs, known, idf, most).filter(F.col("similarity") >= threshold).select("a", "b"), "verified"
         )
         if not found.isEmpty():
             links = links.union(found)

@@ -325,3 +325,22 @@ def test_toxic_words_outweigh_language_and_subject():
     index = toxicity.Index(texts, labels, terms, np.ones(len(terms)))
     votes = [(index.vote(text(i, False))[0], index.vote(text(i, True))[0]) for i in range(60)]
     assert all(clean < 0.5 < toxic for clean, toxic in votes)
+
+
+def test_pairs_are_sent_as_texts(spark):
+    """What near copies send for a pair are texts, not shingles and weights, and it is measured as before."""
+    rng = random.Random(22)
+    first = prose(rng, 80)
+    texts = [first, changed(first, rng, 3), prose(rng, 50), "one two", ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "node long, text string")
+    same = {i: weighted_minhash.text_digest(plain_words(t)) for i, t in enumerate(texts)}
+    rows = spark.createDataFrame([(i, same[i], None, t) for i, t in enumerate(texts)], "node long, same binary, pivots array<long>, text string")
+    idf, most = weighted_minhash.word_weights(docs)
+    known = weighted_minhash.cells_of(rows, idf, most)
+    assert known.columns == ["node", "pivots", "text", "cells"]
+    pairs = spark.createDataFrame([(a, b) for a, b in combinations(range(5), 2)], "a long, b long")
+    of = weighted_minhash.Words(idf, most)
+    vector = [weighted_minhash.weighted(plain_words(t), of) for t in texts]
+    got = {(r.a, r.b): r.similarity for r in weighted_minhash.verified(pairs, known, idf, most).collect()}
+    assert len(got) == 10
+    assert all(abs(s - weighted_minhash.similarity(vector[a], vector[b])) < 1e-6 for (a, b), s in got.items())
