@@ -264,7 +264,7 @@ def verified(pairs: DataFrame, known: DataFrame, idf: dict[int, float], most: fl
 
 def compared(sent: DataFrame, known: DataFrame, pairs: DataFrame, idf: dict[int, float], most: float) -> DataFrame:
     """(a, b, similarity) of rows (a, b, tb), which hold the text of b; ``pairs`` are written and name all a. Texts
-    move, as they take a third of their shingles and weights; each is cut once per slab."""
+    move, not the longer lists of shingles and weights; each is cut once per slab."""
     left = possible(known.select(F.col("node").alias("a"), F.col("text").alias("ta")), pairs, "a")
     joined = sent.join(left, "a").select("a", "b", "ta", "tb")
     shared = sent.sparkSession.sparkContext.broadcast(idf)
