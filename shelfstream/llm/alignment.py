@@ -9,8 +9,8 @@ must give space + text again, or the text has no tokens.
 Neither tokenizer joins anything across the place between a character that is no white space and a space, so
 texts are cut there into chunks, and each distinct chunk of a slab of texts is aligned once, many to a line.
 (Where a tokenizer's file does not show that, whole texts are the chunks.) A slab's chunks, numbered per document, and its links are written to
-the shared folder. Counts of id pairs are summed per slab before they are shuffled; the sums go back to the
-slabs that asked for them, at most once per slab and pair.
+the shared folder, compressed and cut to parts, so that no row of a table is large. Counts of id pairs are summed per slab before they are
+shuffled; the sums go back to the slabs that asked for them, at most once per slab and pair.
 
 Defined cases: null and empty texts, and those that do not decode to themselves, have zeros and an empty
 string, and their links count nowhere; every row of repeated ids or texts has its result and counts; null ids
@@ -30,25 +30,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstream.llm.word_ids import gather, slabs
-from shelfstream.session import materialise
+from shelfstream.session import materialise, small_batches
 
 SLAB_BYTES = 6 << 20
+PART_BYTES = 1 << 17
+GROUP_BYTES = 8 << 20  # of a Parquet row group, which a task that reads it unpacks at once
 REMEMBERED = 200_000
 LINE_CHUNKS = 500
 # fixed value: sentencepiece's mark of a space
 SPACE_MARK = "▁"
 
 PER_TEXT = ["n_a", "n_b", "n_groups", "n_links"]
-SLAB = (
-    "slab long, doc_id array<long>, " + ", ".join(f"{c} binary" for c in PER_TEXT)
-    + ", groups_sha256 array<string>, bounds binary, numbers binary, link_bounds binary, links binary, pairs binary,"
-    " pair_counts binary"
-)
+SLAB = "slab long, part int, pair array<long>, n array<long>, data binary"
 SLAB_ROW = pa.schema([
-    ("slab", pa.int64()), ("doc_id", pa.list_(pa.int64())), *[(c, pa.binary()) for c in PER_TEXT],
-    ("groups_sha256", pa.list_(pa.string())), *[
-        (c, pa.binary()) for c in ("bounds", "numbers", "link_bounds", "links", "pairs", "pair_counts")
-    ],
+    ("doc_id", pa.list_(pa.int64())), *[(c, pa.binary()) for c in PER_TEXT], ("groups_sha256", pa.list_(pa.string())),
+    *[(c, pa.binary()) for c in ("bounds", "numbers", "link_bounds", "links")],
+])
+PART_ROW = pa.schema([
+    ("slab", pa.int64()), ("part", pa.int32()), ("pair", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("data", pa.binary()),
 ])
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -315,6 +314,27 @@ def in_slabs(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def in_parts(row: dict) -> Iterator[pa.RecordBatch]:
+    """The stored parts of a slab: its compressed row and its pairs, cut to as many pieces."""
+    columns = [pa.array([row[f.name].to_pylist() if f.name == "doc_id" else row[f.name]], f.type) for f in SLAB_ROW]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, SLAB_ROW, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(pa.RecordBatch.from_arrays(columns, schema=SLAB_ROW))
+    data, pairs, counts = sink.getvalue(), *(np.frombuffer(row[c], np.int64) for c in ("pairs", "pair_counts"))
+    parts = -(-max(data.size, pairs.nbytes + counts.nbytes) // PART_BYTES)
+    ends, pair_ends = ([n * k // parts for k in range(parts + 1)] for n in (data.size, len(pairs)))
+    for k in range(parts):
+        own = slice(pair_ends[k], pair_ends[k + 1])
+        values = row["slab"], k, pairs[own], counts[own], data[ends[k] : ends[k + 1]].to_pybytes()
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, PART_ROW)], schema=PART_ROW)
+
+
+def joined_parts(parts: pa.Table) -> dict:
+    """The row that was cut to these parts, which may come in any order."""
+    data = parts.sort_by("part").column("data").to_pylist()
+    return pa.ipc.open_stream(b"".join(data)).read_all().to_pylist()[0]
+
+
 def aligned_slabs(docs: DataFrame, a_path: str, b_path: str, slab_bytes: int) -> DataFrame:
     def run(batches):
         aligner, task = aligner_of(a_path, b_path), TaskContext.get().partitionId()
@@ -322,46 +342,33 @@ def aligned_slabs(docs: DataFrame, a_path: str, b_path: str, slab_bytes: int) ->
             columns = [table.column(c).chunk(0) for c in ("doc_id", "text")]
             row = align_slab(aligner, (task << 32) | number, *columns)
             pa.default_memory_pool().release_unused()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[f.name].to_pylist() if f.name == "doc_id" else row[f.name]], f.type) for f in SLAB_ROW],
-                schema=SLAB_ROW,
-            )
+            yield from in_parts(row)
 
-    return materialise(docs.mapInArrow(run, SLAB), "aligned-slabs")
+    with small_batches(docs.sparkSession):
+        return materialise(docs.mapInArrow(run, SLAB), "aligned-slabs", **{"parquet.block.size": GROUP_BYTES})
 
 
 def pair_counts(slab_rows: DataFrame) -> DataFrame:
     """(slab, pair, n): how often each slab links a pair of ids."""
-    def run(batches):
-        for batch in batches:
-            for slab, pairs, counts in zip(*[batch.column(c).to_pylist() for c in ("slab", "pairs", "pair_counts")]):
-                pairs = np.frombuffer(pairs, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pairs), slab)), pa.array(pairs), pa.array(np.frombuffer(counts, np.int64))],
-                    ["slab", "pair", "n"],
-                )
-
-    return slab_rows.select("slab", "pairs", "pair_counts").mapInArrow(run, "slab long, pair long, n long")
+    return slab_rows.select(F.col("slab").alias("slab"), F.inline(F.arrays_zip("pair", "n")))
 
 
 def _finish(left: pa.Table, right: pa.Table) -> pa.Table:
     """Results per text of one slab from the corpus counts of its pairs."""
     names = [c.split()[0] for c in RESULT.split(", ")]
     types = [pa.string() if c.endswith("string") else pa.int64() for c in RESULT.split(", ")]
-    parts = []
-    for row in left.to_pylist():
-        pairs, (bounds, link_bounds) = np.frombuffer(row["pairs"], np.int64), (
-            np.frombuffer(row[c], np.int64) for c in ("bounds", "link_bounds"))
-        order = np.argsort(right.column("pair").to_numpy())
-        asked = np.searchsorted(right.column("pair").to_numpy()[order], pairs)
-        numbers, links = (np.frombuffer(row[c], np.int32) for c in ("numbers", "links"))
-        sums_of = []
-        for c in ("best", "n"):
-            per_pair = right.column(c).to_numpy()[order][asked]
-            sums_of.append(sums(sums(per_pair[links], link_bounds)[numbers], bounds))
-        columns = [row["doc_id"], *[np.frombuffer(row[c], np.int64) for c in PER_TEXT], *sums_of, row["groups_sha256"]]
-        parts.append(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names))
-    return pa.concat_tables(parts) if parts else pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
+    if not left.num_rows:
+        return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
+    row = joined_parts(left)
+    # a slab has asked for each of its pairs once, and its links have the places of pairs in order
+    order = np.argsort(right.column("pair").to_numpy())
+    bounds, link_bounds = (np.frombuffer(row[c], np.int64) for c in ("bounds", "link_bounds"))
+    numbers, links = (np.frombuffer(row[c], np.int32) for c in ("numbers", "links"))
+    sums_of = [
+        sums(sums(right.column(c).to_numpy()[order][links], link_bounds)[numbers], bounds) for c in ("best", "n")
+    ]
+    columns = [row["doc_id"], *[np.frombuffer(row[c], np.int64) for c in PER_TEXT], *sums_of, row["groups_sha256"]]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
@@ -375,7 +382,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     highest = F.broadcast(counts.groupBy("b").agg(F.max("n").alias("highest")))
     scored = counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("highest")).cast("long").alias("best"))
     asked = per_slab.select("slab", "pair").join(scored, "pair")
-    return slab_rows.groupBy("slab").cogroup(asked.groupBy("slab")).applyInArrow(_finish, RESULT)
+    stored = slab_rows.select("slab", "part", "data")
+    return stored.groupBy("slab").cogroup(asked.groupBy("slab")).applyInArrow(_finish, RESULT)
 
 
 def link_counts(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",

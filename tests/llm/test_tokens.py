@@ -179,3 +179,20 @@ def test_random_texts_align_in_slabs(by_spaces):
         want, _ = plain_alignment(texts)
         got = [np.frombuffer(row[c], np.int64).tolist() for c in alignment.PER_TEXT]
         assert list(zip(*got, row["groups_sha256"])) == [(*w[:4], w[6]) for w in want]
+
+
+def test_slabs_are_stored_in_small_parts(spark):
+    """No stored row is large, however much a slab holds, and the parts give the slab's row again."""
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(300)) for _ in range(200)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    stored = alignment.aligned_slabs(docs, BYTES, PIECES, alignment.SLAB_BYTES).toArrow()
+    parts = len(stored)
+    assert stored.column("slab").unique().to_pylist() == [0] and parts > 3
+    assert max(len(d) + 8 * (len(p) + len(n)) for d, p, n in zip(*(stored.column(c).to_pylist() for c in ("data", "pair", "n")))) <= 2 * alignment.PART_BYTES
+    want = alignment.align_slab(alignment.Aligner(BYTES, PIECES), 0, pa.array(range(202)), pa.array(texts))
+    row = alignment.joined_parts(stored.take(pa.array(rng.sample(range(parts), parts))))
+    assert row == {c: want[c].to_pylist() if c == "doc_id" else want[c] for c in row}
+    in_order = stored.sort_by("part")
+    for stands, c in (("pair", "pairs"), ("n", "pair_counts")):
+        assert sum(in_order.column(stands).to_pylist(), []) == np.frombuffer(want[c], np.int64).tolist()
