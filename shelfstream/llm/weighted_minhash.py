@@ -368,9 +368,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataF
     )
     # texts that are in no bucket with another stay where they are
     sent = possible(rows, meant, "doc_id").join(meant, "doc_id")
-    known = materialise(cells_of(sent.select("node", "same", "pivots", "text"), idf, most), "cells")
+    known = materialise(cells_of(sent.select("node", "same", "pivots", "text"), idf, most), "vectors")
     if known.count() > meant.count():  # rows that share id and text; these are sent again only if there are such
-        known = materialise(known.dropDuplicates(["node"]), "cells-once")
+        known = materialise(known.dropDuplicates(["node"]), "vectors-once")
     measured, open_members = pivoted(near, asked, known, idf, most)
     links = materialise(measured.filter(F.col("similarity") >= threshold).select("a", "b"), "verified")
     labels = None if links.isEmpty() else components(links)
